@@ -12,14 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stintlake.plans import queries as Q
-from stintlake.sources.binding import bind
+from stintlake.sources.binding import load_star
 
 Entry = Callable[[SparkSession, str], DataFrame]
 
 
 def _on_star(fn, **kw) -> Entry:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(bind(spark, sf_dir), **kw)
+        return fn(load_star(spark, sf_dir), **kw)
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
     return run

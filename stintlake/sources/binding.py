@@ -26,8 +26,6 @@ The same rules are written as SQL text in ``stintlake.oracle`` for DuckDB.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -45,22 +43,31 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-@dataclass
 class Star:
-    circuits: DataFrame
-    constructors: DataFrame
-    drivers: DataFrame
-    seasons: DataFrame
-    races: DataFrame
-    results: DataFrame
-    qualifying: DataFrame
-    pit_stops: DataFrame
-    driver_standings: DataFrame
-    constructor_standings: DataFrame
-    laps: DataFrame
+    """The star tables. Each attribute is a DataFrame; when built from a
+    store, a table is opened on first use only (a query touching three
+    tables lists and reads three)."""
+
+    _NAMES = ("circuits", "constructors", "drivers", "seasons", "races", "results",
+              "qualifying", "pit_stops", "driver_standings", "constructor_standings", "laps")
+
+    def __init__(self, loader=None, **tables: DataFrame):
+        self._loader = loader
+        self._tables = dict(tables)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        tables = self.__dict__["_tables"]
+        if name not in tables:
+            loader = self.__dict__["_loader"]
+            if loader is None or name not in self._NAMES:
+                raise AttributeError(name)
+            tables[name] = loader(name)
+        return tables[name]
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return dict(self.__dict__)
+        return {n: getattr(self, n) for n in self._NAMES}
 
     def register(self, prefix: str = "") -> None:
         for name, df in self.as_dict().items():
@@ -75,12 +82,18 @@ def _points(position) -> F.Column:
 
 
 def bind(spark: SparkSession, sf_dir: str) -> Star:
+    """All star tables as lazy DataFrames over the driver tables."""
+    dims = bind_dims(spark, sf_dir)
+    src = bind_results_src(spark, sf_dir)
+    return Star(**dims, **bind_facts(spark, sf_dir, src, dims["races"]))
+
+
+def bind_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     nation = _read(spark, sf_dir, "nation")
     region = _read(spark, sf_dir, "region")
     supplier = _read(spark, sf_dir, "supplier")
     customer = _read(spark, sf_dir, "customer")
     orders = _read(spark, sf_dir, "orders")
-    lineitem = _read(spark, sf_dir, "lineitem")
 
     nat = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
     circuits = nat.select(
@@ -142,9 +155,19 @@ def bind(spark: SparkSession, sf_dir: str) -> Star:
              ))
     seasons = races.select("year").distinct().select(
         "year", F.concat(F.lit("season/"), F.col("year").cast("string")).alias("url"))
+    return dict(circuits=circuits, constructors=constructors, drivers=drivers,
+                seasons=seasons, races=races)
+
+
+LI_COLS = ["l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+           "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
 
-    li_cols = ["l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
-               "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+def bind_results_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One result per (order, supplier): the smallest lineitem row."""
+    supplier = _read(spark, sf_dir, "supplier")
+    lineitem = _read(spark, sf_dir, "lineitem")
+    li_cols = LI_COLS
     picked = (lineitem.groupBy("l_orderkey", "l_suppkey")
               .agg(F.min(F.struct(*li_cols)).alias("r"))
               .select("l_orderkey", "l_suppkey", "r.*"))
@@ -179,6 +202,13 @@ def bind(spark: SparkSession, sf_dir: str) -> Star:
         status.alias("status"),
         F.col("l_partkey").alias("_partkey"),
     )
+    return results_src
+
+
+def bind_facts(spark: SparkSession, sf_dir: str, results_src: DataFrame,
+               races: DataFrame) -> dict[str, DataFrame]:
+    lineitem = _read(spark, sf_dir, "lineitem")
+    li_cols = LI_COLS
     results = results_src.drop("_partkey")
 
     qpos = (F.col("_partkey") % 20 + 1).cast("int")
@@ -276,7 +306,35 @@ def bind(spark: SparkSession, sf_dir: str) -> Star:
         F.when((F.col("race_id") + n) % 6 == 0, F.lit("4")).otherwise(F.lit("1")).alias("track_status"),
     )
 
-    return Star(circuits=circuits, constructors=constructors, drivers=drivers,
-                seasons=seasons, races=races, results=results, qualifying=qualifying,
-                pit_stops=pit_stops, driver_standings=driver_standings,
+    return dict(results=results, qualifying=qualifying, pit_stops=pit_stops,
+                driver_standings=driver_standings,
                 constructor_standings=constructor_standings, laps=laps)
+
+
+SOURCE_TABLES = ["nation", "region", "supplier", "customer", "orders", "lineitem"]
+STAR_TABLES = ["circuits", "constructors", "drivers", "seasons", "races", "results",
+               "qualifying", "pit_stops", "driver_standings", "constructor_standings", "laps"]
+
+
+def load_star(spark: SparkSession, sf_dir: str, root: str | None = None,
+              refresh: bool = False) -> Star:
+    """Bind once and store the star tables (the load step); later calls
+    read the stored tables. The store lives in the shared checkpoint folder
+    and is keyed by a fingerprint of the input files, so changed inputs get
+    a fresh load. The intermediate one-result-per-row table is stored first
+    so the six derived fact tables do not recompute it."""
+    from stintlake.session import shared_dir
+    from stintlake.sources.store import Store
+
+    base = Store(spark, root or shared_dir(spark, "stintlake-star"))
+    sig = base.input_signature([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES])
+    st = Store(spark, f"{base.root}/{sig}")
+    if refresh or not st.exists("laps"):
+        dims = bind_dims(spark, sf_dir)
+        for name, df in dims.items():
+            st.write_full(name, df)
+        st.write_full("results_src", bind_results_src(spark, sf_dir))
+        facts = bind_facts(spark, sf_dir, st.read("results_src"), st.read("races"))
+        for name, df in facts.items():
+            st.write_full(name, df)
+    return Star(loader=st.read)
