@@ -45,8 +45,17 @@ def round_half_up(x, digits: int = 0) -> Column:
 
 
 def round_even(x, digits: int = 0) -> Column:
-    """Banker's rounding, as numpy/Python ``round`` in the statistical models."""
-    return F.bround(_c(x).cast("double"), digits)
+    """Half-to-even rounding on the binary value (as Python's ``round`` in
+    the statistical models): ties (fraction exactly .5 after scaling) go to
+    the even neighbour. Same expression in the SQL twins."""
+    scale = F.lit(float(10 ** digits))
+    y = _c(x).cast("double") * scale
+    f = F.floor(y).cast("double")
+    frac = y - f
+    up = f + F.lit(1.0)
+    v = (F.when(frac > 0.5, up).when(frac < 0.5, f)
+         .when(f % 2 == 0, f).otherwise(up))
+    return v / scale
 
 
 def count_where(cond: Column) -> Column:

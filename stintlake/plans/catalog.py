@@ -11,7 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stintlake.plans import marts as D
+from stintlake.plans import models as M
 from stintlake.plans import queries as Q
+from stintlake.plans import series as K
 from stintlake.sources.binding import load_star
 
 Entry = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +47,51 @@ def registry() -> dict[str, Entry]:
         # documented name of the KPI query
         "kpi_summary": _on_star(Q.key_performance_indicators),
         "driver_summary_pipeline": _on_star(Q.driver_summary_pipeline),
+        # staging and marts
+        "stg_results": _on_star(D.stg_results),
+        "stg_races": _on_star(D.stg_races),
+        "stg_drivers": _on_star(D.stg_drivers),
+        "stg_pit_stops": _on_star(D.stg_pit_stops),
+        "stg_qualifying": _on_star(D.stg_qualifying),
+        "stg_constructor_standings": _on_star(D.stg_constructor_standings),
+        "mart_driver_summary": _on_star(D.mart_driver_summary),
+        "mart_pit_stop_efficiency": _on_star(D.mart_pit_stop_efficiency),
+        "mart_championship_progression": _on_star(D.mart_championship_progression),
+        "mart_qualifying_vs_race": _on_star(D.mart_qualifying_vs_race),
+        # statistical models (exact parts; *_inference / _ci add p-values
+        # and intervals from the t / chi-square helpers)
+        "teammate_delta": _on_star(M.teammate_delta, inference=False),
+        "teammate_delta_inference": _on_star(M.teammate_delta),
+        "grid_finish_ols": _on_star(M.grid_finish_ols, inference=False),
+        "grid_finish_ols_inference": _on_star(M.grid_finish_ols),
+        "pit_z": _on_star(M.pit_z),
+        "trajectory": _on_star(M.trajectory),
+        "dnf_rate": _on_star(M.dnf_rate, with_ci=False),
+        "dnf_rate_ci": _on_star(M.dnf_rate),
+        "tyre_degradation": _on_star(M.tyre_degradation),
+        "stints": _on_star(M.stints),
+        "sector_means": _on_star(M.sector_means),
+        # derived series
+        "round_by_round": _on_star(K.round_by_round),
+        "grid_finish": _on_star(K.grid_finish),
+        "season_trajectory": _on_star(K.season_trajectory),
+        "finish_positions": _on_star(K.finish_positions),
+        "points_gap": _on_star(K.points_gap),
+        "position_matrix": _on_star(K.position_matrix),
+        "driver_ols_lines": _on_star(K.driver_ols_lines),
+        "pit_sem": _on_star(K.pit_sem),
+        "dnf_ci": _on_star(K.dnf_ci),
+        "sector_gap": _on_star(K.sector_gap),
+        "degradation_pivot": _on_star(K.degradation_pivot),
+        "stint_bars": _on_star(K.stint_bars),
+        "kpi_block": _on_star(K.kpi_block),
+        "ticker": _on_star(K.ticker),
+        "season_facets": _on_star(K.season_facets),
+        "pit_stops_z": _on_star(K.pit_stops_z),
+        "compound_map": _on_star(K.compound_map),
+        "sectors_unpivoted": _on_star(K.sectors_unpivoted),
+        "teammate_labels": _on_star(K.teammate_labels),
+        "ols_fit_line": _on_star(K.ols_fit_line),
     }
     return reg
 
