@@ -43,7 +43,10 @@ def running_sum(df: DataFrame, part, order, values: dict[str, Column | str],
                      _block(order[0], block).alias("__blk"))
     w_in = Window.partitionBy(*part, "__blk").orderBy(*order).rowsBetween(_UNB, 0)
     within = base.select("*", *[F.sum(f"__v_{k}").over(w_in).alias(f"__in_{k}") for k in vals])
-    totals = base.groupBy(*part, "__blk").agg(*[F.sum(f"__v_{k}").alias(f"__bt_{k}") for k in vals])
+    # block totals from the windowed rows: already partitioned by
+    # (part, block), so this aggregate adds no shuffle of the big side
+    totals = within.groupBy(*part, "__blk").agg(*[F.max_by(f"__in_{k}", order[0]).alias(f"__bt_{k}")
+                                                  for k in vals])
     w_blk = Window.partitionBy(*part).orderBy("__blk").rowsBetween(_UNB, -1)
     offsets = totals.select(*part, "__blk", *[
         F.coalesce(F.sum(f"__bt_{k}").over(w_blk), F.lit(0)).alias(f"__off_{k}") for k in vals])
@@ -63,7 +66,7 @@ def with_lag(df: DataFrame, part, order, value: str, out: str = "prev",
     w_in = Window.partitionBy(*part, "__blk").orderBy(*order)
     within = base.select("*", F.lag(value).over(w_in).alias("__lag"),
                          F.lag(o).over(w_in).isNull().alias("__first"))
-    lasts = base.groupBy(*part, "__blk").agg(F.max_by(value, o).alias("__last"))
+    lasts = within.groupBy(*part, "__blk").agg(F.max_by(value, o).alias("__last"))
     w_blk = Window.partitionBy(*part).orderBy("__blk")
     prev_last = lasts.select(*part, "__blk", F.lag("__last").over(w_blk).alias("__prev_blk"))
     joined = within.join(prev_last, [*part, "__blk"], "inner")

@@ -25,6 +25,7 @@ def _on_star(fn, **kw) -> Entry:
         return fn(load_star(spark, sf_dir), **kw)
     run.__name__ = getattr(fn, "__name__", "query")
     run.__doc__ = fn.__doc__
+    run.plan = lambda star: fn(star, **kw)  # the plan over given star tables
     return run
 
 

@@ -18,16 +18,19 @@ from stintlake.operators.windows import delta_from_best, ffill, running_sum, seg
 from stintlake.plans import models as M
 
 TEAM = "constructor_id"
-ROUND_BLOCK = 64
 
 
-def round_by_round(t, cid=None) -> DataFrame:
+def round_by_round(t, cid=None, latest_only: bool = False) -> DataFrame:
     """K1: cumulative points (from results, not standings) and finishing
-    order per team, driver, season and round."""
+    order per team, driver, season and round. ``latest_only`` keeps each
+    team's latest season, filtered *before* the running sums."""
     res = team_filter(t.results, cid).select("race_id", "driver_id", TEAM, "points", "position_order")
     df = res.join(t.races.select("race_id", "year", "round"), "race_id", "inner") \
         .withColumn("pts", F.coalesce(F.col("points"), F.lit(0.0)))
-    df = running_sum(df, [TEAM, "driver_id", "year"], "round", {"cum_points": "pts"}, block=ROUND_BLOCK)
+    if latest_only:
+        df = _latest_season(df)
+    # a driver's season is bounded by its rounds: a plain window suffices
+    df = running_sum(df, [TEAM, "driver_id", "year"], "round", {"cum_points": "pts"})
     df = with_driver_name(df, t.drivers, "driver")
     return df.select(TEAM, "driver_id", "driver", "year", "round",
                      F.col("cum_points").alias("points"),
@@ -47,7 +50,7 @@ def _latest_season(df: DataFrame) -> DataFrame:
 def season_trajectory(t, cid=None) -> DataFrame:
     """K3: latest season per team: cumulative points by round, win marker,
     and the final value of each driver."""
-    k1 = _latest_season(round_by_round(t, cid))
+    k1 = round_by_round(t, cid, latest_only=True)
     last = k1.groupBy(TEAM, "driver_id").agg(F.max("round").alias("round")).withColumn("is_final", F.lit(True))
     return (k1.join(last, [TEAM, "driver_id", "round"], "left")
             .select(TEAM, "driver_id", "driver", "year", "round", "points", "position",
@@ -57,7 +60,7 @@ def season_trajectory(t, cid=None) -> DataFrame:
 
 def finish_positions(t, cid=None) -> DataFrame:
     """K4: classified finishing positions of the latest season (bump chart)."""
-    k1 = _latest_season(round_by_round(t, cid))
+    k1 = round_by_round(t, cid, latest_only=True)
     return k1.filter(F.col("position") < 999).select(TEAM, "driver_id", "driver", "year", "round", "position")
 
 
@@ -65,7 +68,7 @@ def points_gap(t, cid=None) -> DataFrame:
     """K5: latest season, the two drivers with the most points (season
     maximum, ties by id): points per round carried forward, gap a − b,
     lead-change segment id, leader and margin (null until both scored)."""
-    k1 = _latest_season(round_by_round(t, cid))
+    k1 = round_by_round(t, cid, latest_only=True)
     best = k1.groupBy(TEAM, "driver_id", "driver").agg(F.max("points").alias("season_max"))
     w = Window.partitionBy(TEAM).orderBy(F.col("season_max").desc(), F.col("driver_id"))
     top2 = best.withColumn("slot", F.row_number().over(w)).filter(F.col("slot") <= 2)

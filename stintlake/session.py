@@ -56,3 +56,16 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     cut lineage (survives executor loss, unlike local checkpoints)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def cut_lineage(df, name: str = "cut"):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read
+    it back: later branches read the stored rows instead of recomputing
+    (and re-planning) the whole lineage. Survives executor loss, unlike a
+    local checkpoint."""
+    import uuid
+
+    spark = df.sparkSession
+    path = shared_dir(spark, f"stintlake-cut/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -244,11 +244,13 @@ def bind_facts(spark: SparkSession, sf_dir: str, results_src: DataFrame,
     )
 
     rr = results.join(races.select("race_id", "year", "round"), "race_id", "inner")
+    # a driver's season is bounded by its rounds: plain window; a team's
+    # season holds all its drivers' rows: split by round blocks
     ds = running_sum(
         rr.select("race_id", "driver_id", "year", "round", "points",
                   F.when(F.col("position") == 1, 1).otherwise(0).alias("win")),
         ["driver_id", "year"], "round",
-        {"cum_points": "points", "cum_wins": "win"}, block=STANDINGS_BLOCK)
+        {"cum_points": "points", "cum_wins": "win"})
     w_rank = Window.partitionBy("race_id").orderBy(F.col("cum_points").desc(), F.col("driver_id"))
     driver_standings = ds.select(
         "race_id", "driver_id",
