@@ -10,7 +10,7 @@ distinct count), never per input row.
 
 Method: regularised incomplete beta by Lentz's continued fraction, the
 regularised lower incomplete gamma by its series / continued fraction,
-and bisection on the CDF for quantiles.
+and safeguarded Newton steps on the CDF for quantiles.
 """
 
 from __future__ import annotations
@@ -102,19 +102,37 @@ def t_cdf(t, df):
     return np.where(t >= 0, 1.0 - tail, tail)
 
 
-def _bisect(cdf, p, lo, hi, iters: int = 200):
+def _solve(cdf, pdf, p, lo, hi, x0, iters: int = 100, tol: float = 1e-13):
+    """Safeguarded Newton: keep a bracket [lo, hi] with cdf(lo) < p <= cdf(hi);
+    take the Newton step when it stays inside, else bisect."""
     lo = np.array(lo, dtype=float)
     hi = np.array(hi, dtype=float)
+    x = np.clip(np.array(x0, dtype=float), lo, hi)
     for _ in range(iters):
-        mid = (lo + hi) / 2.0
-        below = cdf(mid) < p
-        lo = np.where(below, mid, lo)
-        hi = np.where(below, hi, mid)
-    return (lo + hi) / 2.0
+        fx = cdf(x) - p
+        lo = np.where(fx < 0, x, lo)
+        hi = np.where(fx >= 0, x, hi)
+        d = pdf(x)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            step = x - fx / d
+        ok = np.isfinite(step) & (step > lo) & (step < hi)
+        nx = np.where(ok, step, (lo + hi) / 2.0)
+        done = np.abs(nx - x) <= tol * np.maximum(1.0, np.abs(nx))
+        x = nx
+        if np.all(done):
+            break
+    return x
+
+
+def t_pdf(t, df):
+    t, v = np.broadcast_arrays(np.asarray(t, float), np.asarray(df, float))
+    lc = _lg((v + 1.0) / 2.0) - _lg(v / 2.0) - 0.5 * np.log(v * np.pi)
+    return np.exp(lc - (v + 1.0) / 2.0 * np.log1p(t * t / v))
 
 
 def t_ppf(p, df):
-    """Quantile of Student's t (vectorised bisection)."""
+    """Quantile of Student's t (bracketed Newton from 0; the CDF is concave
+    above 0, so the iteration climbs monotonically to the root)."""
     p, df = np.broadcast_arrays(np.asarray(p, float), np.asarray(df, float))
     out = np.full(p.shape, np.nan)
     ok = (df > 0) & (p > 0) & (p < 1)
@@ -128,7 +146,7 @@ def t_ppf(p, df):
             if not need.any() or hi.max() > 1e12:
                 break
             hi = np.where(need, hi * 4.0, hi)
-        x = _bisect(lambda z: t_cdf(z, vv), q, np.zeros_like(q), hi)
+        x = _solve(lambda z: t_cdf(z, vv), lambda z: t_pdf(z, vv), q, np.zeros_like(q), hi, np.zeros_like(q))
         out[ok] = np.where(upper, x, -x)
     return out
 
@@ -187,8 +205,16 @@ def chi2_cdf(x, df):
     return gammainc_lower(np.asarray(df, float) / 2.0, np.asarray(x, float) / 2.0)
 
 
+def chi2_pdf(x, df):
+    x, k = np.broadcast_arrays(np.asarray(x, float), np.asarray(df, float))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        lp = (k / 2.0 - 1.0) * np.log(x) - x / 2.0 - (k / 2.0) * np.log(2.0) - _lg(k / 2.0)
+    return np.where(x > 0, np.exp(lp), 0.0)
+
+
 def chi2_ppf(p, df):
-    """Quantile of chi-square (vectorised bisection on the CDF)."""
+    """Quantile of chi-square: bracketed Newton started at the
+    Wilson–Hilferty approximation."""
     p, df = np.broadcast_arrays(np.asarray(p, float), np.asarray(df, float))
     out = np.full(p.shape, np.nan)
     ok = (df > 0) & (p > 0) & (p < 1)
@@ -200,10 +226,31 @@ def chi2_ppf(p, df):
             if not need.any():
                 break
             hi = np.where(need, hi * 2.0, hi)
-        out[ok] = _bisect(lambda z: chi2_cdf(z, vv), pp, np.zeros_like(pp), hi)
+        z = norm_ppf(pp)
+        c = 2.0 / (9.0 * vv)
+        x0 = np.maximum(vv * (1.0 - c + z * np.sqrt(c)) ** 3, 1e-8)
+        out[ok] = _solve(lambda x: chi2_cdf(x, vv), lambda x: chi2_pdf(x, vv), pp,
+                         np.zeros_like(pp), hi, x0)
     return out
 
 
+_erf = np.frompyfunc(math.erf, 1, 1)
+
+
+def norm_ppf(p):
+    """Standard normal quantile (Newton from 0 on the error function)."""
+    p = np.asarray(p, float)
+    z = np.zeros_like(p)
+    for _ in range(60):
+        cdf = 0.5 * (1.0 + np.asarray(_erf(z / math.sqrt(2.0)), dtype=float))
+        pdf = np.exp(-0.5 * z * z) / math.sqrt(2.0 * math.pi)
+        step = (cdf - p) / pdf
+        z = z - step
+        if np.all(np.abs(step) < 1e-14):
+            break
+    return z
+
+
 # --- pandas UDFs (Arrow batches of aggregated rows) ---------------------
 
 @F.pandas_udf(DoubleType())

@@ -11,10 +11,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stintlake.plans import checks as C
 from stintlake.plans import marts as D
 from stintlake.plans import models as M
 from stintlake.plans import queries as Q
 from stintlake.plans import series as K
+from stintlake.operators import quality as QC
 from stintlake.sources.binding import load_star
 
 Entry = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +31,12 @@ def _on_star(fn, **kw) -> Entry:
     return run
 
 
+def _raw(fn) -> Entry:
+    """An entry that reads the driver tables directly (no star binding)."""
+    fn.plan = None
+    return fn
+
+
 def registry() -> dict[str, Entry]:
     reg: dict[str, Entry] = {
         "driver_summary": _on_star(Q.driver_summary),
@@ -93,6 +101,13 @@ def registry() -> dict[str, Entry]:
         "sectors_unpivoted": _on_star(K.sectors_unpivoted),
         "teammate_labels": _on_star(K.teammate_labels),
         "ols_fit_line": _on_star(K.ols_fit_line),
+        # quality gates, contracts, model tests
+        "quality_checks": _on_star(C.quality_checks),
+        "quality_report": _on_star(C.quality_report),
+        "contract_issues": _on_star(C.contract_issues),
+        "column_tests": _on_star(C.column_tests),
+        "duplicate_keys_lineitem": _raw(lambda spark, sf: QC.duplicate_keys(
+            spark.read.parquet(f"{sf.rstrip('/')}/lineitem.parquet"), ["l_orderkey", "l_linenumber"], "lineitem")),
     }
     return reg
 

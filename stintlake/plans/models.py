@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from stintlake.functions.columns import finished, full_name, round_even, round_half_up
 from stintlake.functions.stats import chi2_ppf_udf, t_ppf_udf, t_sf2_udf
 from stintlake.operators.joins import pairs, team_by_refs, team_filter, with_driver_name
+from stintlake.session import cut_lineage
 
 TEAM = "constructor_id"
 
@@ -220,17 +221,30 @@ def tyre_degradation(t, refs=None, cid=None, min_laps: int = 5) -> DataFrame:
 
 def stints(t, refs=None, cid=None, year: int | None = None) -> DataFrame:
     """M7: stint structure of each team's latest race with lap data
-    (latest by season and round; ``year`` restricts to one season)."""
-    laps = _team_laps(t, refs, cid)
+    (latest by season and round; ``year`` restricts to one season).
+
+    Plan: distinct (race, driver) keys of the laps (partially aggregated
+    before the shuffle) find each team's latest race; that per-team table
+    (bounded by the number of teams) is stored and broadcast to pick the laps of
+    those races, so the lap table itself is scanned once and not shuffled.
+    """
+    res = _team_results(t, refs, cid).select("race_id", "driver_id", TEAM, "position_order")
     races = t.races.select("race_id", "year", "round", "race_name")
     if year is not None:
         races = races.filter(F.col("year") == year)
-    with_race = laps.join(races, "race_id", "inner")
-    latest = (with_race.groupBy(TEAM)
-              .agg(F.max_by("race_id", F.struct("year", "round")).alias("race_id")))
-    sel = (with_race.join(latest, [TEAM, "race_id"], "left_semi")
-           .filter(F.col("compound").isNotNull() & ~F.col("compound").isin("UNKNOWN", "")))
-    sel = with_driver_name(sel, t.drivers, "driver")
+    lap_keys = t.laps.select("race_id", "driver_id").distinct()
+    raced = res.join(lap_keys, ["race_id", "driver_id"], "left_semi").join(races, "race_id", "inner")
+    season_round = F.col("year").cast("bigint") * 1_000_000_000 + F.col("round")
+    latest = (raced.groupBy(TEAM)
+              .agg(F.max_by("race_id", season_round).alias("race_id")))
+    # one row per team: stored once, so both uses read it and the planner
+    # sees its real (tiny) size and broadcasts it
+    latest = cut_lineage(latest, "latest_race")
+    entries = res.join(latest, [TEAM, "race_id"], "inner")
+    laps = t.laps.join(latest.select("race_id").distinct(), "race_id", "left_semi") \
+        .join(entries, ["race_id", "driver_id"], "inner") \
+        .filter(F.col("compound").isNotNull() & ~F.col("compound").isin("UNKNOWN", ""))
+    sel = with_driver_name(laps.join(races, "race_id", "inner"), t.drivers, "driver")
     return (sel.groupBy(TEAM, "race_id", "race_name", "year", "driver_id", "driver", "stint",
                         F.upper("compound").alias("compound"), "position_order")
             .agg(F.min("lap_number").alias("start_lap"), F.max("lap_number").alias("end_lap"),

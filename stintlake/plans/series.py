@@ -144,7 +144,8 @@ def sector_gap(t, cid=None, min_laps: int = 10) -> DataFrame:
     s = M.sector_means(t, cid=cid, min_laps=min_laps)
     g = delta_from_best(s, ["s1_mean", "s2_mean", "s3_mean"], part=TEAM)
     best = s.groupBy(TEAM).agg(
-        *[F.min_by("driver", F.struct(c, "driver_id")).alias(f"best_{c[:2]}") for c in ("s1_mean", "s2_mean", "s3_mean")])
+        *[F.min_by("driver", F.struct(c, "driver_id")).alias(f"best_{c[:2]}")
+          for c in ("s1_mean", "s2_mean", "s3_mean")])  # per-team rows: small
     return g.join(best, TEAM, "inner").select(
         TEAM, "driver_id", "driver", "n", "s1_mean", "s2_mean", "s3_mean",
         *[round_half_up(f"{c}_gap", 6).alias(f"{c[:2]}_gap") for c in ("s1_mean", "s2_mean", "s3_mean")],
