@@ -259,7 +259,7 @@ def column_tests(df: DataFrame, model: str, not_null=(), unique=()) -> DataFrame
 def duplicate_keys(df: DataFrame, keys, name: str = "table") -> DataFrame:
     """Primary-key check on any table: rows, distinct keys, duplicates."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    d = df.select(*keys).distinct().agg(F.count(F.lit(1)).alias("distinct_keys"))
+    d = df.select(*keys).distinct().agg(F.count(F.lit(1))).scalar()
     n = df.agg(F.count(F.lit(1)).alias("rows"))
-    return n.crossJoin(d).select(F.lit(name).alias("table"), "rows", "distinct_keys",
-                                 (F.col("rows") - F.col("distinct_keys")).alias("duplicates"))
+    return n.select(F.lit(name).alias("table"), "rows", d.alias("distinct_keys"),
+                    (F.col("rows") - d).alias("duplicates"))

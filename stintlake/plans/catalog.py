@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stintlake.plans import checks as C
+from stintlake.plans import ingest as G
 from stintlake.plans import marts as D
 from stintlake.plans import models as M
 from stintlake.plans import queries as Q
@@ -106,6 +107,14 @@ def registry() -> dict[str, Entry]:
         "quality_report": _on_star(C.quality_report),
         "contract_issues": _on_star(C.contract_issues),
         "column_tests": _on_star(C.column_tests),
+        # ingest: landed nested documents -> flatten -> transform
+        "flatten_results_json": _on_star(G.flatten_results_json),
+        "flatten_qualifying_json": _on_star(G.flatten_qualifying_json),
+        "flatten_pit_stops_json": _on_star(G.flatten_pit_stops_json),
+        "flatten_standings_json": _on_star(G.flatten_standings_json),
+        "flatten_races_json": _on_star(G.flatten_races_json),
+        "ref_dropout": _on_star(G.ref_dropout),
+        "rounds_by_year": _on_star(G.rounds_by_year),
         "duplicate_keys_lineitem": _raw(lambda spark, sf: QC.duplicate_keys(
             spark.read.parquet(f"{sf.rstrip('/')}/lineitem.parquet"), ["l_orderkey", "l_linenumber"], "lineitem")),
     }
