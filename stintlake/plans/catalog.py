@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stintlake.plans import checks as C
 from stintlake.plans import ingest as G
+from stintlake.plans import loads as LD
 from stintlake.plans import marts as D
 from stintlake.plans import models as M
 from stintlake.plans import queries as Q
@@ -115,6 +116,16 @@ def registry() -> dict[str, Entry]:
         "flatten_races_json": _on_star(G.flatten_races_json),
         "ref_dropout": _on_star(G.ref_dropout),
         "rounds_by_year": _on_star(G.rounds_by_year),
+        # loads, ledgers, streaming
+        "upsert_results": _on_star(LD.upsert_results),
+        "stream_upsert": _on_star(LD.stream_upsert),
+        "slice_replace_laps": _on_star(LD.slice_replace_laps),
+        "ledger_pending": _on_star(LD.ledger_pending),
+        "completeness": _on_star(LD.completeness_results),
+        "team_slice_sizes": _on_star(LD.team_slice_sizes),
+        "dry_run_preview": _on_star(LD.dry_run_preview),
+        "run_log": _on_star(LD.run_log),
+        "schema_drift": _on_star(LD.schema_drift),
         "duplicate_keys_lineitem": _raw(lambda spark, sf: QC.duplicate_keys(
             spark.read.parquet(f"{sf.rstrip('/')}/lineitem.parquet"), ["l_orderkey", "l_linenumber"], "lineitem")),
     }
