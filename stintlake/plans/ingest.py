@@ -56,3 +56,27 @@ def ref_dropout(t) -> DataFrame:
 
 def rounds_by_year(t, start_year: int = 1995, end_year: int = 2001) -> DataFrame:
     return nested.rounds_by_year(t.races, start_year, end_year)
+
+
+def _pipeline(t):
+    import uuid
+
+    from stintlake.plans import checks as C
+    from stintlake.plans.pipeline import PipelineConfig, run_pipeline
+    from stintlake.session import shared_dir
+
+    spark = t.results.sparkSession
+    raw = landing.land_csv(t)
+    cfg = PipelineConfig(start_year=C.START_YEAR, end_year=C.END_YEAR, mode="full")
+    return run_pipeline(spark, raw, shared_dir(spark, f"pipeline/{uuid.uuid4().hex[:12]}"), cfg)
+
+
+def pipeline_quality(t) -> DataFrame:
+    """S34 end to end on the star landed as raw CSVs: transform, contract,
+    load, then the quality gate over the loaded tables."""
+    return _pipeline(t).quality
+
+
+def pipeline_summary(t) -> DataFrame:
+    """S34 end to end: the driver summary printed after a pipeline run."""
+    return _pipeline(t).summary

@@ -41,12 +41,26 @@ def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "c
 
 
 def read_csv_strings(spark: SparkSession, path: str, columns: list[str], notes: list | None = None) -> DataFrame:
-    """A raw CSV with every column as STRING (coercion happens in the
-    transform jobs, where bad values become null and are counted)."""
+    """A raw CSV read by header name, every column as STRING (coercion
+    happens in the transform jobs, where bad values become null and are
+    counted). Expected columns absent from the file are added as null;
+    columns are matched by name, not position."""
+    from pyspark.sql import functions as F
     from pyspark.sql.types import StringType, StructField
 
     schema = StructType([StructField(c, StringType(), True) for c in columns])
-    return read_table(spark, path, schema, "csv", notes)
+    size = input_size(spark, path)
+    if size is None or size < MIN_BYTES:
+        if notes is not None:
+            notes.append(f"{path} is missing or empty.")
+        return spark.createDataFrame([], schema)
+    df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    have = set(df.columns)
+    if not have & set(columns):
+        if notes is not None:
+            notes.append(f"{path} has no expected columns.")
+        return spark.createDataFrame([], schema)
+    return df.select(*[(F.col(c) if c in have else F.lit(None)).cast("string").alias(c) for c in columns])
 
 
 def export_csv(df: DataFrame, path: str) -> str:

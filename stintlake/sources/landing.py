@@ -109,3 +109,36 @@ def land(docs: DataFrame, name: str) -> str:
     path = shared_dir(docs.sparkSession, f"landing/{name}-{uuid.uuid4().hex[:12]}")
     docs.write.mode("errorifexists").text(path)
     return path
+
+
+def raw_csv_tables(t) -> dict[str, DataFrame]:
+    """Star tables in the raw CSV layout: text refs in place of the fact
+    tables' keys (as the source delivers them)."""
+    d = t.drivers.select("driver_id", "driver_ref")
+    k = t.constructors.select("constructor_id", "constructor_ref")
+    c = t.circuits.select("circuit_id", "circuit_ref")
+    return {
+        "circuits": t.circuits.orderBy("circuit_id").drop("circuit_id"),
+        "seasons": t.seasons.orderBy("year"),
+        "constructors": t.constructors.orderBy("constructor_id"),
+        "drivers": t.drivers.orderBy("driver_id"),
+        "races": t.races.join(c, "circuit_id", "left").select(
+            "race_id", "year", "round", "circuit_ref", "race_name", "race_date", "race_time", "url"),
+        "results": t.results.join(d, "driver_id").join(k, "constructor_id").drop("driver_id", "constructor_id"),
+        "qualifying": t.qualifying.join(d, "driver_id").join(k, "constructor_id")
+                       .drop("driver_id", "constructor_id"),
+        "pit_stops": t.pit_stops.join(d, "driver_id").drop("driver_id"),
+        "constructor_standings": t.constructor_standings.join(k, "constructor_id").drop("constructor_id"),
+        "driver_standings": t.driver_standings.join(d, "driver_id").drop("driver_id"),
+    }
+
+
+def land_csv(t, name: str = "raw") -> str:
+    """Write the raw CSV layout (header row, one folder per table named
+    ``<table>.csv``) to a fresh folder in the shared checkpoint dir."""
+    spark = t.results.sparkSession
+    root = shared_dir(spark, f"landing/{name}-{uuid.uuid4().hex[:12]}")
+    for table, df in raw_csv_tables(t).items():
+        w = df.coalesce(1) if table in ("circuits", "seasons", "constructors", "drivers") else df
+        w.write.option("header", True).csv(f"{root}/{table}.csv")
+    return root
