@@ -73,7 +73,7 @@ def teammate_delta(t, refs=None, cid=None, min_shared_races: int = 5,
     sem = F.col("sd") / F.sqrt(F.col("n").cast("double"))
     dfree = (F.col("n") - 1).cast("double")
     tq = t_ppf_udf(F.lit(0.975), dfree)
-    tstat = F.col("mean") / sem
+    tstat = F.try_divide(F.col("mean"), sem)  # UDF inputs are computed before the branch
     # zero spread: the mean is exact; p = 0 unless the mean is 0, no interval
     p = F.when(sem == 0, F.when(F.col("mean") != 0, F.lit(0.0))).otherwise(t_sf2_udf(tstat, dfree))
     lo = F.when(sem > 0, F.col("mean") - tq * sem)
@@ -115,7 +115,7 @@ def grid_finish_ols(t, refs=None, cid=None, inference: bool = True) -> DataFrame
     if inference:
         r2 = F.col("_r2")
         dfree = (F.col("_n") - 2).cast("double")
-        tstat = F.sqrt(r2) * F.signum(F.col("_s")) * F.sqrt(dfree / (F.lit(1.0) - r2))
+        tstat = F.sqrt(r2) * F.signum(F.col("_s")) * F.sqrt(F.try_divide(dfree, F.lit(1.0) - r2))
         p = F.when(F.col("_n") <= 2, F.lit(None).cast("double")) \
             .when(r2 >= 1.0, F.lit(0.0)).otherwise(t_sf2_udf(tstat, dfree))
         out = out.withColumn("p_value", F.when(F.col("_n") >= 2, p))

@@ -47,8 +47,9 @@ def table_items(docs: DataFrame, table: str, item_schema: StructType, text_col:
 
 def as_list(text: Column, item_schema: StructType) -> Column:
     """JSON text holding a list of objects, or a single object, as an array."""
-    return F.coalesce(F.from_json(text, ArrayType(item_schema)),
-                      F.array(F.from_json(text, item_schema)))
+    return F.when(text.isNotNull(),
+                  F.coalesce(F.from_json(text, ArrayType(item_schema)),
+                             F.array(F.from_json(text, item_schema))))
 
 
 def _s(*names: str) -> StructType:
