@@ -9,6 +9,7 @@ bound), and AQE re-plans from measured shuffle sizes. Fact-to-fact joins on
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -26,11 +27,24 @@ def team_filter(df: DataFrame, cid=None, col: str = "constructor_id") -> DataFra
     return df.filter(F.col(col) == F.lit(cid))
 
 
+REF_PATTERN = re.compile(r"^[a-z0-9_]+$")
+
+
+def check_refs(refs: Iterable[str]) -> list[str]:
+    """Team refs must be lower-case words (letters, digits, '_')."""
+    refs = list(refs)
+    bad = [r for r in refs if not isinstance(r, str) or not REF_PATTERN.match(r)]
+    if bad:
+        raise ValueError(f"invalid team refs: {bad}")
+    return refs
+
+
 def team_by_refs(results: DataFrame, constructors: DataFrame, refs: Iterable[str] | None,
                  col: str = "constructor_id") -> DataFrame:
     """Keep rows whose team ref is in ``refs`` (a semi join, no columns added)."""
     if refs is None:
         return results
+    refs = check_refs(refs)
     keep = constructors.filter(F.col("constructor_ref").isin(list(refs))).select(col)
     return results.join(keep, col, "left_semi")
 

@@ -115,6 +115,7 @@ def registry() -> dict[str, Entry]:
         "flatten_standings_json": _on_star(G.flatten_standings_json),
         "flatten_races_json": _on_star(G.flatten_races_json),
         "ref_dropout": _on_star(G.ref_dropout),
+        "laps_from_sessions": _on_star(G.laps_from_sessions),
         "pipeline_quality": _on_star(G.pipeline_quality),
         "pipeline_summary": _on_star(G.pipeline_summary),
         "rounds_by_year": _on_star(G.rounds_by_year),

@@ -80,3 +80,17 @@ def pipeline_quality(t) -> DataFrame:
 def pipeline_summary(t) -> DataFrame:
     """S34 end to end: the driver summary printed after a pipeline run."""
     return _pipeline(t).summary
+
+
+def laps_from_sessions(t) -> DataFrame:
+    """Timing-feed sessions (landed as Parquet) → laps rows via the
+    race → code membership of the entries."""
+    import uuid
+
+    from stintlake.session import shared_dir
+    from stintlake.sources.laps import laps_from_sessions as _laps, team_race_codes
+
+    spark = t.results.sparkSession
+    path = shared_dir(spark, f"landing/sessions-{uuid.uuid4().hex[:12]}")
+    landing.lap_sessions(t).write.parquet(path)
+    return _laps(spark.read.parquet(path), team_race_codes(t.results, t.drivers))

@@ -34,13 +34,21 @@ def _podium():
     return count_where(_pos() <= 3)
 
 
-def driver_summary(t, refs=None, sep: str = ",", with_seasons: bool = True) -> DataFrame:
-    """Career line per driver over the selected teams."""
+def driver_summary(t, refs=None, sep: str = ",", with_seasons: bool = True,
+                   team_alias: dict | None = None) -> DataFrame:
+    """Career line per driver over the selected teams.
+
+    ``team_alias`` maps long team names to a display name; the team list is
+    then de-duplicated after mapping (two names of one team shown once)."""
     res = team_by_refs(t.results, t.constructors, refs)
     df = star(res, t.races, t.drivers, t.constructors, race_cols=("year",), driver_name="driver")
+    name = F.col("constructor_name")
+    if team_alias:
+        amap = F.create_map(*[F.lit(x) for kv in team_alias.items() for x in kv])
+        name = F.coalesce(amap[name], name)
     aggs = [
         F.first("driver").alias("driver"),
-        F.array_join(F.array_sort(F.collect_set("constructor_name")), sep).alias("team"),
+        F.array_join(F.array_sort(F.array_distinct(F.collect_set(name))), sep).alias("team"),
     ]
     if with_seasons:
         aggs.append(F.count_distinct("year").alias("seasons"))
@@ -244,10 +252,16 @@ def key_performance_indicators(t, cid=None) -> DataFrame:
     return one.select(TEAM, F.expr(f"stack({len(KPI_METRICS)}, {pairs}) AS (metric, value)"))
 
 
-def driver_summary_pipeline(t, refs=None) -> DataFrame:
+# Display names of the team's long names in the summary.
+TEAM_ALIASES = {"Oracle Red Bull Racing": "Red Bull", "Red Bull Racing": "Red Bull"}
+
+
+def driver_summary_pipeline(t, refs=None, team_alias: dict | None = None) -> DataFrame:
     """The pipeline's summary table: no seasons column, a period label
-    ``2020–25``, whole points, team list joined with ' · '."""
-    base = driver_summary(t, refs, sep=" · ", with_seasons=False)
+    ``2020–25``, whole points, team list (aliases applied, each name once)
+    joined with ' · '."""
+    base = driver_summary(t, refs, sep=" · ", with_seasons=False,
+                          team_alias=TEAM_ALIASES if team_alias is None else team_alias)
     return base.select(
         "driver_id", "driver", "team",
         period_label("from_yr", "to_yr").alias("period"),

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stintlake.functions.columns import (clip, position_label, round_half_up, round_label,
-                                         significance_label, surname_of)
+                                         significance_label, sign_bucket, surname_of)
 from stintlake.operators.joins import team_filter, with_driver_name
 from stintlake.operators.windows import delta_from_best, ffill, running_sum, segments
 from stintlake.plans import models as M
@@ -38,8 +38,11 @@ def round_by_round(t, cid=None, latest_only: bool = False) -> DataFrame:
 
 
 def grid_finish(t, cid=None) -> DataFrame:
-    """K2: (grid, finish) of classified results with a grid slot."""
-    return M.grid_finish_points(t, cid=cid)
+    """K2: (grid, finish) of classified results with a grid slot, places
+    gained and its gain / loss / same bucket."""
+    g = M.grid_finish_points(t, cid=cid)
+    gained = F.col("grid") - F.col("finish")
+    return g.select("*", gained.alias("gained"), sign_bucket(gained).alias("bucket"))
 
 
 def _latest_season(df: DataFrame) -> DataFrame:

@@ -142,3 +142,21 @@ def land_csv(t, name: str = "raw") -> str:
         w = df.coalesce(1) if table in ("circuits", "seasons", "constructors", "drivers") else df
         w.write.option("header", True).csv(f"{root}/{table}.csv")
     return root
+
+
+def lap_sessions(t) -> DataFrame:
+    """Laps as a timing feed: three-letter driver codes, day-time intervals
+    for lap / sector / pit times, lower-case compounds, float counters."""
+    def iv(c):
+        return F.make_dt_interval(secs=F.col(c).cast("decimal(18,6)"))
+    laps = t.laps.join(t.drivers.select("driver_id", "code"), "driver_id", "inner")
+    return laps.select(
+        "race_id", F.col("code").alias("Driver"), F.lit(True).alias("IsAccurate"),
+        F.col("lap_number").cast("double").alias("LapNumber"),
+        iv("lap_time_s").alias("LapTime"), iv("sector1_s").alias("Sector1Time"),
+        iv("sector2_s").alias("Sector2Time"), iv("sector3_s").alias("Sector3Time"),
+        F.lower("compound").alias("Compound"), F.col("tyre_life").cast("double").alias("TyreLife"),
+        F.col("stint").cast("double").alias("Stint"), F.col("is_personal_best").alias("IsPersonalBest"),
+        F.when(F.col("pit_in"), F.make_dt_interval(mins=F.lit(90))).alias("PitInTime"),
+        F.when(F.col("pit_out"), F.make_dt_interval(mins=F.lit(91))).alias("PitOutTime"),
+        F.col("track_status").alias("TrackStatus"))

@@ -201,3 +201,47 @@ def test_absent_table_reads_empty_with_schema(spark, tmpdir_path):
     assert st.read("laps", SCHEMAS["laps"]).count() == 0
     with pytest.raises(FileNotFoundError):
         st.read("laps")
+
+
+def test_parameterised_sql_and_marts(spark, tmpdir_path):
+    from stintlake.plans.sql import DRIVERS_OF_TEAMS, TEAM_SEASONS, execute_query, materialize_marts
+    from tests.fixtures import model_star
+
+    star = model_star(spark)
+    r = execute_query(spark, star, TEAM_SEASONS, {"cid": 9}).collect()[0]
+    assert (r.season, r.total_points, r.wins, r.total_races) == (2024, 258.0, 6, 12)
+    got = execute_query(spark, star, DRIVERS_OF_TEAMS, {"refs": F.array(F.lit("red_bull"))}).collect()
+    assert sorted(x.driver_id for x in got) == [1, 2]
+    st = Store(spark, f"{tmpdir_path}/marts")
+    materialize_marts(star, st, 9)
+    assert st.read("mart_driver_summary").count() == 2
+
+
+def test_invalid_refs_rejected(spark):
+    from stintlake.plans import models as M
+    from tests.fixtures import model_star
+
+    with pytest.raises(ValueError):
+        M.teammate_delta(model_star(spark), refs=["red_bull'; drop"])
+
+
+def test_laps_from_sessions(spark):
+    from stintlake.sources.laps import laps_from_sessions
+    rows = [(202401, "VER", True, 1.0, datetime.timedelta(seconds=90.5), None, None, None, "soft", 1.0, 1.0, None,
+             None, datetime.timedelta(minutes=91), "1"),
+            (202401, "VER", None, 2.0, datetime.timedelta(seconds=91.0), None, None, None, "soft", 2.0, 1.0, None,
+             None, None, "1"),
+            (202401, "XXX", True, 1.0, datetime.timedelta(seconds=95.0), None, None, None, "hard", 1.0, 1.0, None,
+             None, None, "1"),
+            (202401, "VER", True, 3.0, None, None, None, None, "soft", 3.0, 1.0, None, None, None, "1")]
+    sessions = spark.createDataFrame(rows, "race_id long, Driver string, IsAccurate boolean, LapNumber double, "
+                                     "LapTime interval day to second, Sector1Time interval day to second, "
+                                     "Sector2Time interval day to second, Sector3Time interval day to second, "
+                                     "Compound string, TyreLife double, Stint double, IsPersonalBest boolean, "
+                                     "PitInTime interval day to second, PitOutTime interval day to second, "
+                                     "TrackStatus string")
+    codes = spark.createDataFrame([(202401, "VER", 1)], "race_id long, code string, driver_id long")
+    got = laps_from_sessions(sessions, codes).collect()
+    assert len(got) == 1
+    r = got[0]
+    assert (r.lap_number, r.lap_time_s, r.compound, r.pit_in, r.pit_out) == (1, 90.5, "SOFT", False, True)
