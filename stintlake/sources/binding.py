@@ -153,24 +153,33 @@ def bind_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                  F.lit("14:00:00").alias("race_time"),
                  F.concat(F.lit("race/"), F.col("o_orderkey").cast("string")).alias("url"),
              ))
-    seasons = races.select("year").distinct().select(
-        "year", F.concat(F.lit("season/"), F.col("year").cast("string")).alias("url"))
+    seasons = seasons_of(races)
     return dict(circuits=circuits, constructors=constructors, drivers=drivers,
                 seasons=seasons, races=races)
 
 
+def seasons_of(races: DataFrame) -> DataFrame:
+    return races.select("year").distinct().select(
+        "year", F.concat(F.lit("season/"), F.col("year").cast("string")).alias("url"))
+
+
 LI_COLS = ["l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
            "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-def bind_results_src(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rank_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every lineitem with its rank (``stop``) within (order, supplier) by
+    all of its columns: rank 1 is the result row, every rank a pit stop."""
+    lineitem = _read(spark, sf_dir, "lineitem")
+    w = Window.partitionBy("l_orderkey", "l_suppkey").orderBy(*LI_COLS)
+    return lineitem.select("l_orderkey", "l_suppkey", *LI_COLS, F.row_number().over(w).alias("stop"))
+
+
+def bind_results_src(spark: SparkSession, sf_dir: str, ranked: DataFrame | None = None) -> DataFrame:
     """One result per (order, supplier): the smallest lineitem row."""
     supplier = _read(spark, sf_dir, "supplier")
-    lineitem = _read(spark, sf_dir, "lineitem")
-    li_cols = LI_COLS
-    picked = (lineitem.groupBy("l_orderkey", "l_suppkey")
-              .agg(F.min(F.struct(*li_cols)).alias("r"))
-              .select("l_orderkey", "l_suppkey", "r.*"))
+    ranked = ranked if ranked is not None else rank_lineitems(spark, sf_dir)
+    picked = ranked.filter(F.col("stop") == 1).drop("stop")
     src = picked.join(supplier.select("s_suppkey", "s_nationkey"),
                       picked.l_suppkey == supplier.s_suppkey, "inner")
     retired = F.col("l_returnflag") == "R"
@@ -206,9 +215,8 @@ def bind_results_src(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bind_facts(spark: SparkSession, sf_dir: str, results_src: DataFrame,
-               races: DataFrame) -> dict[str, DataFrame]:
-    lineitem = _read(spark, sf_dir, "lineitem")
-    li_cols = LI_COLS
+               races: DataFrame, ranked: DataFrame | None = None) -> dict[str, DataFrame]:
+    ranked = ranked if ranked is not None else rank_lineitems(spark, sf_dir)
     results = results_src.drop("_partkey")
 
     qpos = (F.col("_partkey") % 20 + 1).cast("int")
@@ -222,12 +230,11 @@ def bind_facts(spark: SparkSession, sf_dir: str, results_src: DataFrame,
             F.concat(F.lit("1:2"), (F.col("_partkey") % 8).cast("string"), F.lit(".125"))).alias("q3"),
     )
 
-    w_stop = Window.partitionBy("l_orderkey", "l_suppkey").orderBy(*li_cols)
     ms = F.floor("l_extendedprice").cast("bigint")
-    pit = lineitem.select("l_orderkey", "l_suppkey", *li_cols).select(
+    pit = ranked.select(
         F.col("l_orderkey").alias("race_id"),
         F.col("l_suppkey").alias("driver_id"),
-        F.row_number().over(w_stop).alias("stop"),
+        F.col("stop").cast("int").alias("stop"),
         F.col("l_quantity").cast("int").alias("lap"),
         ms.alias("milliseconds"),
     )
@@ -318,6 +325,15 @@ STAR_TABLES = ["circuits", "constructors", "drivers", "seasons", "races", "resul
                "qualifying", "pit_stops", "driver_standings", "constructor_standings", "laps"]
 
 
+def _code_version() -> str:
+    """Fingerprint of the binding rules themselves: a changed rule gets a
+    fresh load instead of stale stored tables."""
+    import hashlib
+
+    with open(__file__, "rb") as fh:
+        return hashlib.sha1(fh.read()).hexdigest()[:10]
+
+
 def load_star(spark: SparkSession, sf_dir: str, root: str | None = None,
               refresh: bool = False) -> Star:
     """Bind once and store the star tables (the load step); later calls
@@ -329,14 +345,17 @@ def load_star(spark: SparkSession, sf_dir: str, root: str | None = None,
     from stintlake.sources.store import Store
 
     base = Store(spark, root or shared_dir(spark, "stintlake-star"))
-    sig = base.input_signature([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES])
+    sig = base.input_signature([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES]) + "-" + _code_version()
     st = Store(spark, f"{base.root}/{sig}")
     if refresh or not st.exists("laps"):
         dims = bind_dims(spark, sf_dir)
-        for name, df in dims.items():
-            st.write_full(name, df)
-        st.write_full("results_src", bind_results_src(spark, sf_dir))
-        facts = bind_facts(spark, sf_dir, st.read("results_src"), st.read("races"))
+        for name in ("circuits", "constructors", "drivers", "races"):
+            st.write_full(name, dims[name])
+        st.write_full("seasons", seasons_of(st.read("races")))
+        st.write_full("lineitem_ranked", rank_lineitems(spark, sf_dir))
+        ranked = st.read("lineitem_ranked")
+        st.write_full("results_src", bind_results_src(spark, sf_dir, ranked))
+        facts = bind_facts(spark, sf_dir, st.read("results_src"), st.read("races"), ranked)
         for name, df in facts.items():
             st.write_full(name, df)
     return Star(loader=st.read)
