@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stintlake.functions.columns import finished, full_name, round_even, round_half_up
-from stintlake.functions.stats import chi2_ppf_udf, t_ppf_udf, t_sf2_udf
+from stintlake.functions.stats import chi2_ppf_udf, t_sf2_udf, t_test_udf
 from stintlake.operators.joins import pairs, team_by_refs, team_filter, with_driver_name
 from stintlake.session import cut_lineage
 
@@ -70,16 +70,12 @@ def teammate_delta(t, refs=None, cid=None, min_shared_races: int = 5,
     if not inference:
         cols += [round_half_up("sd", 6).alias("sd_delta"), "n"]
         return agg.select(*cols).orderBy(TEAM, "mean_delta", "driver_id_a", "driver_id_b")
-    sem = F.col("sd") / F.sqrt(F.col("n").cast("double"))
-    dfree = (F.col("n") - 1).cast("double")
-    tq = t_ppf_udf(F.lit(0.975), dfree)
-    tstat = F.try_divide(F.col("mean"), sem)  # UDF inputs are computed before the branch
-    # zero spread: the mean is exact; p = 0 unless the mean is 0, no interval
-    p = F.when(sem == 0, F.when(F.col("mean") != 0, F.lit(0.0))).otherwise(t_sf2_udf(tstat, dfree))
-    lo = F.when(sem > 0, F.col("mean") - tq * sem)
-    hi = F.when(sem > 0, F.col("mean") + tq * sem)
-    return (agg.select(*cols, round_even(lo, 3).alias("ci_lower"), round_even(hi, 3).alias("ci_upper"),
-                       "n", round_even(p, 6).alias("p_value"))
+    test = t_test_udf(F.col("mean"), F.col("sd"), F.col("n").cast("double"))
+    out = agg.select("*", test.alias("t"))
+    lo = F.col("mean") - F.col("t.half_width")
+    hi = F.col("mean") + F.col("t.half_width")
+    return (out.select(*cols, round_even(lo, 3).alias("ci_lower"), round_even(hi, 3).alias("ci_upper"),
+                       "n", round_even("t.p_value", 6).alias("p_value"))
             .orderBy(TEAM, "mean_delta", "driver_id_a", "driver_id_b"))
 
 
