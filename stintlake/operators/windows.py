@@ -86,24 +86,50 @@ def with_lag_delta(df: DataFrame, part, order, value: str, prev: str = "prev_poi
     return out.withColumn(delta, d)
 
 
-def ffill(df: DataFrame, part, order, cols: Sequence[str]) -> DataFrame:
-    """Forward fill: last non-null value at or before each row."""
-    part, order = _cols(part), _cols(order)
-    w = (Window.partitionBy(*part) if part else Window.partitionBy()).orderBy(*order) \
-        .rowsBetween(_UNB, 0)
-    return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
-
+def ffill(df: DataFrame, part, order, cols: Sequence[str], block: int | None = None) -> DataFrame:
+    """Forward fill: last non-null value at or before each row.
 
-def segments(df: DataFrame, part, order, value: str, out: str = "segment") -> DataFrame:
+    With ``block`` (one integer order column) each block fills within
+    itself and takes the carry-in from the last non-null value of the
+    nearest earlier block that has one (a window over the small per-block
+    table)."""
+    part, order = _cols(part), _cols(order)
+    if block is None:
+        w = (Window.partitionBy(*part) if part else Window.partitionBy()).orderBy(*order) \
+            .rowsBetween(_UNB, 0)
+        return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
+                           for c in df.columns])
+    o = order[0]
+    base = df.withColumn("__blk", _block(o, block))
+    w_in = Window.partitionBy(*part, "__blk").orderBy(*order).rowsBetween(_UNB, 0)
+    within = base.select("*", *[F.last(c, ignorenulls=True).over(w_in).alias(f"__in_{c}") for c in cols])
+    lasts = within.groupBy(*part, "__blk").agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(o))).alias(f"__last_{c}") for c in cols])
+    w_blk = (Window.partitionBy(*part) if part else Window.partitionBy()).orderBy("__blk").rowsBetween(_UNB, -1)
+    carry = lasts.select(*part, "__blk", *[F.last(f"__last_{c}", ignorenulls=True).over(w_blk).alias(f"__carry_{c}")
+                                          for c in cols])
+    out = within.join(carry, [*part, "__blk"], "inner")
+    return out.select(*[F.coalesce(F.col(f"__in_{c}"), F.col(f"__carry_{c}")).alias(c) if c in cols
+                        else F.col(c) for c in df.columns])
+
+
+def segments(df: DataFrame, part, order, value: str, out: str = "segment", block: int | None = None) -> DataFrame:
     """Segment id that increases whenever the sign of ``value`` flips
-    against the previous row (lead changes)."""
+    against the previous row (lead changes): a lag of the sign and a
+    running sum of the flips, both block-split when ``block`` is given."""
     part, order = _cols(part), _cols(order)
-    w = (Window.partitionBy(*part) if part else Window.partitionBy()).orderBy(*order)
-    sign = F.signum(F.col(value))
-    changed = F.when(F.lag(sign).over(w).isNull() | (F.lag(sign).over(w) == sign), 0).otherwise(1)
-    tmp = df.withColumn("__chg", changed)
-    return tmp.withColumn(out, F.sum("__chg").over(w.rowsBetween(_UNB, 0))).drop("__chg")
+    tmp = df.withColumn("__sign", F.signum(F.col(value)))
+    if part:
+        tmp = with_lag(tmp, part, order, "__sign", "__prev_sign", block)
+    else:
+        tmp = tmp.withColumn("__prev_sign", F.lag("__sign").over(Window.partitionBy().orderBy(*order)))
+    changed = F.when(F.col("__prev_sign").isNull() | (F.col("__prev_sign") == F.col("__sign")), 0).otherwise(1)
+    tmp = tmp.withColumn("__chg", changed)
+    if part:
+        res = running_sum(tmp, part, order, {out: "__chg"}, block)
+    else:
+        res = tmp.withColumn(out, F.sum("__chg").over(Window.partitionBy().orderBy(*order).rowsBetween(_UNB, 0)))
+    return res.drop("__sign", "__prev_sign", "__chg")
 
 
 def share_of_total(df: DataFrame, value: str, part=(), out: str = "share",

@@ -16,8 +16,10 @@ from stintlake.functions.columns import (clip, position_label, round_half_up, ro
 from stintlake.operators.joins import team_filter, with_driver_name
 from stintlake.operators.windows import delta_from_best, ffill, running_sum, segments
 from stintlake.plans import models as M
+from stintlake.session import cut_lineage
 
 TEAM = "constructor_id"
+ROUND_BLOCK = 64  # rounds per block for team-season windows
 
 
 def round_by_round(t, cid=None, latest_only: bool = False) -> DataFrame:
@@ -70,8 +72,9 @@ def finish_positions(t, cid=None) -> DataFrame:
 def points_gap(t, cid=None) -> DataFrame:
     """K5: latest season, the two drivers with the most points (season
     maximum, ties by id): points per round carried forward, gap a − b,
-    lead-change segment id, leader and margin (null until both scored)."""
-    k1 = round_by_round(t, cid, latest_only=True)
+    lead-change segment id, leader and margin (null until both scored).
+    The latest-season rows feed six branches, so they are stored once."""
+    k1 = cut_lineage(round_by_round(t, cid, latest_only=True), "k1_latest")
     best = k1.groupBy(TEAM, "driver_id", "driver").agg(F.max("points").alias("season_max"))
     w = Window.partitionBy(TEAM).orderBy(F.col("season_max").desc(), F.col("driver_id"))
     top2 = best.withColumn("slot", F.row_number().over(w)).filter(F.col("slot") <= 2)
@@ -84,9 +87,10 @@ def points_gap(t, cid=None) -> DataFrame:
     wide = rows.groupBy(TEAM, "year", "round").agg(
         F.max(F.when(F.col("slot") == 1, F.col("points"))).alias("points_a"),
         F.max(F.when(F.col("slot") == 2, F.col("points"))).alias("points_b"))
-    wide = ffill(wide, TEAM, "round", ["points_a", "points_b"])
+    # a team's season can hold many rounds: both windows are block-split
+    wide = ffill(wide, TEAM, "round", ["points_a", "points_b"], block=ROUND_BLOCK)
     wide = wide.withColumn("gap", F.col("points_a") - F.col("points_b"))
-    seg = segments(wide.filter(F.col("gap").isNotNull()), TEAM, "round", "gap", "segment")
+    seg = segments(wide.filter(F.col("gap").isNotNull()), TEAM, "round", "gap", "segment", block=ROUND_BLOCK)
     out = wide.join(seg.select(TEAM, "round", "segment"), [TEAM, "round"], "left").join(names, TEAM, "inner")
     leader = F.when(F.col("gap") >= 0, surname_of("driver_a")).when(F.col("gap") < 0, surname_of("driver_b"))
     return out.select(TEAM, "year", "round", "driver_a", "driver_b", "points_a", "points_b", "gap",

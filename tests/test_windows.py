@@ -48,3 +48,21 @@ def test_top_k_per_group(spark):
     df = _data(spark)
     got = top_k(df, "p", [F.col("v").desc(), F.col("o")], 3).collect()
     assert sorted({r.p for r in got}) == [1, 2, 3] and len(got) == 9
+
+
+def test_ffill_block_equals_plain(spark):
+    from stintlake.operators.windows import ffill
+    df = _data(spark)
+    a = ffill(df, "p", "o", ["x"])
+    b = ffill(df, "p", "o", ["x"], block=37)
+    cols = ["p", "o", "x"]
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+
+
+def test_segments_block_equals_plain(spark):
+    from stintlake.operators.windows import segments
+    df = _data(spark).withColumn("g", F.col("v") - 15)
+    a = segments(df, "p", "o", "g", "seg")
+    b = segments(df, "p", "o", "g", "seg", block=41)
+    cols = ["p", "o", "seg"]
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
