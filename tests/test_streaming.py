@@ -23,3 +23,20 @@ def test_stream_upsert_two_runs(spark, tmpdir_path):
     # nothing new: a third run leaves the table as it is
     stream_upsert(spark, src + "/*", schema, st, "t", "k", ckpt, order_col="seq")
     assert st.read("t").count() == 3
+
+
+def test_incremental_append_processes_only_new_files(spark, tmpdir_path):
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import _parse_datatype_string
+
+    from stintlake.streaming.ingest import incremental_append
+
+    schema = _parse_datatype_string(SCHEMA)
+    src, out, ckpt = (os.path.join(tmpdir_path, x) for x in ("src", "out", "ckpt"))
+    double = lambda df: df.withColumn("v2", F.concat("v", "v"))
+    spark.createDataFrame([(1, "a", 1)], SCHEMA).write.parquet(src + "/b1")
+    incremental_append(spark, src + "/*", schema, double, out, ckpt)
+    spark.createDataFrame([(2, "b", 1)], SCHEMA).write.parquet(src + "/b2")
+    incremental_append(spark, src + "/*", schema, double, out, ckpt)
+    rows = sorted((r.k, r.v2) for r in spark.read.parquet(out).collect())
+    assert rows == [(1, "aa"), (2, "bb")]
