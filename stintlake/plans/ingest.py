@@ -14,7 +14,7 @@ from stintlake.sources import landing, nested
 
 def _docs(t, make, name: str) -> DataFrame:
     spark = t.results.sparkSession
-    return nested.read_documents(spark, landing.land(make(t), name))
+    return nested.read_documents(spark, landing.land(make(t), name, t.key))
 
 
 def flatten_results_json(t) -> DataFrame:
@@ -66,9 +66,15 @@ def _pipeline(t):
     from stintlake.session import shared_dir
 
     spark = t.results.sparkSession
+    from stintlake.sources.store import Store
+
     raw = landing.land_csv(t)
     cfg = PipelineConfig(start_year=C.START_YEAR, end_year=C.END_YEAR, mode="full")
-    return run_pipeline(spark, raw, shared_dir(spark, f"pipeline/{uuid.uuid4().hex[:12]}"), cfg)
+    root = shared_dir(spark, f"pipeline/{t.key or uuid.uuid4().hex[:12]}")
+    st = Store(spark, root)
+    for table in st.fs.list_names(root):  # earlier runs over the same input
+        st.vacuum(table, keep=0)
+    return run_pipeline(spark, raw, root, cfg)
 
 
 def pipeline_quality(t) -> DataFrame:
@@ -91,6 +97,9 @@ def laps_from_sessions(t) -> DataFrame:
     from stintlake.sources.laps import laps_from_sessions as _laps, team_race_codes
 
     spark = t.results.sparkSession
-    path = shared_dir(spark, f"landing/sessions-{uuid.uuid4().hex[:12]}")
-    landing.lap_sessions(t).write.parquet(path)
+    from stintlake.sources.store import write_once
+
+    path = shared_dir(spark, f"landing/sessions-{t.key or uuid.uuid4().hex[:12]}")
+    sessions = landing.lap_sessions(t)
+    write_once(spark, path, lambda p: sessions.write.parquet(p))
     return _laps(spark.read.parquet(path), team_race_codes(t.results, t.drivers))

@@ -24,8 +24,14 @@ RESULT_KEYS = PRIMARY_KEYS["results"]
 
 
 def _fresh_store(t, name: str) -> Store:
+    """A store for one run. Runs over the same stored star share a folder
+    whose older versions are vacuumed, so repeated runs do not pile up."""
     spark = t.results.sparkSession
-    return Store(spark, shared_dir(spark, f"loads/{name}-{uuid.uuid4().hex[:12]}"))
+    st = Store(spark, shared_dir(spark, f"loads/{name}-{t.key or uuid.uuid4().hex[:12]}"))
+    for table in st.fs.list_names(st.root):
+        if not table.startswith("_"):
+            st.vacuum(table, keep=0)
+    return st
 
 
 def _years(t) -> DataFrame:
@@ -56,12 +62,13 @@ def stream_upsert(t) -> DataFrame:
     stream merges each micro-batch by key; run twice on one checkpoint."""
     spark = t.results.sparkSession
     st = _fresh_store(t, "stream")
-    src = st.root + "/_landing"
-    ckpt = st.root + "/_checkpoint"
+    run = f"{st.root}/_run-{uuid.uuid4().hex[:10]}"
+    src, ckpt = run + "/landing", run + "/checkpoint"
     _first_load(t).write.parquet(src + "/b1")
     _stream_upsert(spark, src + "/*", SCHEMAS["results"], st, "results", RESULT_KEYS, ckpt)
     _updates(t).write.parquet(src + "/b2")
     _stream_upsert(spark, src + "/*", SCHEMAS["results"], st, "results", RESULT_KEYS, ckpt)
+    st.fs.delete(run)  # batches consumed; the merged table is committed in the store
     return st.read("results")
 
 

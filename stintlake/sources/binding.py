@@ -51,10 +51,15 @@ class Star:
     _NAMES = ("circuits", "constructors", "drivers", "seasons", "races", "results",
               "qualifying", "pit_stops", "driver_standings", "constructor_standings", "laps")
 
-    def __init__(self, loader=None, **tables: DataFrame):
+    def __init__(self, loader=None, key: str | None = None, **tables: DataFrame):
         self._loader = loader
+        self._key = key  # identity of stored tables (None: in-memory frames)
         self._tables = dict(tables)
 
+    @property
+    def key(self) -> str | None:
+        return self.__dict__["_key"]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
@@ -358,4 +363,4 @@ def load_star(spark: SparkSession, sf_dir: str, root: str | None = None,
         facts = bind_facts(spark, sf_dir, st.read("results_src"), st.read("races"), ranked)
         for name, df in facts.items():
             st.write_full(name, df)
-    return Star(loader=st.read)
+    return Star(loader=st.read, key=sig)

@@ -103,12 +103,18 @@ def standings_documents(t, kind: str = "driver") -> DataFrame:
                                 F.lit("]}}}")).alias("value"))
 
 
-def land(docs: DataFrame, name: str) -> str:
-    """Write documents (one per line) to a fresh folder in the shared
-    checkpoint dir and return its path."""
-    path = shared_dir(docs.sparkSession, f"landing/{name}-{uuid.uuid4().hex[:12]}")
-    docs.write.mode("errorifexists").text(path)
-    return path
+def _landing_path(spark, name: str, key: str | None) -> str:
+    return shared_dir(spark, f"landing/{name}-{key or uuid.uuid4().hex[:12]}")
+
+
+def land(docs: DataFrame, name: str, key: str | None = None) -> str:
+    """Write documents (one per line) to the shared checkpoint dir and
+    return the folder. With ``key`` (the identity of the star they come
+    from) the documents are written once and reused."""
+    from stintlake.sources.store import write_once
+
+    path = _landing_path(docs.sparkSession, name, key)
+    return write_once(docs.sparkSession, path, lambda p: docs.write.text(p))
 
 
 def raw_csv_tables(t) -> dict[str, DataFrame]:
@@ -135,12 +141,14 @@ def raw_csv_tables(t) -> dict[str, DataFrame]:
 
 def land_csv(t, name: str = "raw") -> str:
     """Write the raw CSV layout (header row, one folder per table named
-    ``<table>.csv``) to a fresh folder in the shared checkpoint dir."""
+    ``<table>.csv``) to the shared checkpoint dir (once per stored star)."""
+    from stintlake.sources.store import write_once
+
     spark = t.results.sparkSession
-    root = shared_dir(spark, f"landing/{name}-{uuid.uuid4().hex[:12]}")
+    root = _landing_path(spark, name, getattr(t, "key", None))
     for table, df in raw_csv_tables(t).items():
         w = df.coalesce(1) if table in ("circuits", "seasons", "constructors", "drivers") else df
-        w.write.option("header", True).csv(f"{root}/{table}.csv")
+        write_once(spark, f"{root}/{table}.csv", lambda p, w=w: w.write.option("header", True).csv(p))
     return root
 
 

@@ -46,6 +46,12 @@ class _FS:
             return []
         return [s.getPath().getName() for s in self._fs.listStatus(p)]
 
+    def rename(self, src: str, dst: str) -> bool:
+        return bool(self._fs.rename(self._Path(src), self._Path(dst)))
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._Path(path), True)
+
     def size(self, path: str) -> tuple[int, int]:
         st = self._fs.getFileStatus(self._Path(path))
         return int(st.getLen()), int(st.getModificationTime())
@@ -132,6 +138,14 @@ class Store:
             return self._commit(table, df)
         return self._commit(table, self.read(table).unionByName(df, allowMissingColumns=True))
 
+    def vacuum(self, table: str, keep: int = 2) -> None:
+        """Drop all but the newest ``keep`` committed versions (marker first,
+        so a reader never picks a half-deleted version)."""
+        vs = self.versions(table)
+        for v in (vs[:-keep] if keep > 0 else vs):
+            self.fs.delete(f"{self.root}/{table}/{v}.committed")
+            self.fs.delete(f"{self.root}/{table}/{v}")
+
     def input_signature(self, paths: list[str]) -> str:
         """Cheap fingerprint of input files (length and modification time)."""
         import hashlib
@@ -149,3 +163,18 @@ def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
 
 def add_run_columns(df: DataFrame, **cols) -> DataFrame:
     return df.select("*", *[F.lit(v).alias(k) for k, v in cols.items()])
+
+
+def write_once(spark: SparkSession, path: str, write) -> str:
+    """Materialise ``write(tmp_path)`` at ``path`` exactly once: written to a
+    unique folder, then renamed into place; when another writer got there
+    first, its copy is used. Returns ``path``."""
+    fs = _FS(spark, path)
+    if fs.exists(f"{path}/_SUCCESS"):
+        return path
+    tmp = f"{path}.tmp-{uuid.uuid4().hex[:10]}"
+    write(tmp)
+    if not fs.rename(tmp, path) or not fs.exists(f"{path}/_SUCCESS"):
+        if not fs.exists(f"{path}/_SUCCESS"):
+            raise RuntimeError(f"could not publish {path}")
+    return path
