@@ -126,14 +126,3 @@ def resolve_ref(df: DataFrame, ref_col: str, id_col: str, dim: DataFrame | None,
         "level", F.when(F.col("dropout_pct") > 5.0, "error")
         .when(F.col("unmapped") > 0, "warning").otherwise("ok"))
     return mapped, dropout
-
-
-def broadcast_bounded(small: DataFrame, bound_by: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``small`` when its size is provably bounded: it has at most
-    one row per row of ``bound_by`` (a dimension, e.g. one row per team)
-    and that dimension is counted to hold at most ``max_rows`` rows.
-    Beyond the bound the frame is returned unchanged and Spark's planner
-    (shuffle join, AQE) decides."""
-    if bound_by.count() <= max_rows:
-        return F.broadcast(small)
-    return small

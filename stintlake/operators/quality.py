@@ -35,6 +35,17 @@ def _agg_checks(df: DataFrame, checks: dict[str, Column], expected: dict[str, st
     return long.select("check", F.col("n").cast("string").alias("value"), exp[F.col("check")].alias("expected"))
 
 
+def _with_parent_flags(child: DataFrame, fks: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """Tag each child row with whether each foreign key finds a parent
+    (parents reduced to distinct non-null keys, so a duplicated parent key
+    cannot multiply rows). One pass then counts every orphan kind."""
+    out = child
+    for key, parent, flag in fks:
+        keys = parent.select(key).filter(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
+        out = out.join(keys, key, "left")
+    return out
+
+
 def _orphans(child: DataFrame, parent: DataFrame, key: str) -> Column:
     return child.join(parent.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti") \
         .agg(F.count(F.lit(1)).alias("n"))
@@ -63,8 +74,22 @@ def quality_checks(t, start_year: int, end_year: int, skipped: DataFrame | None
         parts.append(_guard(spark, name, build))
 
     # non-empty, year range, primary-key uniqueness (one pass per table)
-    add("results", lambda: _agg_checks(t.results, {"results_non_empty": F.count(F.lit(1))},
-                                       {"results_non_empty": "> 0"}))
+    # results: emptiness, three foreign keys and the value rules in ONE pass
+    def results_pass() -> DataFrame:
+        tagged = _with_parent_flags(t.results, [("race_id", t.races, "__race"),
+                                                ("driver_id", t.drivers, "__driver"),
+                                                ("constructor_id", t.constructors, "__constructor")])
+        checks = {"results_non_empty": F.count(F.lit(1)),
+                  "results_race_fk": F.count_if(F.col("__race").isNull()),
+                  "results_driver_fk": F.count_if(F.col("__driver").isNull()),
+                  "results_constructor_fk": F.count_if(F.col("__constructor").isNull())}
+        checks.update({f"results_{c}_non_negative": F.count_if(F.col(c) < 0)
+                       for c in ("points", "laps", "grid", "position_order")})
+        checks["results_position_order_consistency"] = F.count_if(
+            F.col("position").isNotNull() & F.col("position").cast("int").between(1, 20)
+            & (F.col("position_order") == DNF_POSITION_ORDER))
+        return _agg_checks(tagged, checks, {"results_non_empty": "> 0"})
+    add("results", results_pass)
     add("drivers", lambda: _agg_checks(t.drivers, {
         "drivers_non_empty": F.count(F.lit(1)),
         "drivers_unique": F.count(F.lit(1)) - F.count_distinct("driver_id")},
@@ -79,20 +104,11 @@ def quality_checks(t, start_year: int, end_year: int, skipped: DataFrame | None
     add("circuits", lambda: _agg_checks(t.circuits, {
         "circuits_unique": F.count(F.lit(1)) - F.count_distinct("circuit_id")}, {}))
     # foreign keys (anti joins; a null key is an orphan)
-    for child, key, parent in [("results", "race_id", "races"), ("results", "driver_id", "drivers"),
-                               ("results", "constructor_id", "constructors"),
-                               ("qualifying", "race_id", "races"), ("pit_stops", "race_id", "races")]:
+    for child, key, parent in [("qualifying", "race_id", "races"), ("pit_stops", "race_id", "races")]:
         name = f"{child}_{key.replace('_id', '')}_fk"
         add(name, lambda c=child, k=key, p=parent, n=name: _orphans(getattr(t, c), getattr(t, p), k)
             .select(F.lit(n).alias("check"), F.col("n").cast("string").alias("value"),
                     F.lit("0").alias("expected")))
-    # value rules on results (one pass)
-    res_checks = {f"results_{c}_non_negative": F.count_if(F.col(c) < 0)
-                  for c in ("points", "laps", "grid", "position_order")}
-    res_checks["results_position_order_consistency"] = F.count_if(
-        F.col("position").isNotNull() & F.col("position").cast("int").between(1, 20)
-        & (F.col("position_order") == DNF_POSITION_ORDER))
-    add("results_rules", lambda: _agg_checks(t.results, res_checks, {}))
     # all seasons present (expected minus present)
     def missing_years() -> DataFrame:
         present = t.races.filter(F.col("year").between(start_year, end_year)).select("year").distinct()
@@ -115,16 +131,17 @@ def quality_checks(t, start_year: int, end_year: int, skipped: DataFrame | None
             return miss.agg(F.count(F.lit(1)).cast("string").alias("value")) \
                 .select(F.lit(name).alias("check"), "value", F.lit("0").alias("expected"))
         add(name, build)
-    # lap checks (all zero when there are no laps, as if skipped)
-    add("laps_rules", lambda: _agg_checks(t.laps, {
-        "laps_lap_time_bounds": F.count_if(F.col("lap_time_s").isNotNull()
-                                           & ((F.col("lap_time_s") < 60) | (F.col("lap_time_s") > 300))),
-        "laps_invalid_compound": F.count_if(F.col("compound").isNotNull() & ~F.col("compound").isin(COMPOUNDS)),
-    }, {}))
-    for key, parent, name in [("driver_id", "drivers", "laps_driver_fk"), ("race_id", "races", "laps_race_fk")]:
-        add(name, lambda k=key, p=parent, n=name: _orphans(t.laps, getattr(t, p), k)
-            .select(F.lit(n).alias("check"), F.col("n").cast("string").alias("value"),
-                    F.lit("0").alias("expected")))
+    # lap checks in one pass (all zero when there are no laps, as if skipped)
+    def laps_pass() -> DataFrame:
+        tagged = _with_parent_flags(t.laps, [("driver_id", t.drivers, "__driver"), ("race_id", t.races, "__race")])
+        return _agg_checks(tagged, {
+            "laps_lap_time_bounds": F.count_if(F.col("lap_time_s").isNotNull()
+                                               & ((F.col("lap_time_s") < 60) | (F.col("lap_time_s") > 300))),
+            "laps_invalid_compound": F.count_if(F.col("compound").isNotNull() & ~F.col("compound").isin(COMPOUNDS)),
+            "laps_driver_fk": F.count_if(F.col("__driver").isNull()),
+            "laps_race_fk": F.count_if(F.col("__race").isNull()),
+        }, {})
+    add("laps", laps_pass)
 
     allc = parts[0]
     for p in parts[1:]:

@@ -49,6 +49,8 @@ def registry() -> dict[str, Entry]:
         "pit_stop_efficiency": _on_star(Q.pit_stop_efficiency),
         "fastest_pit_stops": _on_star(Q.fastest_pit_stops),
         "championship_progression": _on_star(Q.championship_progression),
+        # the SQL-file form: first round of a season has no previous value
+        "championship_progression_no_fallback": _on_star(Q.championship_progression, fallback=False),
         "driver_championship_battle": _on_star(Q.driver_championship_battle),
         "fastest_laps_analysis": _on_star(Q.fastest_laps_analysis),
         "reliability_analysis": _on_star(Q.reliability_analysis),
