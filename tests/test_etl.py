@@ -245,3 +245,28 @@ def test_laps_from_sessions(spark):
     assert len(got) == 1
     r = got[0]
     assert (r.lap_number, r.lap_time_s, r.compound, r.pit_in, r.pit_out) == (1, 90.5, "SOFT", False, True)
+
+
+def test_schema_drift_and_export(spark, tmpdir_path):
+    from stintlake.schemas import SCHEMAS
+    from stintlake.sources.files import export_csv
+
+    drivers = spark.createDataFrame([], SCHEMAS["drivers"]).drop("code")
+    issues = {(r.table, r.column, r.issue) for r in LG.schema_drift(spark, {"drivers": drivers, "laps": None}).collect()}
+    assert issues == {("drivers", "code", "missing column"), ("laps", None, "missing table")}
+    out = export_csv(spark.createDataFrame([(1, "a")], "k int, v string"), f"{tmpdir_path}/export")
+    back = spark.read.option("header", True).csv(out).collect()
+    assert [(r.k, r.v) for r in back] == [("1", "a")]
+
+
+def test_completeness_and_team_slice(spark):
+    from tests.fixtures import model_star
+
+    star = model_star(spark)
+    c = LG.completeness(star.results, star.races, 2, 2024, 2024).collect()[0]
+    assert (c.races, c.rows, c.short_races, c.complete) == (6, 12, 0, True)
+    c3 = LG.completeness(star.results, star.races, 3, 2024, 2024).collect()[0]
+    assert (c3.short_races, c3.complete) == (6, False)
+    sizes = {(r.table): r.rows for r in LG.team_slice_sizes(star).collect()}
+    assert sizes == {"results": 12, "qualifying": 2, "constructor_standings": 6, "pit_stops": 6,
+                     "driver_standings": 4}
