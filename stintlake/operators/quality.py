@@ -14,7 +14,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 from pyspark.errors import PySparkException
 
 from stintlake import DNF_POSITION_ORDER

@@ -88,14 +88,12 @@ def ledger_pending(t) -> DataFrame:
     """Rounds still to extract for the results feed: all rounds minus
     those done (rounds with qualifying rows) or skipped (rounds without
     results)."""
-    spark = t.results.sparkSession
     work = t.races.select(F.lit("results").alias("dataset"), "year", "round")
     done = t.races.join(t.qualifying.select("race_id").distinct(), "race_id", "left_semi") \
         .select(F.lit("results").alias("dataset"), "year", "round", F.lit("done").alias("state"))
     skipped = t.races.join(t.results.select("race_id").distinct(), "race_id", "left_anti") \
         .select(F.lit("results").alias("dataset"), "year", "round", F.lit("skipped").alias("state"))
     ledger = LG.normalise_ledger(done.unionByName(skipped), 1990, 2010)
-    del spark
     return LG.ledger_pending(work, ledger)
 
 

@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.functions.columns import (avg_finish, count_where, finished, full_name,
-                                         is_dnf, pct, period_label, round_half_up)
-from stintlake.operators.joins import star, team_by_refs, team_filter, with_driver_name
+from stintlake.functions.columns import (avg_finish, count_where, finished, is_dnf, pct,
+                                         period_label, round_half_up)
+from stintlake.operators.joins import star, team_by_refs, team_filter
 from stintlake.operators.windows import share_of_total, top_k, with_lag_delta
 
 TEAM = "constructor_id"
