@@ -330,6 +330,15 @@ STAR_TABLES = ["circuits", "constructors", "drivers", "seasons", "races", "resul
                "qualifying", "pit_stops", "driver_standings", "constructor_standings", "laps"]
 
 
+def _write_all(st, tables: dict, workers: int = 4) -> None:
+    """Write independent tables as concurrent jobs; any failure is raised."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        for f in [pool.submit(st.write_full, n, df) for n, df in tables.items()]:
+            f.result()
+
+
 def _code_version() -> str:
     """Fingerprint of the binding rules themselves: a changed rule gets a
     fresh load instead of stale stored tables."""
@@ -354,13 +363,14 @@ def load_star(spark: SparkSession, sf_dir: str, root: str | None = None,
     st = Store(spark, f"{base.root}/{sig}")
     if refresh or not st.exists("laps"):
         dims = bind_dims(spark, sf_dir)
-        for name in ("circuits", "constructors", "drivers", "races"):
-            st.write_full(name, dims[name])
-        st.write_full("seasons", seasons_of(st.read("races")))
-        st.write_full("lineitem_ranked", rank_lineitems(spark, sf_dir))
+        # independent writes run as concurrent Spark jobs (one session, many threads)
+        _write_all(st, {**{n: dims[n] for n in ("circuits", "constructors", "drivers", "races")},
+                        "lineitem_ranked": rank_lineitems(spark, sf_dir)})
         ranked = st.read("lineitem_ranked")
-        st.write_full("results_src", bind_results_src(spark, sf_dir, ranked))
+        _write_all(st, {"seasons": seasons_of(st.read("races")),
+                        "results_src": bind_results_src(spark, sf_dir, ranked)})
         facts = bind_facts(spark, sf_dir, st.read("results_src"), st.read("races"), ranked)
-        for name, df in facts.items():
-            st.write_full(name, df)
+        # laps last: its presence marks a complete load
+        _write_all(st, {n: df for n, df in facts.items() if n != "laps"})
+        st.write_full("laps", facts["laps"])
     return Star(loader=st.read, key=sig)
