@@ -1,9 +1,11 @@
 """Post-load integrity checks, contracts and column tests.
 
 Result shape everywhere: a DataFrame of ``(check, value, expected)`` rows
-(strings); any failure row means the gate fails. Single-table predicates of
-a table are evaluated in ONE aggregate pass and unpivoted to rows; only the
-foreign-key checks need joins (anti joins, null keys count as orphans). A
+(strings); any failure row means the gate fails. The checks of a table are
+evaluated in ONE aggregate pass and unpivoted to rows; for the large fact
+tables (results, laps) that pass includes the foreign keys, through left
+joins to the distinct parent keys; qualifying and pit stops use anti joins.
+A null key counts as an orphan. A
 check whose plan cannot be built (missing table or column) becomes an
 ``error: ...`` row instead of aborting the run.
 """

@@ -2,8 +2,9 @@
 
 Only the data is built here (the drawing is out of scope). Every series is
 per team: ``cid`` selects teams, None keeps all with ``constructor_id`` as
-a key. Season-wide windows are split by round blocks (see
-``operators.windows``) so a long season of one team is not one task.
+a key. Windows over a team's whole season (K5) are split by round blocks
+(see ``operators.windows``) so a long season of one team is not one task;
+windows over one driver's season stay plain (bounded by its rounds).
 """
 
 from __future__ import annotations

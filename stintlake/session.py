@@ -13,9 +13,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     """Session for local runs and tests.
 
     On a cluster the session comes from the launcher; this helper only fills
-    settings that are unset. AQE re-plans joins and coalesces/splits shuffle
-    partitions at run time, which is what keeps the team- and year-keyed
-    aggregates balanced when one key is hot.
+    settings that are unset. AQE re-plans joins from measured sizes,
+    coalesces small shuffle partitions and splits skewed join partitions;
+    hot keys in aggregates are handled by partial (map-side) aggregation,
+    and in windows by the block split of ``operators.windows``.
     """
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = (

@@ -31,7 +31,7 @@ def test_every_query_has_a_twin_or_is_rows_only():
     assert set(s) <= set(q)
     rows_only = set(q) - set(s)
     assert rows_only <= {"teammate_delta_inference", "grid_finish_ols_inference", "dnf_rate_ci", "dnf_ci",
-                         "teammate_labels", "schema_drift"}
+                         "teammate_labels"}
 
 
 @pytest.mark.parametrize("name", NAMES)
