@@ -16,7 +16,8 @@ def spark():
     s = (SparkSession.builder.master("local[4]").appName("stintlake-tests")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", "4")
+         .config("spark.sql.shuffle.partitions", "2")
+         .config("spark.default.parallelism", "2")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
