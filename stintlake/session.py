@@ -70,3 +70,36 @@ def cut_lineage(df, name: str = "cut"):
     path = shared_dir(spark, f"stintlake-cut/{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings sized to the input for a cluster run.
+
+    * initial shuffle partitions: enough that each holds about
+      ``target_partition_bytes`` of the (largest) shuffled input, and at
+      least two waves of tasks over the cores; AQE then coalesces small ones
+      and splits skewed join partitions;
+    * scan splits of 256 MB, so a 100 TB scan is ~400k tasks of bounded size;
+    * broadcast threshold kept at a checked 64 MB: only dimension-sized sides.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    """Apply runtime SQL settings to a session (skips static ones)."""
+    for k, v in settings.items():
+        try:
+            spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - static settings belong to the launcher
+            pass
