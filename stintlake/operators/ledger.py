@@ -139,3 +139,20 @@ class RunLog:
         key = F.struct(F.coalesce("ended_at", "started_at"), F.col("status") != "running")
         return r.groupBy("run_id").agg(*[F.max_by(c, key).alias(c) for c in
                                          ("started_at", "ended_at", "status", "source_url", "mode")])
+
+
+def ledger_from_json(spark: SparkSession, path: str, dataset: str, start_year: int, end_year: int) -> DataFrame:
+    """Progress files of the source (``{"years": {y: [rounds]}, "skipped":
+    {y: [rounds]}}``, or the older flat ``{y: [rounds]}``) as ledger rows,
+    normalised: digit rounds only, years in range, duplicates removed."""
+    docs = spark.read.text(path, wholetext=True)
+    m = F.from_json("value", "map<string,string>")
+    years_txt = F.coalesce(m["years"], F.col("value"))  # flat form: the whole doc is the map
+    parts = []
+    for state, txt in (("done", years_txt), ("skipped", m["skipped"])):
+        ymap = F.from_json(txt, "map<string,string>")
+        rows = docs.select(F.explode(ymap).alias("year", "rounds")).filter(F.col("year").rlike(r"^[0-9]+$"))
+        rows = rows.select(F.col("year").cast("int").alias("year"),
+                           F.explode(F.from_json("rounds", "array<string>")).alias("round"))
+        parts.append(rows.select(F.lit(dataset).alias("dataset"), "year", "round", F.lit(state).alias("state")))
+    return normalise_ledger(parts[0].unionByName(parts[1]), start_year, end_year)

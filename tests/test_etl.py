@@ -270,3 +270,17 @@ def test_completeness_and_team_slice(spark):
     sizes = {(r.table): r.rows for r in LG.team_slice_sizes(star).collect()}
     assert sizes == {"results": 12, "qualifying": 2, "constructor_standings": 6, "pit_stops": 6,
                      "driver_standings": 4}
+
+
+def test_ledger_from_progress_files(spark, tmpdir_path):
+    _write(f"{tmpdir_path}/p.json", json.dumps({"version": 1, "updated_at": "2024-01-01",
+                                                "years": {"2024": [3, 1, 2, 1], "1990": [1]},
+                                                "skipped": {"2024": [5, "x"]}}))
+    rows = LG.ledger_from_json(spark, f"{tmpdir_path}/p.json", "results", 2020, 2025).collect()
+    got = sorted((r.state, r["round"]) for r in rows)
+    assert got == [("done", 1), ("done", 2), ("done", 3), ("skipped", 5)]
+    flat = f"{tmpdir_path}/legacy"
+    os.makedirs(flat)
+    _write(f"{flat}/p.json", json.dumps({"2023": [2, 1]}))
+    rows = LG.ledger_from_json(spark, flat, "results", 2020, 2025).collect()
+    assert sorted((r.year, r["round"], r.state) for r in rows) == [(2023, 1, "done"), (2023, 2, "done")]
