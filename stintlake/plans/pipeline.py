@@ -52,6 +52,8 @@ class PipelineConfig:
     dry_run: bool = False         # only preview row counts
     team_id: int | None = None    # optional slice to one team
     truncate_points: bool = False
+    min_year: int | None = None   # project scope: the range is clamped to it
+    max_year: int | None = None
 
 
 @dataclass
@@ -64,7 +66,18 @@ class PipelineResult:
     summary: DataFrame | None = None
 
 
-def check_year_range(start_year: int, end_year: int) -> tuple[int, int]:
+def check_year_range(start_year: int, end_year: int, min_year: int | None = None,
+                     max_year: int | None = None, notes: list | None = None) -> tuple[int, int]:
+    """Clamp the range to the project scope (with a note per clamp); an
+    empty range after clamping is an error."""
+    if min_year is not None and start_year < min_year:
+        if notes is not None:
+            notes.append(f"start_year {start_year} is before project scope; clamping to {min_year}.")
+        start_year = min_year
+    if max_year is not None and end_year > max_year:
+        if notes is not None:
+            notes.append(f"end_year {end_year} is after project scope; clamping to {max_year}.")
+        end_year = max_year
     if start_year > end_year:
         raise ValueError(f"Invalid year range {start_year}-{end_year}.")
     return start_year, end_year
@@ -102,8 +115,9 @@ def transform_all(raw: dict[str, DataFrame], truncate_points: bool = False) -> d
 
 
 def run_pipeline(spark: SparkSession, raw_dir: str, store_root: str, cfg: PipelineConfig) -> PipelineResult:
-    check_year_range(cfg.start_year, cfg.end_year)
     out = PipelineResult()
+    cfg.start_year, cfg.end_year = check_year_range(cfg.start_year, cfg.end_year, cfg.min_year,
+                                                    cfg.max_year, out.warnings)
     store = Store(spark, store_root)
     if cfg.skip_transform:
         tables = {n: store.read(n, SCHEMAS[n]) for n in RAW_COLUMNS}

@@ -61,3 +61,13 @@ def test_incremental_mode_upserts(spark, tmpdir_path):
     run_pipeline(spark, raw, store, PipelineConfig(2024, 2024))
     res = run_pipeline(spark, raw, store, PipelineConfig(2024, 2024, mode="incremental"))
     assert res.loaded["results"] == 1  # same key: replaced, not duplicated
+
+
+def test_year_range_clamp():
+    import pytest
+
+    from stintlake.plans.pipeline import check_year_range
+    notes = []
+    assert check_year_range(2015, 2030, 2020, 2025, notes) == (2020, 2025) and len(notes) == 2
+    with pytest.raises(ValueError):
+        check_year_range(2026, 2030, 2020, 2025)
