@@ -136,7 +136,10 @@ def run_pipeline(spark: SparkSession, raw_dir: str, store_root: str, cfg: Pipeli
             for name in LOAD_ORDER:
                 if name not in tables:
                     continue
-                df, _lost = QC.coerce(tables[name], name)
+                df, lost = QC.coerce(tables[name], name)
+                if lost.columns and len(lost.columns) == 2 and not lost.isEmpty():
+                    out.warnings += [f"Coerced {r['lost']} invalid values to null in {name}.{r['column']}."
+                                     for r in lost.filter("lost > 0").collect()]  # one row per column
                 out.warnings += QC.enforce(df, name, strict=cfg.strict)
                 if cfg.mode == "incremental":
                     store.merge_upsert(name, df, PRIMARY_KEYS[name])

@@ -142,3 +142,11 @@ def test_column_tests(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "b")], "k int, v string")
     got = {(r.column, r.test): r.failures for r in QC.column_tests(df, "m", ["v"], ["k"]).collect()}
     assert got == {("v", "not_null"): 1, ("k", "unique"): 1}
+
+
+def test_coerce_counts_lost_values(spark):
+    raw = spark.createDataFrame([("1", "2024-01-01", None), ("x", "bad", "t")], "driver_id string, dob string, code string")
+    out, lost = QC.coerce(raw, "drivers")
+    rows = out.collect()
+    assert [r.driver_id for r in rows] == [1, None] and rows[1].dob is None and rows[0].code == ""
+    assert {r.column: r.lost for r in lost.collect()} == {"driver_id": 1, "dob": 1}
