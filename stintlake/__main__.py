@@ -1,6 +1,6 @@
 """Command line: ``python -m stintlake <command> ...``
 
-    list                                   names of the registered queries
+    list [--describe]                      names (and summaries) of the registered queries
     run NAME [--sf DIR] [--show N] [--csv OUT]
                                            run one query (all teams), print or export it
     pipeline --raw DIR --store DIR --start Y --end Y
@@ -17,7 +17,8 @@ import sys
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="stintlake")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    sub.add_parser("list")
+    ls = sub.add_parser("list")
+    ls.add_argument("--describe", action="store_true", help="first docstring line of each query")
     r = sub.add_parser("run")
     r.add_argument("name")
     r.add_argument("--sf", default="/root/testdata/sf0.01")
@@ -38,7 +39,10 @@ def main(argv: list[str] | None = None) -> int:
     from stintlake.plans import catalog
 
     if a.cmd == "list":
-        print("\n".join(catalog.names()))
+        reg = catalog.registry()
+        for n in catalog.names():
+            doc = (reg[n].__doc__ or "").strip().splitlines()
+            print(f"{n:40s} {doc[0] if doc and a.describe else ''}".rstrip())
         return 0
     from stintlake.session import get_spark
 

@@ -13,14 +13,17 @@ START_YEAR, END_YEAR = 1996, 2002
 
 
 def quality_checks(t, start_year: int = START_YEAR, end_year: int = END_YEAR) -> DataFrame:
+    """Q1–Q9: every integrity check with its measured value and a failed flag."""
     return QC.quality_checks(t, start_year, end_year)
 
 
 def quality_report(t, start_year: int = START_YEAR, end_year: int = END_YEAR) -> DataFrame:
+    """The quality gate: failing checks only (empty = pass)."""
     return QC.run_checks(t, start_year, end_year)
 
 
 def contract_issues(t) -> DataFrame:
+    """Q10–Q15: contract issues of every star table (schema and value rules)."""
     out = None
     for name in t._NAMES:
         if name in SCHEMAS:

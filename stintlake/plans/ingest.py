@@ -24,6 +24,7 @@ def flatten_results_json(t) -> DataFrame:
 
 
 def flatten_qualifying_json(t) -> DataFrame:
+    """Qualifying documents → flattened rows (missing times as '') → refs to keys."""
     raw = nested.flatten_qualifying(_docs(t, landing.qualifying_documents, "qualifying"))
     return X.transform_qualifying(raw, t.drivers, t.constructors)
 
@@ -35,11 +36,13 @@ def flatten_pit_stops_json(t) -> DataFrame:
 
 
 def flatten_standings_json(t) -> DataFrame:
+    """Standings lists (two-level nesting, round 0 skipped) → driver standings."""
     raw = nested.flatten_standings(_docs(t, lambda s: landing.standings_documents(s, "driver"), "standings"))
     return X.transform_standings(raw, t.drivers, "driver_ref", "driver_id")
 
 
 def flatten_races_json(t) -> DataFrame:
+    """Race documents → races (time suffix stripped, circuit ref → key, race key)."""
     raw = nested.flatten_races(_docs(t, landing.results_documents, "races"))
     return X.transform_races(raw, t.circuits)
 
@@ -55,6 +58,7 @@ def ref_dropout(t) -> DataFrame:
 
 
 def rounds_by_year(t, start_year: int = 1995, end_year: int = 2001) -> DataFrame:
+    """The distinct rounds of each season in range (long form)."""
     return nested.rounds_by_year(t.races, start_year, end_year)
 
 

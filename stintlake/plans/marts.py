@@ -25,25 +25,30 @@ def stg_results(t) -> DataFrame:
 
 
 def stg_races(t) -> DataFrame:
+    """Races with ``year`` as ``season``."""
     return t.races.select("race_id", F.col("year").alias("season"), "round", "circuit_id",
                           "race_name", "race_date", "race_time")
 
 
 def stg_drivers(t) -> DataFrame:
+    """Drivers with the null-propagating ``driver_name``."""
     return t.drivers.select("driver_id", "driver_ref",
                             full_name(null_safe=False).alias("driver_name"), "nationality", "dob")
 
 
 def stg_pit_stops(t) -> DataFrame:
+    """Pit stop columns of the staging layer."""
     return t.pit_stops.select("race_id", "driver_id", "stop", "lap", "time_of_day", "duration",
                               "milliseconds")
 
 
 def stg_qualifying(t) -> DataFrame:
+    """Qualifying columns of the staging layer."""
     return t.qualifying.select("race_id", "driver_id", TEAM, "number", "position", "q1", "q2", "q3")
 
 
 def stg_constructor_standings(t) -> DataFrame:
+    """Team standings columns of the staging layer."""
     return t.constructor_standings.select("race_id", TEAM, "points", "position", "position_text", "wins")
 
 
