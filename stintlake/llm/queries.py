@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import token_files
+from . import bpe, token_files
 from .common import table
 
 
@@ -14,6 +14,11 @@ def _vocab(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and what they decode to."""
+    return bpe.encode_decode(table(spark, sf_dir, "documents"), _vocab("byte_bpe_50k.json"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as Simple-8b files and read back."""
     files = token_files.write_token_files(table(spark, sf_dir, "documents"), _vocab("word_bpe_49k.json"), end_id=1)
@@ -21,6 +26,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_bpe_round_trip": op1_bpe_round_trip,
     "op6_token_files": op6_token_files,
 }
 
