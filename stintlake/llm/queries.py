@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_files
+from . import bpe, quality, token_files
 from .common import table
 
 
@@ -25,9 +25,15 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(files)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality probability of every document, learned from its labelled part."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op6_token_files": op6_token_files,
+    "op7_quality": op7_quality,
 }
 
 #: DuckDB twins; the other queries are tested against brute force in tests/llm.
