@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, quality, token_files
+from . import bpe, langid, quality, token_files
 from .common import table
 
 
@@ -19,6 +19,11 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), _vocab("byte_bpe_50k.json"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by nearest centroid."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as Simple-8b files and read back."""
     files = token_files.write_token_files(table(spark, sf_dir, "documents"), _vocab("word_bpe_49k.json"), end_id=1)
@@ -32,6 +37,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op3_language": op3_language,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
 }
