@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, quality, token_files
+from . import bpe, langid, multiset_hash, quality, token_files
 from .common import table
 
 
@@ -35,11 +35,17 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multiset fingerprints of every document and of its edited text."""
+    return multiset_hash.with_edited(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_language": op3_language,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
+    "op9_fingerprints": op9_fingerprints,
 }
 
 #: DuckDB twins; the other queries are tested against brute force in tests/llm.
