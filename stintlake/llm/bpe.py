@@ -54,12 +54,18 @@ def _tokenizer(path: str):
     return tok
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The character that stands for each byte. Fixed rule of byte-level
+    vocabularies: printable bytes stand for themselves, the others for U+0100
+    and up, in order."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - plain))}
+
+
 def piece_table(spark: SparkSession, tokenizer_file: str) -> DataFrame:
     """(id, piece): the bytes of every id; a row per entry of the vocabulary."""
     tok = _tokenizer(tokenizer_file)
-    # Fixed rule of byte-level vocabularies: printable bytes stand for themselves, the others for U+0100 and up.
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(sorted({*range(256)} - plain))}
+    byte = {c: b for b, c in byte_alphabet().items()}
     rows = [(i, bytearray(byte[c] for c in t) if all(c in byte for c in t) else bytearray(t.encode())) for t, i in tok.get_vocab().items()]
     return spark.createDataFrame(rows, "id int, piece binary")
 

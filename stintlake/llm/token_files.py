@@ -18,6 +18,7 @@ above.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,6 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .bpe import byte_alphabet
 from .common import blocks, pick, stored
 
 # The layouts of the Simple-8b coding, (ids in a word, bits of each).
@@ -45,6 +47,16 @@ def _bits(v: np.ndarray) -> np.ndarray:
 _BITS16 = _bits(np.arange(1 << 16, dtype=np.uint64))
 
 
+def _runs(fits: np.ndarray, count: int) -> np.ndarray:
+    """For each start: are it and the next count - 1 all true?"""
+    have = 1
+    while have < count:
+        more = min(have, count - have)
+        fits = fits[:-more] & fits[more:]
+        have += more
+    return fits
+
+
 def pack(ids: np.ndarray) -> np.ndarray:
     """Ids (unsigned, below 2**60) as Simple-8b words. Each word takes as many
     of the next ids as the densest layout that holds them."""
@@ -57,8 +69,7 @@ def pack(ids: np.ndarray) -> np.ndarray:
     for s in range(len(LAYOUTS) - 2, -1, -1):
         count, width = LAYOUTS[s]
         if n >= count:
-            bad = np.concatenate([[0], np.cumsum(bits > width, dtype=np.int32)])
-            layout[:n - count + 1][bad[count:] == bad[:n - count + 1]] = s
+            np.putmask(layout[:n - count + 1], _runs(bits <= width, count), s)
     step = np.array([c for c, _ in LAYOUTS], np.int64)[layout].tolist()
     starts, i = [], 0
     while i < n:
@@ -90,10 +101,19 @@ def unpack(words: np.ndarray, n: int) -> np.ndarray:
     return out[:n].astype(np.uint32)
 
 
+#: Letters run and punctuation run of a plain word: Latin letters that normal form C leaves as they are.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\\[-`{|}~]*)")
+_OTHER_SPACE = re.compile("[\x1c-\x1f]")
+
+
 def word_encoder(tokenizer_file: str):
-    """A function from texts to their ids. Texts are cut at spaces, where this
-    tokenizer parts words in any case, and the ids of a piece are looked up
-    in a bounded cache of this worker."""
+    """A function from texts to their ids.
+
+    Texts are cut at white space, where this tokenizer parts words and which
+    it drops. The ids of a word are looked up in a bounded cache of this
+    worker. Plain words not in it go to the tokenizer's model piece by piece
+    (letters, then punctuation), the others through the whole tokenizer.
+    """
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -101,20 +121,43 @@ def word_encoder(tokenizer_file: str):
     tok.no_truncation()
     tok.no_padding()
     kind = np.uint16 if tok.get_vocab_size() <= 1 << 16 else np.uint32
-    cache: dict[str, bytes] = {}
+    model = tok.model
+    alphabet = byte_alphabet()
+    words: dict[str, bytes] = {}
+    pieces: dict[str, bytes] = {"": b""}
+
+    def piece(p: str) -> bytes:
+        found = pieces.get(p)
+        if found is None:
+            got = [t.id for t in model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(alphabet))]
+            found = pieces[p] = np.array(got, kind).tobytes()
+        return found
+
+    def learn(new: set[str]) -> None:
+        rest = []
+        for w in new:
+            m = _PLAIN.fullmatch(w)
+            if m:
+                words[w] = piece(m[1].lower()) + piece(m[2])
+            else:
+                rest.append(w)
+        for i in range(0, len(rest), 20_000):
+            part = rest[i:i + 20_000]
+            for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                words[w] = np.array(e.ids, kind).tobytes()
 
     def encode_all(texts: list[str]) -> list[np.ndarray]:
-        cut = [t.split(" ") for t in texts]
-        new = {w for ws in cut for w in ws if w not in cache}
-        if len(cache) + len(new) > CACHE_WORDS:
-            cache.clear()
-            new = {w for ws in cut for w in ws}
-        new = list(new)
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                cache[w] = np.array(e.ids, kind).tobytes()
-        return [np.frombuffer(b"".join(map(cache.__getitem__, ws)), kind) for ws in cut]
+        # Python's white space also has four separators that the tokenizer takes for symbols
+        cut = [t.split(" ") if _OTHER_SPACE.search(t) else t.split() for t in texts]
+        every = {w for ws in cut for w in ws}
+        new = every - words.keys()
+        if len(words) + len(new) > CACHE_WORDS:
+            words.clear()
+            pieces.clear()
+            pieces[""] = b""
+            new = every
+        learn(new)
+        return [np.frombuffer(b"".join(map(words.__getitem__, ws)), kind) for ws in cut]
 
     return encode_all
 
