@@ -2,9 +2,10 @@
 
 Tasks cut the texts they read into words and keep, per block of documents,
 the distinct words and each document's word numbers. The words of all blocks
-meet by hash, in order, so that each distinct word is encoded once. Its ids
+meet in buckets by hash, where each distinct word is encoded once. Its ids
 are joined with the id-to-piece table, and ids and pieces go back to the
-blocks that hold the word, where they are joined by position.
+blocks that hold the word, where they are joined by position. A word that
+every document has is one entry per block, so no bucket is hot.
 
 Null texts count as empty. Rows that repeat, or share a doc_id, are each
 encoded and returned. An empty table gives an empty result.
@@ -16,6 +17,7 @@ import hashlib
 import os
 import pickle
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +27,10 @@ from pyspark.sql import functions as F
 
 from .common import blocks, pick
 
-#: Text characters in a block of documents; words handed on at once.
-BLOCK_CHARS = 12 << 20
-BATCH_WORDS = 200_000
+#: Text characters in a block of documents, and in all of a bucket's share; ids regrouped at once.
+BLOCK_CHARS = 30 << 20
+BUCKET_CHARS = 16 << 20
+BATCH_IDS = 1_000_000
 
 _BY_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _ODD = re.compile(r" \s|\s |^ ")
@@ -87,63 +90,73 @@ def _codes(planes: list[bytes]) -> np.ndarray:
     return sum(np.frombuffer(p, np.uint8).astype(np.uint32) << np.uint32(8 * k) for k, p in enumerate(planes))
 
 
-def _number_words(frames: Iterator) -> Iterator:
-    """Documents to blocks. ``packed`` holds, separately compressed, the
-    distinct words (frequent ones first) and the documents as word numbers."""
-    import pandas as pd
-    from pyspark import TaskContext
-
-    part = TaskContext.get().partitionId()
-    for i, pdf in enumerate(blocks(frames, BLOCK_CHARS)):
-        number: dict[str, int] = {}
-        each = []
-        for text in pdf["text"]:
-            ws = words_of(text) if text else []
-            each.append(np.fromiter([number.setdefault(w, len(number)) for w in ws], np.uint32, len(ws)))
-        codes = np.concatenate(each)
-        order = np.argsort(-np.bincount(codes, minlength=len(number)), kind="stable")
-        rank = np.empty(len(number), np.uint32)
-        rank[order] = np.arange(len(number), dtype=np.uint32)
-        words = list(number)
-        ids = [None if x != x else int(x) for x in pdf["doc_id"]]
-        packed = pickle.dumps([_freeze([words[j] for j in order]), _freeze((ids, [len(x) for x in each], _planes(rank[codes])))])
-        yield pd.DataFrame({"block": [(part << 32) + i], "packed": [packed]})
-
-
-def _list_words(frames: Iterator) -> Iterator:
-    import pandas as pd
+def _number_words(buckets: int):
+    """Documents to blocks. Keys from 0 on are blocks, with the documents as
+    word numbers; negative keys are buckets of words, with the block's
+    distinct words in order. Numbers follow (bucket, word); documents hold
+    ranks by frequency, which are smaller, beside the numbers of the ranks."""
+    def run(frames: Iterator) -> Iterator:
+        import pandas as pd
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        for i, pdf in enumerate(blocks(frames, BLOCK_CHARS)):
+            key = (part << 32) + i
+            seen: dict[str, int] = {}
+            each = []
+            for text in pdf["text"]:
+                ws = words_of(text) if text else []
+                each.append(np.fromiter([seen.setdefault(w, len(seen)) for w in ws], np.uint32, len(ws)))
+            ids = [None if x != x else int(x) for x in pdf["doc_id"]]
+            del pdf
+            lens, codes = [len(x) for x in each], np.concatenate(each)
+            del each
+            by_count = np.argsort(-np.bincount(codes, minlength=len(seen)), kind="stable")
+            words = np.array(list(seen), object)
+            bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in seen), np.int64, len(seen))
+            del seen
+            in_order = np.lexsort((np.argsort(words, kind="stable").argsort(), bucket))
+            rank, number = np.empty((2, len(words)), np.uint32)
+            rank[by_count] = number[in_order] = np.arange(len(words), dtype=np.uint32)
+            yield pd.DataFrame({"key": [key], "block": [key], "first": [0],
+                                "packed": [_freeze((ids, lens, _planes(rank[codes]), _planes(number[by_count])))]})
+            words, bucket = words[in_order], bucket[in_order]
+            cuts = [0, *(np.flatnonzero(bucket[1:] != bucket[:-1]) + 1), len(words)] if len(words) else []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                yield pd.DataFrame({"key": [-1 - int(bucket[a])], "block": [key], "first": [int(a)], "packed": [_freeze(words[a:b].tolist())]})
 
-    for pdf in frames:
-        for block, packed in zip(pdf["block"], pdf["packed"], strict=True):
-            words = _thaw(pickle.loads(packed)[0])
-            for i in range(0, len(words), 50_000):
-                part = words[i:i + 50_000]
-                yield pd.DataFrame({"word": part, "block": block, "number": np.arange(i, i + len(part), dtype=np.int32)})
+    return run
 
 
 _PLACE = np.dtype([("block", "<i8"), ("number", "<i4")])
 
 
 def _encode_once(tokenizer_file: str):
-    def run(frames: Iterator) -> Iterator:
-        """Sorted (word, block, number) rows to one row per distinct word:
-        its ids and its places. A word with very many places goes on in
-        further rows, with the same ids."""
+    def run(pdf):
+        """A bucket's words to one row per distinct word: ids and places."""
         import pandas as pd
 
+        if pdf["key"].iloc[0] >= 0:
+            return pd.DataFrame({"ids": [], "places": []}, dtype=object)
+        lists = [_thaw(x) for x in pdf["packed"]]
+        places = np.empty(sum(map(len, lists)), _PLACE)
+        places["block"] = np.repeat(pdf["block"].to_numpy(), [len(x) for x in lists])
+        places["number"] = np.concatenate([np.arange(f, f + len(x)) for f, x in zip(pdf["first"], lists, strict=True)])
+        at: dict[str, int] = {}
+        of = np.fromiter((at.setdefault(w, len(at)) for x in lists for w in x), np.int64, len(places))
+        del lists
+        words = list(at)
+        order = np.argsort(of, kind="stable")
+        ends = np.cumsum(np.bincount(of, minlength=len(words)))
         tok = _tokenizer(tokenizer_file)
-        last, last_ids = None, None
-        for pdf in frames:
-            word = pdf["word"].to_numpy(object)
-            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            new = word[first].tolist()
-            known = [last_ids] if new[0] == last else []
-            ids = known + [e.ids for e in tok.encode_batch_fast(new[len(known):], add_special_tokens=False)]
-            last, last_ids = new[-1], ids[-1]
-            places = np.empty(len(pdf), _PLACE)
-            places["block"], places["number"] = pdf["block"], pdf["number"]
-            ends = [*first[1:], len(pdf)]
-            yield pd.DataFrame({"ids": ids, "places": [places[a:b].tobytes() for a, b in zip(first, ends, strict=True)]})
+        rows = sorted(range(len(words)), key=words.__getitem__)  # alike words side by side: smaller blobs
+        ids: list = [None] * len(words)
+        for i in range(0, len(rows), 20_000):
+            part = rows[i:i + 20_000]
+            for j, e in zip(part, tok.encode_batch_fast([words[j] for j in part], add_special_tokens=False), strict=True):
+                ids[j] = e.ids
+        places = places[order]
+        return pd.DataFrame({"ids": [ids[j] for j in rows], "places": [places[(ends[j - 1] if j else 0):ends[j]].tobytes() for j in rows]})
 
     return run
 
@@ -185,7 +198,7 @@ def _to_blocks(frames: Iterator) -> Iterator:
     have, rows = [], 0
     for pdf in frames:
         cut = np.flatnonzero(pdf["pos"].to_numpy() == 0)
-        if rows >= 4 * BATCH_WORDS and len(cut):  # words aren't parted
+        if rows >= BATCH_IDS and len(cut):  # words aren't parted
             yield flush([*have, pdf.iloc[:cut[0]]])
             have, rows, pdf = [], 0, pdf.iloc[cut[0]:]
         have.append(pdf)
@@ -199,24 +212,26 @@ def _finish(coded, found):
     import pandas as pd
 
     out = []
-    for packed in coded["packed"]:
-        doc_ids, lens, planes = _thaw(pickle.loads(packed)[1])
-        codes = _codes(planes)
-        ids_text: dict[int, str] = {}
-        decoded: dict[int, bytes] = {}
-        n_ids = np.zeros(int(codes.max()) + 1 if len(codes) else 0, np.int64)
+    for packed in coded["packed"] if len(coded) and coded["key"].iloc[0] >= 0 else []:
+        doc_ids, lens, ranks, numbers = _thaw(packed)
+        ranks, numbers = _codes(ranks), _codes(numbers)
+        rank = np.empty_like(numbers)
+        rank[numbers] = np.arange(len(numbers), dtype=np.uint32)
+        ids_text: list = [None] * len(rank)
+        decoded: list = [None] * len(rank)
+        n_ids = np.zeros(len(rank), np.int64)
         for blob in found["packed"]:
-            numbers, counts, id_planes, n_bytes, text = _thaw(blob)
-            numbers, ids = _codes(numbers).tolist(), _codes(id_planes).tolist()
-            n_ids[numbers] = counts
+            those, counts, ids, n_bytes, text = _thaw(blob)
+            those, ids = rank[_codes(those)], _codes(ids).tolist()
+            n_ids[those] = counts
             i = j = 0
-            for k, n, m in zip(numbers, counts.tolist(), n_bytes.tolist(), strict=True):
+            for k, n, m in zip(those.tolist(), counts.tolist(), n_bytes.tolist(), strict=True):
                 ids_text[k] = ",".join(map(str, ids[i:i + n]))
                 decoded[k] = text[j:j + m]
                 i, j = i + n, j + m
         start = 0
         for doc_id, n in zip(doc_ids, lens, strict=True):
-            own = codes[start:start + n]
+            own = ranks[start:start + n]
             start += n
             ws = own.tolist()
             text = b"".join(map(decoded.__getitem__, ws)).decode("utf-8", "replace")
@@ -235,12 +250,12 @@ def encode_decode(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id",
     spark = docs.sparkSession
     pieces = F.broadcast(piece_table(spark, tokenizer_file))
     d = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    coded = d.mapInPandas(_number_words, "block bigint, packed binary").repartition("block")
-    words = coded.mapInPandas(_list_words, "word string, block bigint, number int")
-    once = (words.repartition("word").sortWithinPartitions("word")
-            .mapInPandas(_encode_once(tokenizer_file), "ids array<int>, places binary"))
+    chars = d.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // BUCKET_CHARS))
+    coded = d.mapInPandas(_number_words(buckets), "key bigint, block bigint, first int, packed binary").repartition("key")
+    once = coded.groupBy("key").applyInPandas(_encode_once(tokenizer_file), "ids array<int>, places binary")
     decoded = (once.select("places", F.posexplode("ids").alias("pos", "id"))
                .join(pieces, "id").select("pos", "id", "piece", F.when(F.col("pos") == 0, F.col("places")).alias("places")))
     found = decoded.mapInPandas(_to_blocks, "block bigint, packed binary")
-    return (coded.groupBy("block").cogroup(found.groupBy("block"))
+    return (coded.groupBy("key").cogroup(found.groupBy("block"))
             .applyInPandas(_finish, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"))
