@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, multiset_hash, quality, token_files
+from . import bpe, langid, multiset_hash, quality, substring_dedup, token_files
 from .common import table
 
 
@@ -40,12 +40,18 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.with_edited(table(spark, sf_dir, "documents"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that no earlier document's 13 words cover."""
+    return substring_dedup.dedup_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_language": op3_language,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
     "op9_fingerprints": op9_fingerprints,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 #: DuckDB twins; the other queries are tested against brute force in tests/llm.
