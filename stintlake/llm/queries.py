@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, multiset_hash, quality, substring_dedup, token_files
+from . import bpe, decontaminate, langid, multiset_hash, quality, substring_dedup, token_files
 from .common import table
 
 
@@ -24,6 +24,11 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, also with other numbers, units or names."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as Simple-8b files and read back."""
     files = token_files.write_token_files(table(spark, sf_dir, "documents"), _vocab("word_bpe_49k.json"), end_id=1)
@@ -48,6 +53,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op3_language": op3_language,
+    "op4_decontaminate": op4_decontaminate,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
     "op9_fingerprints": op9_fingerprints,
