@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, langid, multiset_hash, quality, substring_dedup, token_files
+from . import bpe, decontaminate, langid, licenses, multiset_hash, quality, substring_dedup, token_files
 from .common import table
 
 
@@ -19,6 +19,11 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), _vocab("byte_bpe_50k.json"))
 
 
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence texts and notices in every document, by canonical digest."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by nearest centroid."""
     return langid.identify(table(spark, sf_dir, "documents"))
@@ -52,6 +57,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
+    "op2_licenses": op2_licenses,
     "op3_language": op3_language,
     "op4_decontaminate": op4_decontaminate,
     "op6_token_files": op6_token_files,
@@ -61,4 +67,4 @@ QUERIES = {
 }
 
 #: DuckDB twins; the other queries are tested against brute force in tests/llm.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql()}
