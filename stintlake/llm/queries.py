@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, langid, licenses, multiset_hash, quality, substring_dedup, token_files
+from . import bpe, decontaminate, jaccard_join, langid, licenses, multiset_hash, quality, substring_dedup, token_files
 from .common import table
 
 
@@ -45,6 +45,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Multiset fingerprints of every document and of its edited text."""
     return multiset_hash.with_edited(table(spark, sf_dir, "documents"))
@@ -62,6 +67,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
+    "op8_jaccard": op8_jaccard,
     "op9_fingerprints": op9_fingerprints,
     "op10_substring_dedup": op10_substring_dedup,
 }
