@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, pick
+from .common import blocks
 from .rolling import freeze, joined, planes, thaw, unplanes, window_hashes, word_bounds, word_hashes
 
 #: Words of a window and of an index block: a window holds a whole block wherever it starts.
@@ -45,8 +45,8 @@ _NO_ID = np.iinfo(np.int64).max
 class _Words:
     """The words of a block's documents, and hashes of runs and windows."""
 
-    def __init__(self, texts: list):
-        self.texts = [(t or "").encode("utf-8", "replace") for t in texts]
+    def __init__(self, texts: list[bytes]):
+        self.texts = texts
         buffer, doc_starts = joined(self.texts)
         starts, ends = word_bounds(buffer)
         self.hash = word_hashes(buffer, starts, ends)
@@ -84,9 +84,10 @@ def _send_runs(buckets: int):
         part = TaskContext.get().partitionId()
         for i, pdf in enumerate(blocks(frames, BLOCK_CHARS)):
             key = (part << 32) + i
-            w = _Words(pdf["text"].tolist())
+            w = _Words([(t or "").encode("utf-8", "replace") for t in pdf["text"]])
             ids = [None if x != x else int(x) for x in pdf["doc_id"]]
-            yield pd.DataFrame({"key": [key], "block": [key], "packed": [freeze((ids, w.texts))]})
+            carried = [pdf[c].tolist() for c in pdf.columns[2:]]
+            yield pd.DataFrame({"key": [key], "block": [key], "packed": [freeze((ids, w.texts, carried))]})
             at, heads, short = _runs(w, buckets)
             if not len(at):
                 continue
@@ -137,8 +138,8 @@ def _send_windows(buckets: int):
         for key, packed in zip(docs["key"], docs["packed"], strict=True):
             if key < 0:
                 break
-            ids, texts = thaw(packed)
-            w = _Words([t.decode() for t in texts])
+            ids, texts, _ = thaw(packed)
+            w = _Words(texts)
             at, heads, short = _runs(w, buckets)
             hit = np.zeros(len(heads), bool)
             bits = dict(zip(found["bucket"], found["bits"], strict=True))
@@ -176,14 +177,14 @@ def _match_windows(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"block": pdf["block"], "bucket": bucket, "bits": [np.packbits(x).tobytes() for x in np.split(smaller, cuts[:-1])]})
 
 
-def _cut(buckets: int, full: bool):
+def _cut(buckets: int, full: bool, names: list[str]):
     def run(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         out = []
         for key, packed in zip(docs["key"], docs["packed"], strict=True):
             if key < 0:
                 break
-            ids, texts = thaw(packed)
-            w = _Words([t.decode() for t in texts])
+            ids, texts, carried = thaw(packed)
+            w = _Words(texts)
             bits = dict(zip(found["bucket"], found["bits"], strict=True))
             place = np.flatnonzero(np.unpackbits(np.frombuffer(bits[-1], np.uint8), count=len(w.hash)))
             place, own, heads, h, low = _smallest(w, ids, place)
@@ -200,16 +201,19 @@ def _cut(buckets: int, full: bool):
                 words = text.split()
                 own_keep = keep[first:first + n]
                 kept = words if own_keep.all() else [x for x, k in zip(words, own_keep.tolist(), strict=True) if k]
-                joined_up = b" ".join(kept)
-                out.append((doc_id, n, n - len(kept), joined_up.decode() if full else hashlib.sha256(joined_up).hexdigest(), key, i))
-        return pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept", "block", "place"]).astype({"doc_id": "Int64"})
+                if full:
+                    result = (text if len(kept) == n else b" ".join(kept)).decode()
+                else:
+                    result = hashlib.sha256(b" ".join(kept)).hexdigest()
+                out.append((doc_id, n, n - len(kept), result, *[c[i] for c in carried]))
+        return pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept", *names]).astype({"doc_id": "Int64"})
 
     return run
 
 
-def _remove(docs: DataFrame, doc_id: str, text: str, full: bool) -> DataFrame:
+def _remove(docs: DataFrame, doc_id: str, text: str, full: bool, carry: list[str]) -> DataFrame:
     spark = docs.sparkSession
-    d = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
+    d = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"), *[docs[c].alias(f"carry_{c}") for c in carry])
     chars = d.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = 1 << (max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // BUCKET_CHARS) - 1).bit_length()
     sent = d.mapInPandas(_send_runs(buckets), "key bigint, block bigint, packed binary").repartition("key")
@@ -218,17 +222,23 @@ def _remove(docs: DataFrame, doc_id: str, text: str, full: bool) -> DataFrame:
     windows = (sent.groupBy("key").cogroup(runs.groupBy("block"))
                .applyInPandas(_send_windows(buckets), "key bigint, block bigint, packed binary"))
     smaller = windows.groupBy("key").applyInPandas(_match_windows, bits)
+    kinds = "".join(f", `carry_{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     return (sent.groupBy("key").cogroup(smaller.groupBy("block"))
-            .applyInPandas(_cut(buckets, full), "doc_id bigint, n_words bigint, n_removed bigint, kept string, block bigint, place bigint"))
+            .applyInPandas(_cut(buckets, full, [f"carry_{c}" for c in carry]),
+                           "doc_id bigint, n_words bigint, n_removed bigint, kept string" + kinds))
 
 
 def dedup_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, n_words, n_removed, kept_sha256 (of the kept words
     joined by one space). ``docs`` must be a stored table, which gives tasks
     the same rows each time they read it."""
-    return _remove(docs, doc_id, text, False).select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+    return _remove(docs, doc_id, text, False, []).select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
-def dedup_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_words, n_removed and kept, the text of the kept words."""
-    return _remove(docs, doc_id, text, True).select("doc_id", "n_words", "n_removed", "kept")
+def dedup_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Per row: doc_id, n_words, n_removed and kept: the text as it was if
+    nothing goes, else the kept words joined by one space. ``carry`` names
+    string columns to take along."""
+    names = carry or []
+    return _remove(docs, doc_id, text, True, names).select(
+        "doc_id", "n_words", "n_removed", "kept", *[F.col(f"carry_{c}").alias(c) for c in names])
