@@ -130,7 +130,8 @@ def with_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"),
         F.coalesce("text", F.lit("")).alias("text"))
     d = d.select("id", "no_id", F.xxhash64("text").alias("h"), "text")
-    own = d.groupBy(*_KEY).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    # the filter (always true) makes every use need the same columns, so that texts are shuffled once for all of them
+    own = d.groupBy(*_KEY).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")).filter("copies > 0")
     before = _before(d)
     to = [F.col(f"to_{c}").alias(c) for c in _KEY]
     heads = own.join(before, _KEY).select(*to, F.expr("substring(text, 1, cast(to_n div 3 as int))").alias("head"))
