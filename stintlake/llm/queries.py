@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard_join, langid, licenses, multiset_hash, quality, substring_dedup, token_files
+from . import bpe, decontaminate, jaccard_join, langid, licenses, multiset_hash, quality, substring_dedup, suffix_dedup, token_files
 from .common import table
 
 
@@ -34,6 +34,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that no repeated string of 400 bytes covers."""
+    return suffix_dedup.dedup_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as Simple-8b files and read back."""
     files = token_files.write_token_files(table(spark, sf_dir, "documents"), _vocab("word_bpe_49k.json"), end_id=1)
@@ -65,6 +70,7 @@ QUERIES = {
     "op2_licenses": op2_licenses,
     "op3_language": op3_language,
     "op4_decontaminate": op4_decontaminate,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_token_files": op6_token_files,
     "op7_quality": op7_quality,
     "op8_jaccard": op8_jaccard,
