@@ -30,18 +30,23 @@ def surname_of(name) -> Column:
 
 
 def race_id(year="year", round_="round") -> Column:
-    """``year * 100 + round`` as BIGINT (same as the zero-padded concat)."""
-    return _c(year).cast("bigint") * 100 + _c(round_).cast("bigint")
+    """``year * 100 + round`` as BIGINT (same as the zero-padded concat) for
+    rounds up to 99; ``year * 10^10 + round`` beyond, so that no two races
+    share a key."""
+    y, r = _c(year).cast("bigint"), _c(round_).cast("bigint")
+    return F.when(r <= 99, y * 100 + r).otherwise(y * F.lit(10 ** 10) + r)
 
 
 def round_half_up(x, digits: int = 0) -> Column:
-    """Half-up rounding on the binary value: ``floor(x * 10^d + 0.5) / 10^d``.
+    """Half away from zero on the binary value, as SQL's ROUND: the rounded
+    absolute value with the sign of ``x``; NaN stays NaN.
 
     Written the same way in the SQL twins so both engines agree bit for bit.
     """
     scale = float(10 ** digits)
-    v = F.floor(_c(x).cast("double") * F.lit(scale) + F.lit(0.5)).cast("double")
-    return v / F.lit(scale) if digits else v
+    d = _c(x).cast("double")
+    v = F.floor(F.abs(d) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    return F.when(F.isnan(d), d).otherwise(F.when(d < 0, F.lit(0.0) - v).otherwise(v))
 
 
 def round_even(x, digits: int = 0) -> Column:

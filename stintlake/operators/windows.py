@@ -151,14 +151,6 @@ def delta_from_best(df: DataFrame, cols: Sequence[str], part=(), suffix: str = "
     return df.select("*", *[(F.col(c) - F.min(c).over(w)).alias(c + suffix) for c in cols])
 
 
-def last_per(df: DataFrame, part, order) -> DataFrame:
-    """Last row of each part by ``order`` (a ``row_number() = 1`` filter
-    that Spark plans as a group limit, partial before the shuffle)."""
-    part, order = _cols(part), _cols(order)
-    w = Window.partitionBy(*part).orderBy(*[F.col(o).desc() for o in order])
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
-
-
 def top_k(df: DataFrame, part, order: Sequence[Column], k: int) -> DataFrame:
     """k first rows per part in ``order`` (ties broken by the caller's keys).
 

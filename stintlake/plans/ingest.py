@@ -57,9 +57,11 @@ def ref_dropout(t) -> DataFrame:
                        .alias("dropout_pct_x1000"), "level")
 
 
-def rounds_by_year(t, start_year: int = 1995, end_year: int = 2001) -> DataFrame:
-    """The distinct rounds of each season in range (long form)."""
-    return nested.rounds_by_year(t.races, start_year, end_year)
+def rounds_by_year(t, start_year: int | None = None, end_year: int | None = None) -> DataFrame:
+    """The distinct rounds of each season in range (long form); without
+    a range, of every season of the races."""
+    first, last = t.races.agg(F.min("year"), F.max("year")).first()
+    return nested.rounds_by_year(t.races, first or 0 if start_year is None else start_year, last or 0 if end_year is None else end_year)
 
 
 def _pipeline(t):
@@ -70,15 +72,9 @@ def _pipeline(t):
     from stintlake.session import shared_dir
 
     spark = t.results.sparkSession
-    from stintlake.sources.store import Store
-
     raw = landing.land_csv(t)
     cfg = PipelineConfig(start_year=C.START_YEAR, end_year=C.END_YEAR, mode="full")
-    root = shared_dir(spark, f"pipeline/{t.key or uuid.uuid4().hex[:12]}")
-    st = Store(spark, root)
-    for table in st.fs.list_names(root):  # earlier runs over the same input
-        st.vacuum(table, keep=0)
-    return run_pipeline(spark, raw, root, cfg)
+    return run_pipeline(spark, raw, shared_dir(spark, f"pipeline/{uuid.uuid4().hex[:12]}"), cfg)
 
 
 def pipeline_quality(t) -> DataFrame:

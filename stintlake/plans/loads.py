@@ -24,14 +24,15 @@ RESULT_KEYS = PRIMARY_KEYS["results"]
 
 
 def _fresh_store(t, name: str) -> Store:
-    """A store for one run. Runs over the same stored star share a folder
-    whose older versions are vacuumed, so repeated runs do not pile up."""
+    """A store of its own for each run: frames of earlier runs stay readable."""
     spark = t.results.sparkSession
-    st = Store(spark, shared_dir(spark, f"loads/{name}-{t.key or uuid.uuid4().hex[:12]}"))
-    for table in st.fs.list_names(st.root):
-        if not table.startswith("_"):
-            st.vacuum(table, keep=0)
-    return st
+    return Store(spark, shared_dir(spark, f"loads/{name}-{uuid.uuid4().hex[:12]}"))
+
+
+def _span(t) -> tuple[int, int]:
+    """First and last season of the races (0, 0 without any)."""
+    first, last = t.races.agg(F.min("year"), F.max("year")).first()
+    return first or 0, last or 0
 
 
 def _years(t) -> DataFrame:
@@ -53,7 +54,7 @@ def upsert_results(t) -> DataFrame:
     later ones (overlapping season: updated rows replace old ones)."""
     st = _fresh_store(t, "upsert")
     st.write_full("results", _first_load(t))
-    st.merge_upsert("results", _updates(t), RESULT_KEYS)
+    st.merge_upsert("results", _updates(t), RESULT_KEYS, "status")
     return st.read("results")
 
 
@@ -65,9 +66,9 @@ def stream_upsert(t) -> DataFrame:
     run = f"{st.root}/_run-{uuid.uuid4().hex[:10]}"
     src, ckpt = run + "/landing", run + "/checkpoint"
     _first_load(t).write.parquet(src + "/b1")
-    _stream_upsert(spark, src + "/*", SCHEMAS["results"], st, "results", RESULT_KEYS, ckpt)
+    _stream_upsert(spark, src + "/*", SCHEMAS["results"], st, "results", RESULT_KEYS, ckpt, "status")
     _updates(t).write.parquet(src + "/b2")
-    _stream_upsert(spark, src + "/*", SCHEMAS["results"], st, "results", RESULT_KEYS, ckpt)
+    _stream_upsert(spark, src + "/*", SCHEMAS["results"], st, "results", RESULT_KEYS, ckpt, "status")
     st.fs.delete(run)  # batches consumed; the merged table is committed in the store
     return st.read("results")
 
@@ -93,13 +94,13 @@ def ledger_pending(t) -> DataFrame:
         .select(F.lit("results").alias("dataset"), "year", "round", F.lit("done").alias("state"))
     skipped = t.races.join(t.results.select("race_id").distinct(), "race_id", "left_anti") \
         .select(F.lit("results").alias("dataset"), "year", "round", F.lit("skipped").alias("state"))
-    ledger = LG.normalise_ledger(done.unionByName(skipped), 1990, 2010)
+    ledger = LG.normalise_ledger(done.unionByName(skipped), *_span(t))
     return LG.ledger_pending(work, ledger)
 
 
 def completeness_results(t, min_rows_per_race: int = 5) -> DataFrame:
     """Per season, races, result rows, short races, complete flag."""
-    return LG.completeness(t.results, t.races, min_rows_per_race, 1995, 2001)
+    return LG.completeness(t.results, t.races, min_rows_per_race, *_span(t))
 
 
 def team_slice_sizes(t) -> DataFrame:

@@ -142,7 +142,7 @@ def run_pipeline(spark: SparkSession, raw_dir: str, store_root: str, cfg: Pipeli
                                      for r in lost.filter("lost > 0").collect()]  # one row per column
                 out.warnings += QC.enforce(df, name, strict=cfg.strict)
                 if cfg.mode == "incremental":
-                    store.merge_upsert(name, df, PRIMARY_KEYS[name])
+                    store.merge_upsert(name, df, PRIMARY_KEYS[name], [c for c in df.columns if c not in PRIMARY_KEYS[name]])
                 else:
                     store.write_full(name, df)
                 n = store.read(name).count()

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 
@@ -12,28 +14,32 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "stintlake") -> SparkSession:
     """Session for local runs and tests.
 
-    On a cluster the session comes from the launcher; this helper only fills
-    settings that are unset. AQE re-plans joins from measured sizes,
+    On a cluster the session comes from the launcher: an active session is
+    returned as it is, and of the settings below only those are filled that
+    neither the launcher nor an argument gives. AQE re-plans joins from measured sizes,
     coalesces small shuffle partitions and splits skewed join partitions;
     hot keys in aggregates are handled by partial (map-side) aggregation,
     and in windows by the block split of ``operators.windows``.
     """
     cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder
-        .master(master or f"local[{cpus}]")
-        .appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("STINTLAKE_DRIVER_MEM", "16g"))
-    )
-    spark = builder.getOrCreate()
+    given = SparkConf()  # what spark-submit and spark-defaults have set
+    wanted = {
+        "spark.master": f"local[{cpus}]",
+        "spark.app.name": app_name,
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": cpus,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.driver.memory": os.environ.get("STINTLAKE_DRIVER_MEM", "16g"),
+    }
+    asked = {"spark.master": master, "spark.sql.shuffle.partitions": shuffle_partitions}
+    fill = {k: v for k, v in wanted.items() if not given.contains(k)} | {k: str(v) for k, v in asked.items() if v is not None}
+    active = SparkSession.getActiveSession()
+    spark = active or SparkSession.builder.config(map=fill).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -42,10 +48,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) do we pick one.
+    A cluster names it; only when it is unset on a local master (tests) do
+    we pick one: executors of a cluster don't share the driver's folders.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that driver and executors share (master {master})")
         path = tempfile.mkdtemp(prefix="stintlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -94,12 +104,3 @@ def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: i
         "spark.sql.files.maxPartitionBytes": str(256 << 20),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     }
-
-
-def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
-    """Apply runtime SQL settings to a session (skips static ones)."""
-    for k, v in settings.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # noqa: BLE001 - static settings belong to the launcher
-            pass

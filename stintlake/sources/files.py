@@ -1,6 +1,6 @@
 """Tolerant table reads and CSV edges.
 
-A missing, tiny or header-only input is not an error: it yields an empty
+A missing, empty or header-only input is not an error: it yields an empty
 frame with the declared schema (and a note), so downstream jobs still plan.
 """
 
@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-MIN_BYTES = 10  # below this a file counts as empty
-
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -29,11 +27,11 @@ def input_size(spark: SparkSession, path: str) -> int | None:
 def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv",
                notes: list | None = None) -> DataFrame:
     """Read ``path`` with the declared schema (no inference). Missing or
-    (near) empty input → empty frame with that schema."""
+    empty input (no bytes) gives an empty frame with that schema."""
     size = input_size(spark, path)
-    if size is None or size < MIN_BYTES:
+    if not size:
         if notes is not None:
-            notes.append(f"{path} is missing or empty.")
+            notes.append(f"no rows read: {path} is absent or has no bytes")
         return spark.createDataFrame([], schema)
     if fmt == "csv":
         return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
@@ -50,9 +48,9 @@ def read_csv_strings(spark: SparkSession, path: str, columns: list[str], notes:
 
     schema = StructType([StructField(c, StringType(), True) for c in columns])
     size = input_size(spark, path)
-    if size is None or size < MIN_BYTES:
+    if not size:
         if notes is not None:
-            notes.append(f"{path} is missing or empty.")
+            notes.append(f"no rows read: {path} is absent or has no bytes")
         return spark.createDataFrame([], schema)
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     have = set(df.columns)

@@ -19,10 +19,11 @@ def laps_from_sessions(sessions: DataFrame, race_codes: DataFrame) -> DataFrame:
     entered for the team in that race, map code → driver id through
     ``race_codes`` (race_id, code, driver_id), intervals → seconds,
     compound upper-cased, pit flags from non-null pit times, and drop rows
-    without driver or lap time."""
+    without driver or lap time. Where drivers of a race share a code, its laps
+    go to the last of them (the largest id); ``ambiguous_codes`` lists them."""
     s = sessions.filter(F.coalesce(F.col("IsAccurate"), F.lit(False)))
-    s = s.join(race_codes.select("race_id", F.col("code").alias("Driver"), "driver_id"),
-               ["race_id", "Driver"], "inner")
+    one = race_codes.groupBy("race_id", F.col("code").alias("Driver")).agg(F.max("driver_id").alias("driver_id"))
+    s = s.join(one, ["race_id", "Driver"], "inner")
     out = s.select(
         "race_id", "driver_id",
         F.col("LapNumber").cast("int").alias("lap_number"),
@@ -40,6 +41,12 @@ def laps_from_sessions(sessions: DataFrame, race_codes: DataFrame) -> DataFrame:
     return out.filter(F.col("driver_id").isNotNull() & F.col("lap_time_s").isNotNull())
 
 
+def ambiguous_codes(race_codes: DataFrame) -> DataFrame:
+    """(race_id, code, n_drivers) of the codes that drivers of a race share."""
+    return (race_codes.groupBy("race_id", "code").agg(F.count_distinct("driver_id").alias("n_drivers"))
+            .filter("n_drivers > 1"))
+
+
 def team_race_codes(results: DataFrame, drivers: DataFrame, team_ids=None) -> DataFrame:
     """(race_id, code, driver_id) of the drivers entered per race (for the
     given teams, or all): the race → code membership of the feed."""

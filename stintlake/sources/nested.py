@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from stintlake.functions.columns import race_id
+
 from stintlake import DNF_POSITION_ORDER
 from stintlake.functions.columns import duration_ms
 
@@ -96,7 +98,7 @@ def _int(c) -> Column:
 
 
 def _race_id(season, round_) -> Column:
-    return (_int(season).cast("bigint") * 100 + _int(round_)).alias("race_id")
+    return race_id(_int(season), _int(round_)).alias("race_id")
 
 
 def flatten_circuits(docs: DataFrame) -> DataFrame:

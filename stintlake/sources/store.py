@@ -52,9 +52,13 @@ class _FS:
     def delete(self, path: str) -> None:
         self._fs.delete(self._Path(path), True)
 
-    def size(self, path: str) -> tuple[int, int]:
-        st = self._fs.getFileStatus(self._Path(path))
-        return int(st.getLen()), int(st.getModificationTime())
+    def files(self, path: str) -> list[tuple[str, int, int]]:
+        """Name, length and modification time of every file under ``path``."""
+        out, found = [], self._fs.listFiles(self._Path(path), True)
+        while found.hasNext():
+            st = found.next()
+            out.append((st.getPath().toString(), int(st.getLen()), int(st.getModificationTime())))
+        return out
 
 
 class Store:
@@ -102,16 +106,18 @@ class Store:
         one is kept as the backup."""
         return self._commit(table, df, partition_by)
 
-    def merge_upsert(self, table: str, updates: DataFrame, keys, partition_by=None) -> str:
+    def merge_upsert(self, table: str, updates: DataFrame, keys, order_by, partition_by=None) -> str:
         """Insert-or-replace by primary key. Rows of ``updates`` win; target
-        rows whose key is not in ``updates`` are kept. When the table does
-        not exist yet the updates become its first version."""
+        rows whose key is not in ``updates`` are kept. Of several updates of
+        one key the last by ``order_by`` wins (see ``last_by_key``). When the
+        table does not exist yet the updates become its first version."""
         keys = [keys] if isinstance(keys, str) else list(keys)
+        updates = last_by_key(updates, keys, order_by)
         if not self.exists(table):
             return self._commit(table, updates, partition_by)
         target = self.read(table)
         upd = updates.select(*target.columns)
-        merged = target.join(upd.select(*keys).distinct(), keys, "left_anti").unionByName(upd)
+        merged = target.join(upd.select(*keys), keys, "left_anti").unionByName(upd)
         return self._commit(table, merged, partition_by)
 
     def insert_missing(self, table: str, rows: DataFrame, keys) -> str:
@@ -147,22 +153,27 @@ class Store:
             self.fs.delete(f"{self.root}/{table}/{v}")
 
     def input_signature(self, paths: list[str]) -> str:
-        """Cheap fingerprint of input files (length and modification time)."""
+        """Fingerprint of every data file under the input paths (name, length
+        and modification time)."""
         import hashlib
 
         h = hashlib.sha1()
         for p in paths:
-            ln, mt = self.fs.size(p)
-            h.update(f"{p}:{ln}:{mt};".encode())
+            for name, ln, mt in sorted(self.fs.files(p)):
+                h.update(f"{name}:{ln}:{mt};".encode())
         return h.hexdigest()[:16]
 
 
-def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
-def add_run_columns(df: DataFrame, **cols) -> DataFrame:
-    return df.select("*", *[F.lit(v).alias(k) for k, v in cols.items()])
+def last_by_key(df: DataFrame, keys, order_by) -> DataFrame:
+    """One row per key: the last by ``order_by``; of rows alike in that, the
+    largest by the other columns, so that the result doesn't depend on the
+    order of arrival. One aggregate with partial sums, so a key that many
+    rows repeat is reduced before the shuffle."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    return (df.groupBy(*keys).agg(F.max(F.struct(*order_by, *rest)).alias("last"))
+            .select(*[F.col(c) if c in keys else F.col(f"last.{c}").alias(c) for c in df.columns]))
 
 
 def write_once(spark: SparkSession, path: str, write) -> str:

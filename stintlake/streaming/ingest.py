@@ -11,8 +11,7 @@ keyed upsert per micro-batch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
@@ -21,23 +20,14 @@ def incremental_files(spark: SparkSession, path: str, schema: StructType, fmt: s
     return spark.readStream.schema(schema).format(fmt).load(path)
 
 
-def dedupe_batch(df: DataFrame, keys, order_col: str | None = None) -> DataFrame:
-    """One row per key inside a micro-batch: the one with the highest
-    ``order_col`` (or any one when no order is given)."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    if order_col is None:
-        return df.dropDuplicates(keys)
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
-
-
 def stream_upsert(spark: SparkSession, source: str, schema: StructType, store, table: str, keys,
-                  checkpoint: str, order_col: str | None = None, fmt: str = "parquet") -> None:
-    """Run the stream until every available file is merged, then return."""
+                  checkpoint: str, order_by, fmt: str = "parquet") -> None:
+    """Run the stream until every available file is merged, then return. Of
+    several rows of one key in a batch the last by ``order_by`` wins."""
     def merge(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        store.merge_upsert(table, dedupe_batch(batch, keys, order_col), keys)
+        store.merge_upsert(table, batch, keys, order_by)
 
     q = (incremental_files(spark, source, schema, fmt).writeStream
          .option("checkpointLocation", checkpoint)

@@ -173,13 +173,82 @@ def test_store_full_refresh_keeps_backup(spark, tmpdir_path):
 def test_upsert_and_failed_upsert(spark, tmpdir_path):
     st = Store(spark, f"{tmpdir_path}/store")
     st.write_full("t", spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"))
-    st.merge_upsert("t", spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string"), "k")
+    st.merge_upsert("t", spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string"), "k", "v")
     assert sorted(tuple(r) for r in st.read("t").collect()) == [(1, "a"), (2, "B"), (3, "c")]
     with pytest.raises(Exception):
-        st.merge_upsert("t", spark.createDataFrame([(4,)], "other int"), "k")
+        st.merge_upsert("t", spark.createDataFrame([(4,)], "other int"), "k", "v")
     assert sorted(tuple(r) for r in st.read("t").collect()) == [(1, "a"), (2, "B"), (3, "c")]
 
 
+def test_upsert_of_repeated_keys_keeps_the_last(spark, tmpdir_path):
+    st = Store(spark, f"{tmpdir_path}/store")
+    twice = spark.createDataFrame([(2, 1, "x"), (2, 3, "z"), (2, 2, "y"), (5, 1, None)], "k int, seq int, v string")
+    st.merge_upsert("t", twice, "k", "seq")
+    assert sorted(tuple(r) for r in st.read("t").collect()) == [(2, 3, "z"), (5, 1, None)]
+    st.merge_upsert("t", spark.createDataFrame([(2, 4, "a"), (2, 5, "b")], "k int, seq int, v string"), "k", "seq")
+    assert sorted(tuple(r) for r in st.read("t").collect()) == [(2, 5, "b"), (5, 1, None)]
+
+
+def test_signature_covers_nested_files(spark, tmpdir_path):
+    st = Store(spark, f"{tmpdir_path}/store")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    df.write.partitionBy("k").parquet(f"{tmpdir_path}/t")
+    before = st.input_signature([f"{tmpdir_path}/t"])
+    assert before == st.input_signature([f"{tmpdir_path}/t"])
+    df.limit(1).write.mode("append").parquet(f"{tmpdir_path}/t/k=2")
+    assert before != st.input_signature([f"{tmpdir_path}/t"])
+
+
+def test_dirty_text_becomes_null_not_an_error(spark):
+    dims = spark.createDataFrame([("a", 1)], "driver_ref string, driver_id int")
+    raw = spark.createDataFrame([("a", "7", "n/a", "bad")], "driver_ref string, race_id string, points string, wins string")
+    raw = raw.withColumn("position", F.lit("x")).withColumn("position_text", F.lit("x"))
+    r = X.transform_standings(raw, dims, "driver_ref", "driver_id").first()
+    assert (r["points"], r["wins"], r["position"], r["race_id"]) == (0.0, 0, None, 7)
+    stops = spark.createDataFrame([("a", "7", "1", "3", "21.5", "oops"), ("a", "7", "2", "9", "22", "22000")],
+                                  "driver_ref string, race_id string, stop string, lap string, duration string, milliseconds string")
+    assert sorted(x["milliseconds"] for x in X.transform_pit_stops(stops, dims).collect()) == [0, 22000]
+
+
+def test_a_code_that_two_drivers_share_does_not_multiply_laps(spark):
+    from datetime import timedelta
+
+    from stintlake.sources.laps import ambiguous_codes, laps_from_sessions
+
+    second = timedelta(seconds=90)
+    lap = spark.createDataFrame([(1, "ABC", 1.0, second, second, second, second, "soft", 1.0, 1.0, True, True, None, None, "1")],
+                                "race_id long, Driver string, LapNumber double, LapTime interval day to second, "
+                                "Sector1Time interval day to second, Sector2Time interval day to second, Sector3Time interval day to second, "
+                                "Compound string, TyreLife double, Stint double, IsPersonalBest boolean, IsAccurate boolean, "
+                                "PitInTime interval day to second, PitOutTime interval day to second, TrackStatus string")
+    codes = spark.createDataFrame([(1, "ABC", 4), (1, "ABC", 9)], "race_id long, code string, driver_id long")
+    assert [r["driver_id"] for r in laps_from_sessions(lap, codes).collect()] == [9]
+    assert [tuple(r) for r in ambiguous_codes(codes).collect()] == [(1, "ABC", 2)]
+
+
+def test_a_short_file_is_read(spark, tmpdir_path):
+    import os
+
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    from stintlake.sources.files import read_table
+
+    os.makedirs(tmpdir_path, exist_ok=True)
+    with open(f"{tmpdir_path}/y.csv", "w") as f:
+        f.write("y\n7")
+    assert [r[0] for r in read_table(spark, f"{tmpdir_path}/y.csv", StructType([StructField("y", IntegerType())])).collect()] == [7]
+
+
+def test_half_up_keeps_sign_and_nan(spark):
+    from stintlake.functions.columns import race_id, round_half_up
+
+    df = spark.createDataFrame([(-0.125,), (0.125,), (float("nan"),), (-0.001,)], "x double")
+    got = [r[0] for r in df.select(round_half_up("x", 2)).collect()]
+    assert got[:2] == [-0.13, 0.13] and got[2] != got[2] and str(got[3]) == "0.0"
+    keys = spark.createDataFrame([(2020, 99), (2020, 100), (2021, 0), (2020, 5)], "year int, round int").select(race_id()).collect()
+    assert len({r[0] for r in keys}) == 4 and keys[3][0] == 202005
+
+
 def test_seed_row_keeps_existing(spark, tmpdir_path):
     st = Store(spark, f"{tmpdir_path}/store")
     st.write_full("c", spark.createDataFrame([(9, "red_bull")], "constructor_id int, constructor_ref string"))

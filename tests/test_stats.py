@@ -22,6 +22,24 @@ def test_chi2_large_df_no_underflow():
     assert np.all(np.isfinite(x)) and x[0] < 2000 < x[1]
 
 
+def test_chi2_cdf_at_its_df_for_large_df():
+    """P(a, a) = 1/2 + 1 / (3 sqrt(2 pi a)) + O(a^-1.5)."""
+    for df in (1e4, 1e5, 2e5, 1e6, 1e7, 1e8):
+        a = df / 2
+        assert float(S.chi2_cdf(df, df)) == pytest.approx(0.5 + 1 / (3 * np.sqrt(2 * np.pi * a)), abs=3e-9 if a < 1e5 else 1e-9)
+    assert float(S.chi2_ppf(0.025, 1e6)) == pytest.approx(997230.087, abs=0.01)
+
+
+def test_not_converged_is_an_error():
+    with pytest.raises(ArithmeticError):
+        S._until(lambda i: False, 10, "test")
+
+
+def test_t_with_large_df_is_normal():
+    assert float(S.t_ppf(0.975, 1e8)) == pytest.approx(1.959964, abs=1e-6)
+    assert float(S.t_sf2(2.0, 1e8)) == pytest.approx(0.0455002639, abs=1e-8)
+
+
 def test_t_two_sided_p():
     assert S.t_sf2(2.5706, 5) == pytest.approx(0.05, abs=1e-4)
     assert S.t_sf2(0.0, 3) == pytest.approx(1.0)
@@ -29,8 +47,8 @@ def test_t_two_sided_p():
 
 def test_udfs_on_spark(spark):
     df = spark.createDataFrame([(0.975, 5.0), (0.975, 30.0)], "p double, df double")
-    got = [r[0] for r in df.select(S.t_ppf_udf("p", "df")).collect()]
-    assert got == pytest.approx([2.5706, 2.0423], abs=1e-4)
+    got = [r[0] for r in df.select(S.chi2_ppf_udf("p", "df")).collect()]
+    assert got == pytest.approx([12.8325, 46.9792], abs=1e-4)
 
 
 def _t_cdf_by_integration(t, v, steps=20000):

@@ -15,13 +15,13 @@ def test_stream_upsert_two_runs(spark, tmpdir_path):
     src, ckpt = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "ckpt")
     st = Store(spark, os.path.join(tmpdir_path, "store"))
     spark.createDataFrame([(1, "a", 1), (2, "b", 1)], SCHEMA).write.parquet(src + "/b1")
-    stream_upsert(spark, src + "/*", schema, st, "t", "k", ckpt, order_col="seq")
+    stream_upsert(spark, src + "/*", schema, st, "t", "k", ckpt, order_by="seq")
     assert sorted(tuple(r)[:2] for r in st.read("t").collect()) == [(1, "a"), (2, "b")]
     spark.createDataFrame([(2, "B", 2), (2, "old", 1), (3, "c", 2)], SCHEMA).write.parquet(src + "/b2")
-    stream_upsert(spark, src + "/*", schema, st, "t", "k", ckpt, order_col="seq")
+    stream_upsert(spark, src + "/*", schema, st, "t", "k", ckpt, order_by="seq")
     assert sorted(tuple(r)[:2] for r in st.read("t").collect()) == [(1, "a"), (2, "B"), (3, "c")]
     # nothing new: a third run leaves the table as it is
-    stream_upsert(spark, src + "/*", schema, st, "t", "k", ckpt, order_col="seq")
+    stream_upsert(spark, src + "/*", schema, st, "t", "k", ckpt, order_by="seq")
     assert st.read("t").count() == 3
 
 
