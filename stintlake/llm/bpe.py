@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .common import blocks, pick
 
 #: Text characters in a block of documents, and in all of a bucket's share; ids regrouped at once.
-BLOCK_CHARS = 30 << 20
+BLOCK_CHARS = 14 << 20
 BUCKET_CHARS = 16 << 20
 BATCH_IDS = 1_000_000
 
