@@ -17,6 +17,7 @@ above.
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import zlib
@@ -33,9 +34,9 @@ from .common import blocks, pick, stored
 LAYOUTS = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8),
            (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
 
-#: Text characters that a block of the files covers, and cached words of a Python worker.
+#: Text characters that a block of the files covers; cached words, and pieces of words, of a Python worker.
 BLOCK_CHARS = 4 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS, CACHE_PIECES = 500_000, 300_000
 
 
 def _bits(v: np.ndarray) -> np.ndarray:
@@ -106,8 +107,9 @@ _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\\[-`{|}~]*)")
 _OTHER_SPACE = re.compile("[\x1c-\x1f]")
 
 
+@functools.cache
 def word_encoder(tokenizer_file: str):
-    """A function from texts to their ids.
+    """A function from texts to their ids, one per worker and tokenizer.
 
     Texts are cut at white space, where this tokenizer parts words and which
     it drops. The ids of a word are looked up in a bounded cache of this
@@ -153,9 +155,10 @@ def word_encoder(tokenizer_file: str):
         new = every - words.keys()
         if len(words) + len(new) > CACHE_WORDS:
             words.clear()
+            new = every
+        if len(pieces) > CACHE_PIECES:
             pieces.clear()
             pieces[""] = b""
-            new = every
         learn(new)
         return [np.frombuffer(b"".join(map(words.__getitem__, ws)), kind) for ws in cut]
 
