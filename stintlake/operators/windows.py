@@ -132,23 +132,32 @@ def segments(df: DataFrame, part, order, value: str, out: str = "segment", block
     return res.drop("__sign", "__prev_sign", "__chg")
 
 
+def _with_part(df: DataFrame, part, *aggs: Column) -> DataFrame:
+    """Each row with aggregates of its part, by an aggregate (with partial
+    sums) that is joined on: no task holds a whole part."""
+    part = _cols(part) if part else []
+    keys = [F.col(c).alias(f"__{c}") for c in part]
+    if not part:
+        keys, part = [F.lit(0).alias("__all")], []
+    totals = df.groupBy(*keys).agg(*aggs)
+    on = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in part] or [F.lit(0) == F.col("__all")]
+    return df.join(totals, on).drop(*[f"__{c}" for c in part] or ["__all"])
+
+
 def share_of_total(df: DataFrame, value: str, part=(), out: str = "share",
                    digits: int | None = 2) -> DataFrame:
-    """``value * 100 / SUM(value) OVER (PARTITION BY part)`` on an
-    already-aggregated (small) frame."""
+    """``value * 100 / SUM(value)`` of the part."""
     from stintlake.functions.columns import round_half_up
 
-    part = _cols(part) if part else []
-    w = Window.partitionBy(*part) if part else Window.partitionBy()
-    s = F.col(value) * F.lit(100.0) / F.sum(value).over(w)
-    return df.withColumn(out, round_half_up(s, digits) if digits is not None else s)
+    both = _with_part(df, part, F.sum(value).alias("__total"))
+    s = F.col(value) * F.lit(100.0) / F.col("__total")
+    return both.withColumn(out, round_half_up(s, digits) if digits is not None else s).drop("__total")
 
 
 def delta_from_best(df: DataFrame, cols: Sequence[str], part=(), suffix: str = "_gap") -> DataFrame:
-    """``x - min(x)`` over the (aggregated) rows of a part, per column."""
-    part = _cols(part) if part else []
-    w = Window.partitionBy(*part) if part else Window.partitionBy()
-    return df.select("*", *[(F.col(c) - F.min(c).over(w)).alias(c + suffix) for c in cols])
+    """``x - min(x)`` over the rows of a part, per column."""
+    both = _with_part(df, part, *[F.min(c).alias(f"__min_{c}") for c in cols])
+    return both.select(*df.columns, *[(F.col(c) - F.col(f"__min_{c}")).alias(c + suffix) for c in cols])
 
 
 def top_k(df: DataFrame, part, order: Sequence[Column], k: int) -> DataFrame:

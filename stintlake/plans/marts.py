@@ -54,25 +54,30 @@ def stg_constructor_standings(t) -> DataFrame:
 
 def _fact(t, cid) -> DataFrame:
     res = team_filter(stg_results(t), cid)
-    return (res.join(stg_races(t).select("race_id", "season"), "race_id", "inner")
-            .join(stg_drivers(t).select("driver_id", "driver_name"), "driver_id", "inner"))
+    return res.join(stg_races(t).select("race_id", "season"), "race_id", "inner")
+
+
+def _named(agg: DataFrame, t) -> DataFrame:
+    """Driver names joined to an aggregate by driver, not to the fact."""
+    return agg.join(stg_drivers(t).select("driver_id", "driver_name"), "driver_id", "inner")
 
 
 def mart_driver_summary(t, cid=None) -> DataFrame:
     """D3: career line per team and driver, FILTER-style aggregates."""
-    df = _fact(t, cid).join(t.constructors.select(TEAM, "constructor_name"), TEAM, "inner")
     fin = ~F.col("is_dnf")
-    return (df.groupBy(TEAM, "driver_id", "driver_name")
-            .agg(F.array_join(F.array_sort(F.collect_set("constructor_name")), ", ").alias("team"),
-                 F.count_distinct("season").alias("seasons"),
-                 F.count(F.lit(1)).alias("races"),
-                 F.sum("points").alias("points"),
-                 F.count_if(F.col("position") == 1).alias("wins"),
-                 F.count_if(F.col("position") <= 3).alias("podiums"),
-                 round_half_up(F.avg(F.when(fin, F.col("position_order"))), 1).alias("avg_finish"),
-                 F.count_if(F.col("is_dnf")).alias("dnfs"),
-                 F.min("season").alias("from_season"),
-                 F.max("season").alias("to_season"))
+    agg = (_fact(t, cid).groupBy(TEAM, "driver_id")
+           .agg(F.count_distinct("season").alias("seasons"),
+                F.count(F.lit(1)).alias("races"),
+                F.sum("points").alias("points"),
+                F.count_if(F.col("position") == 1).alias("wins"),
+                F.count_if(F.col("position") <= 3).alias("podiums"),
+                round_half_up(F.avg(F.when(fin, F.col("position_order"))), 1).alias("avg_finish"),
+                F.count_if(F.col("is_dnf")).alias("dnfs"),
+                F.min("season").alias("from_season"),
+                F.max("season").alias("to_season")))
+    named = _named(agg.join(t.constructors.select(TEAM, F.col("constructor_name").alias("team")), TEAM, "inner"), t)
+    return (named.select(TEAM, "driver_id", "driver_name", "team", "seasons", "races", "points", "wins", "podiums",
+                         "avg_finish", "dnfs", "from_season", "to_season")
             .orderBy(TEAM, F.col("points").desc(), "driver_id"))
 
 
@@ -93,11 +98,12 @@ def mart_qualifying_vs_race(t, cid=None) -> DataFrame:
     df = _fact(t, cid).join(q, ["race_id", "driver_id"], "left")
     fin = ~F.col("is_dnf")
     gained = F.col("grid").cast("int") - F.col("position_order")
-    return (df.groupBy(TEAM, "driver_id", "driver_name", "season")
-            .agg(F.count(F.lit(1)).alias("races_started"),
-                 F.count("qual_position").alias("races_with_qualifying"),
-                 round_half_up(F.avg("qual_position"), 2).alias("avg_qual_position"),
-                 round_half_up(F.avg(F.when(fin, F.col("position_order"))), 2).alias("avg_race_position"),
-                 round_half_up(F.avg(F.when(fin, gained)), 2).alias("avg_positions_gained"),
-                 F.count_if((F.col("position_order") < F.col("grid")) & fin).alias("races_gained_positions"))
+    agg = (df.groupBy(TEAM, "driver_id", "season")
+           .agg(F.count(F.lit(1)).alias("races_started"),
+                F.count("qual_position").alias("races_with_qualifying"),
+                round_half_up(F.avg("qual_position"), 2).alias("avg_qual_position"),
+                round_half_up(F.avg(F.when(fin, F.col("position_order"))), 2).alias("avg_race_position"),
+                round_half_up(F.avg(F.when(fin, gained)), 2).alias("avg_positions_gained"),
+                F.count_if((F.col("position_order") < F.col("grid")) & fin).alias("races_gained_positions")))
+    return (_named(agg, t).select(TEAM, "driver_id", "driver_name", *agg.columns[2:])
             .orderBy(TEAM, F.col("season").desc(), F.col("avg_race_position").asc_nulls_last(), "driver_id"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stintlake.functions.columns import (avg_finish, count_where, finished, is_dnf, pct,
                                          period_label, round_half_up)
-from stintlake.operators.joins import star, team_by_refs, team_filter
+from stintlake.operators.joins import star, team_by_refs, team_filter, with_driver_name
 from stintlake.operators.windows import share_of_total, top_k, with_lag_delta
 
 TEAM = "constructor_id"
@@ -34,6 +34,18 @@ def _podium():
     return count_where(_pos() <= 3)
 
 
+def _after(df: DataFrame, key: str, *cols: str) -> DataFrame:
+    """The columns in order, with ``cols`` right after ``key``."""
+    rest = [c for c in df.columns if c not in cols]
+    at = rest.index(key) + 1
+    return df.select(*rest[:at], *cols, *rest[at:])
+
+
+def _named(agg: DataFrame, t, null_safe: bool = True) -> DataFrame:
+    """Driver names joined to an aggregate by driver, not to the fact."""
+    return _after(with_driver_name(agg, t.drivers, null_safe=null_safe), "driver_id", "driver_name")
+
+
 def driver_summary(t, refs=None, sep: str = ",", with_seasons: bool = True,
                    team_alias: dict | None = None) -> DataFrame:
     """Career line per driver over the selected teams.
@@ -41,15 +53,12 @@ def driver_summary(t, refs=None, sep: str = ",", with_seasons: bool = True,
     ``team_alias`` maps long team names to a display name; the team list is
     then de-duplicated after mapping (two names of one team shown once)."""
     res = team_by_refs(t.results, t.constructors, refs)
-    df = star(res, t.races, t.drivers, t.constructors, race_cols=("year",), driver_name="driver")
+    df = star(res, t.races, race_cols=("year",)).join(t.constructors.select(TEAM), TEAM, "left_semi")
     name = F.col("constructor_name")
     if team_alias:
         amap = F.create_map(*[F.lit(x) for kv in team_alias.items() for x in kv])
         name = F.coalesce(amap[name], name)
-    aggs = [
-        F.first("driver").alias("driver"),
-        F.array_join(F.array_sort(F.array_distinct(F.collect_set(name))), sep).alias("team"),
-    ]
+    aggs = [F.collect_set(TEAM).alias("team_ids")]  # a driver's teams
     if with_seasons:
         aggs.append(F.count_distinct("year").alias("seasons"))
     aggs += [
@@ -62,7 +71,12 @@ def driver_summary(t, refs=None, sep: str = ",", with_seasons: bool = True,
         F.min("year").alias("from_yr"),
         F.max("year").alias("to_yr"),
     ]
-    return df.groupBy("driver_id").agg(*aggs).orderBy(F.col("points").desc(), "driver_id")
+    lines = df.groupBy("driver_id").agg(*aggs)
+    teams = (lines.select("driver_id", F.explode("team_ids").alias(TEAM))
+             .join(t.constructors.select(TEAM, "constructor_name"), TEAM, "inner").groupBy("driver_id")
+             .agg(F.array_join(F.array_sort(F.array_distinct(F.collect_set(name))), sep).alias("team")))
+    out = with_driver_name(lines.drop("team_ids").join(teams, "driver_id", "inner"), t.drivers, "driver")
+    return _after(out, "driver_id", "driver", "team").orderBy(F.col("points").desc(), "driver_id")
 
 
 def team_performance_overview(t, cid=None) -> DataFrame:
@@ -80,15 +94,16 @@ def team_performance_overview(t, cid=None) -> DataFrame:
 
 def driver_performance_comparison(t, cid=None) -> DataFrame:
     """Season × driver line per team."""
-    df = star(team_filter(t.results, cid), t.races, t.drivers, race_cols=("year",))
-    return (df.groupBy(TEAM, F.col("year").alias("season"), "driver_id", "driver_name")
-            .agg(F.count(F.lit(1)).alias("races"),
-                 F.sum("points").alias("total_points"),
-                 _win().alias("wins"),
-                 _podium().alias("podiums"),
-                 count_where(_pos() <= 10).alias("points_finishes"),
-                 avg_finish(digits=2).alias("avg_finish"),
-                 count_where(is_dnf()).alias("dnfs"))
+    df = star(team_filter(t.results, cid), t.races, race_cols=("year",))
+    agg = (df.groupBy(TEAM, F.col("year").alias("season"), "driver_id")
+           .agg(F.count(F.lit(1)).alias("races"),
+                F.sum("points").alias("total_points"),
+                _win().alias("wins"),
+                _podium().alias("podiums"),
+                count_where(_pos() <= 10).alias("points_finishes"),
+                avg_finish(digits=2).alias("avg_finish"),
+                count_where(is_dnf()).alias("dnfs")))
+    return (_named(agg, t)
             .orderBy(TEAM, F.col("season").desc(), F.col("total_points").desc(), "driver_id"))
 
 
@@ -96,16 +111,17 @@ def qualifying_vs_race_performance(t, cid=None) -> DataFrame:
     """Qualifying against race finish per driver and year."""
     res = team_filter(t.results, cid)
     q = t.qualifying.select("race_id", "driver_id", F.col("position").alias("qual_position"))
-    df = star(res, t.races, t.drivers, race_cols=("year",)).join(q, ["race_id", "driver_id"], "left")
+    df = star(res, t.races, race_cols=("year",)).join(q, ["race_id", "driver_id"], "left")
     fin = finished()
     gained = F.col("grid").cast("int") - F.col("position_order").cast("int")
-    return (df.groupBy(TEAM, "driver_id", "driver_name", "year")
-            .agg(F.count(F.lit(1)).alias("races_started"),
-                 F.count("qual_position").alias("races_with_qualifying"),
-                 round_half_up(F.avg("qual_position"), 2).alias("avg_qual_position"),
-                 avg_finish(digits=2).alias("avg_race_position"),
-                 round_half_up(F.avg(F.when(fin, gained)), 2).alias("avg_positions_gained"),
-                 count_where((F.col("position_order") < F.col("grid")) & fin).alias("races_gained_positions"))
+    agg = (df.groupBy(TEAM, "driver_id", "year")
+           .agg(F.count(F.lit(1)).alias("races_started"),
+                F.count("qual_position").alias("races_with_qualifying"),
+                round_half_up(F.avg("qual_position"), 2).alias("avg_qual_position"),
+                avg_finish(digits=2).alias("avg_race_position"),
+                round_half_up(F.avg(F.when(fin, gained)), 2).alias("avg_positions_gained"),
+                count_where((F.col("position_order") < F.col("grid")) & fin).alias("races_gained_positions")))
+    return (_named(agg, t)
             .orderBy(TEAM, F.col("year").desc(), F.col("avg_race_position").asc_nulls_last(), "driver_id"))
 
 
@@ -133,27 +149,27 @@ def _team_stops(t, cid):
 
 def pit_stop_efficiency(t, cid=None, with_std: bool = False, null_safe_names: bool = True) -> DataFrame:
     """N6 (and mart D4 with ``with_std``): stop timing per season and driver."""
-    df = star(_team_stops(t, cid), t.races, t.drivers, race_cols=("year",),
-              null_safe_names=null_safe_names)
+    df = star(_team_stops(t, cid), t.races, race_cols=("year",))
     aggs = [F.count(F.lit(1)).alias("total_stops"),
             F.min("milliseconds").alias("fastest_stop_ms"),
             round_half_up(F.avg("milliseconds"), 0).alias("avg_stop_ms"),
             F.max("milliseconds").alias("slowest_stop_ms")]
     if with_std:
         aggs.append(round_half_up(F.stddev_samp("milliseconds"), 0).alias("stddev_stop_ms"))
-    return (df.groupBy(TEAM, F.col("year").alias("season"), "driver_id", "driver_name").agg(*aggs)
+    return (_named(df.groupBy(TEAM, F.col("year").alias("season"), "driver_id").agg(*aggs), t, null_safe_names)
             .orderBy(TEAM, F.col("season").desc(), "avg_stop_ms", "driver_id"))
 
 
 def fastest_pit_stops(t, cid=None, k: int = 10) -> DataFrame:
-    """The ``k`` quickest stops per team (ties by race, driver, stop)."""
-    df = star(_team_stops(t, cid), t.races.select("race_id", "year", "race_name"), t.drivers,
-              race_cols=("year", "race_name"))
-    out = df.select(TEAM, "race_id", "year", "race_name", "driver_id", "driver_name",
-                    F.col("stop").alias("stop_number"), "lap", "duration", "milliseconds")
-    best = top_k(out, TEAM, [F.col("milliseconds").asc_nulls_last(), F.col("race_id"),
-                             F.col("driver_id"), F.col("stop_number")], k)
-    return best.orderBy(TEAM, "milliseconds", "race_id", "driver_id", "stop_number")
+    """The ``k`` quickest stops per team (ties by race, driver, stop).
+    Races and names are joined to those only."""
+    stops = _team_stops(t, cid).select(TEAM, "race_id", "driver_id", F.col("stop").alias("stop_number"),
+                                       "lap", "duration", "milliseconds")
+    best = top_k(stops, TEAM, [F.col("milliseconds").asc_nulls_last(), F.col("race_id"),
+                               F.col("driver_id"), F.col("stop_number")], k)
+    best = _named(best.join(t.races.select("race_id", "year", "race_name"), "race_id", "inner"), t)
+    return best.select(TEAM, "race_id", "year", "race_name", "driver_id", "driver_name",
+                       "stop_number", "lap", "duration", "milliseconds").orderBy(TEAM, "milliseconds", "race_id", "driver_id", "stop_number")
 
 
 def championship_progression(t, cid=None, fallback: bool = True, season_col: str = "year") -> DataFrame:
@@ -187,13 +203,14 @@ def driver_championship_battle(t, cid=None) -> DataFrame:
 
 def fastest_laps_analysis(t, cid=None) -> DataFrame:
     """Fastest-lap awards per season and driver (drivers with one or more)."""
-    df = star(team_filter(t.results, cid), t.races, t.drivers, race_cols=("year",))
+    df = star(team_filter(t.results, cid), t.races, race_cols=("year",))
     fl = F.col("fastest_lap_rank") == 1
-    return (df.groupBy(TEAM, F.col("year").alias("season"), "driver_id", "driver_name")
-            .agg(count_where(fl).alias("fastest_laps"),
-                 F.count(F.lit(1)).alias("total_races"),
-                 pct(fl).alias("fastest_lap_percentage"))
-            .filter(F.col("fastest_laps") > 0)
+    agg = (df.groupBy(TEAM, F.col("year").alias("season"), "driver_id")
+           .agg(count_where(fl).alias("fastest_laps"),
+                F.count(F.lit(1)).alias("total_races"),
+                pct(fl).alias("fastest_lap_percentage"))
+           .filter(F.col("fastest_laps") > 0))
+    return (_named(agg, t)
             .orderBy(TEAM, F.col("season").desc(), F.col("fastest_laps").desc(), "driver_id"))
 
 

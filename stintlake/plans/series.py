@@ -131,12 +131,12 @@ def pit_sem(t, cid=None, min_stops: int = 5) -> DataFrame:
     """K8: pit z per driver with its standard error (0 when undefined) and
     a 0..1 colour scale over the team's drivers."""
     z = M.pit_z(t, cid=cid, min_stops=min_stops)
-    w = Window.partitionBy(TEAM)
-    rng = F.greatest(F.max("mean_z").over(w) - F.min("mean_z").over(w), F.lit(1e-9))
-    return z.select(TEAM, "driver_id", "driver", "mean_z", "n_stops",
+    span = z.groupBy(TEAM).agg(F.min("mean_z").alias("low"), F.max("mean_z").alias("high"))
+    rng = F.greatest(F.col("high") - F.col("low"), F.lit(1e-9))
+    return z.join(span, TEAM, "inner").select(TEAM, "driver_id", "driver", "mean_z", "n_stops",
                     round_half_up(F.coalesce(F.col("std_z") / F.sqrt(F.col("n_stops").cast("double")),
                                              F.lit(0.0)), 6).alias("sem"),
-                    round_half_up((F.col("mean_z") - F.min("mean_z").over(w)) / rng, 6).alias("norm"))
+                    round_half_up((F.col("mean_z") - F.col("low")) / rng, 6).alias("norm"))
 
 
 def dnf_ci(t, cid=None, min_races: int = 10) -> DataFrame:
@@ -279,10 +279,10 @@ def compound_map(t) -> DataFrame:
     that has laps (missing compound shown as UNKNOWN)."""
     laps = t.laps.select("race_id", "driver_id", "lap_number", "compound")
     races = t.races.select("race_id", "year", "round", "race_name")
-    with_year = laps.join(races, "race_id", "inner")
-    latest = with_year.agg(F.max("year").alias("year"))
-    sel = with_year.join(latest, "year", "left_semi")
-    sel = with_driver_name(sel, t.drivers, "driver")
+    # the season is found from the race keys alone; its few races then pick the laps
+    with_laps = races.join(laps.select("race_id").distinct(), "race_id", "left_semi")
+    season = with_laps.join(with_laps.agg(F.max("year").alias("year")), "year", "left_semi")
+    sel = with_driver_name(laps.join(season, "race_id", "inner"), t.drivers, "driver")
     return sel.select("year", "race_name", "round", "lap_number", "driver_id", "driver",
                       F.coalesce("compound", F.lit("UNKNOWN")).alias("compound"))
 
