@@ -79,4 +79,4 @@ QUERIES = {
 }
 
 #: DuckDB twins; the other queries are tested against brute force in tests/llm.
-SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql()}
+SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op10_substring_dedup": substring_dedup.oracle_sql()}

@@ -242,3 +242,18 @@ def dedup_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", car
     names = carry or []
     return _remove(docs, doc_id, text, True, names).select(
         "doc_id", "n_words", "n_removed", "kept", *[F.col(f"carry_{c}").alias(c) for c in names])
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL for ``dedup_digests`` over ``documents``."""
+    return rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT rid, doc_id, s, array_to_string(ws[s : s + {WINDOW - 1}], ' ') AS w
+        FROM (SELECT rid, doc_id, ws, unnest(generate_series(1, len(ws) - {WINDOW - 1})) AS s FROM docs)),
+least_id AS (SELECT w, min(doc_id) AS low FROM win GROUP BY w),
+gone AS (SELECT DISTINCT rid, unnest(generate_series(s, s + {WINDOW - 1})) AS p FROM win JOIN least_id USING (w)
+         WHERE low < doc_id OR (doc_id IS NULL AND low IS NOT NULL)),
+word AS (SELECT rid, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS p FROM docs),
+kept AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (rid)"""
