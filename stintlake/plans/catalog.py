@@ -82,7 +82,7 @@ def registry() -> dict[str, Entry]:
         "teammate_delta": _on_star(M.teammate_delta, inference=False),
         "teammate_delta_inference": _on_star(M.teammate_delta),
         "grid_finish_ols": _on_star(M.grid_finish_ols, inference=False),
-        "grid_finish_ols_inference": _on_star(M.grid_finish_ols),
+        "grid_finish_ols_inference": _on_star(M.grid_finish_ols, p_digits=9),
         "pit_z": _on_star(M.pit_z),
         "trajectory": _on_star(M.trajectory),
         "dnf_rate": _on_star(M.dnf_rate, with_ci=False),

@@ -91,9 +91,10 @@ def grid_finish_points(t, refs=None, cid=None) -> DataFrame:
                      F.col("position_order").cast("int").alias("finish"))
 
 
-def grid_finish_ols(t, refs=None, cid=None, inference: bool = True) -> DataFrame:
+def grid_finish_ols(t, refs=None, cid=None, inference: bool = True, p_digits: int | None = None) -> DataFrame:
     """OLS finish ~ grid per team: slope, intercept, r², n (and the
-    two-sided p of the slope). Fewer than two points: nulls and n = 0."""
+    two-sided p of the slope, rounded where ``p_digits`` says so). Fewer than
+    two points: nulls and n = 0."""
     pts = grid_finish_points(t, refs, cid)
     agg = pts.groupBy(TEAM).agg(
         F.count(F.lit(1)).alias("cnt"),
@@ -114,7 +115,8 @@ def grid_finish_ols(t, refs=None, cid=None, inference: bool = True) -> DataFrame
         tstat = F.sqrt(r2) * F.signum(F.col("_s")) * F.sqrt(F.try_divide(dfree, F.lit(1.0) - r2))
         p = F.when(F.col("_n") <= 2, F.lit(None).cast("double")) \
             .when(r2 >= 1.0, F.lit(0.0)).otherwise(t_sf2_udf(tstat, dfree))
-        out = out.withColumn("p_value", F.when(F.col("_n") >= 2, p))
+        p = F.when(F.col("_n") >= 2, p)
+        out = out.withColumn("p_value", p if p_digits is None else round_half_up(p, p_digits))
     return out.drop("_r2", "_n", "_s").orderBy(TEAM)
 
 
