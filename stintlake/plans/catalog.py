@@ -66,6 +66,12 @@ def registry() -> dict[str, Entry]:
         # documented name of the KPI query
         "kpi_summary": _on_star(Q.key_performance_indicators),
         "driver_summary_pipeline": _on_star(Q.driver_summary_pipeline),
+        # one team, or teams by their refs: the filter reaches the scan
+        "team_performance_overview_team": _on_star(Q.team_performance_overview, cid=9),
+        "championship_progression_team": _on_star(Q.championship_progression, cid=9),
+        "fastest_pit_stops_team": _on_star(Q.fastest_pit_stops, cid=9),
+        "driver_summary_teams": _on_star(Q.driver_summary, refs=["nation_3", "nation_9"]),
+        "teammate_delta_teams": _on_star(M.teammate_delta, refs=["nation_3", "nation_9"], inference=False),
         # staging and marts
         "stg_results": _on_star(D.stg_results),
         "stg_races": _on_star(D.stg_races),

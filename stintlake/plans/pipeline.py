@@ -17,6 +17,7 @@ from stintlake.operators import ledger as LG
 from stintlake.operators import quality as QC
 from stintlake.operators import transform as X
 from stintlake.plans import queries as Q
+from stintlake.plans.sql import materialize_marts
 from stintlake.schemas import LOAD_ORDER, PRIMARY_KEYS, SCHEMAS
 from stintlake.sources.binding import Star
 from stintlake.sources.files import read_csv_strings
@@ -49,6 +50,7 @@ class PipelineConfig:
     skip_transform: bool = False  # load already-clean tables from the store
     skip_load: bool = False
     skip_quality: bool = False
+    skip_marts: bool = False
     dry_run: bool = False         # only preview row counts
     team_id: int | None = None    # optional slice to one team
     truncate_points: bool = False
@@ -64,6 +66,7 @@ class PipelineResult:
     preview: DataFrame | None = None
     quality: DataFrame | None = None
     summary: DataFrame | None = None
+    marts: dict = field(default_factory=dict)  # name -> path of the stored table
 
 
 def check_year_range(start_year: int, end_year: int, min_year: int | None = None,
@@ -130,6 +133,10 @@ def run_pipeline(spark: SparkSession, raw_dir: str, store_root: str, cfg: Pipeli
         sliced = LG.team_slice(Star(**tables), cfg.team_id)
         tables.update(sliced)
     if not cfg.skip_load:
+        if cfg.mode == "incremental":  # what is stored must still fit what is loaded
+            known = {n: store.read(n) for n in LOAD_ORDER if n in SCHEMAS and store.exists(n)}
+            out.warnings += [f"Stored table {x['table']}: {x['column'] or ''} {x['issue']}."
+                             for x in LG.schema_drift(spark, known).collect()]  # a row per column at most
         log = LG.RunLog(store)
         out.run_id = log.start(raw_dir, cfg.mode)
         try:
@@ -155,5 +162,7 @@ def run_pipeline(spark: SparkSession, raw_dir: str, store_root: str, cfg: Pipeli
     loaded = Star(loader=lambda n: store.read(n, SCHEMAS[n]))
     if not cfg.skip_quality:
         out.quality = QC.run_checks(loaded, cfg.start_year, cfg.end_year)
+    if not cfg.skip_marts:
+        out.marts = materialize_marts(loaded, store, cfg.team_id)
     out.summary = Q.driver_summary_pipeline(loaded)
     return out

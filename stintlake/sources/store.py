@@ -139,10 +139,16 @@ class Store:
         return self._commit(table, keep.unionByName(df.select(*target.columns)), partition_by)
 
     def append_rows(self, table: str, df: DataFrame) -> str:
-        """Append (ledger tables): new version = current ∪ rows."""
-        if not self.exists(table):
+        """Append (ledger tables): new files beside those of the current
+        version; nothing that is there is read or written again. Columns
+        that the rows lack are null."""
+        path = self.current_path(table)
+        if path is None:
             return self._commit(table, df)
-        return self._commit(table, self.read(table).unionByName(df, allowMissingColumns=True))
+        have = set(df.columns)
+        df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                    for f in self.spark.read.parquet(path).schema.fields]).write.mode("append").parquet(path)
+        return path
 
     def vacuum(self, table: str, keep: int = 2) -> None:
         """Drop all but the newest ``keep`` committed versions (marker first,
