@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, pick
+from .common import blocks, pick, release, tidy
 
 #: Text characters in a block of documents, and in all of a bucket's share; ids regrouped at once.
 BLOCK_CHARS = 14 << 20
@@ -237,6 +237,7 @@ def _finish(coded, found):
             text = b"".join(map(decoded.__getitem__, ws)).decode("utf-8", "replace")
             out.append((doc_id, int(n_ids[own].sum()), hashlib.sha256(",".join(map(ids_text.__getitem__, ws)).encode()).hexdigest(),
                         hashlib.sha256(text.encode()).hexdigest()))
+    release()
     return pd.DataFrame(out, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
 
 
@@ -252,10 +253,10 @@ def encode_decode(docs: DataFrame, tokenizer_file: str, doc_id: str = "doc_id",
     d = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     chars = d.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-chars // BUCKET_CHARS))
-    coded = d.mapInPandas(_number_words(buckets), "key bigint, block bigint, first int, packed binary").repartition("key")
+    coded = d.mapInPandas(tidy(_number_words(buckets)), "key bigint, block bigint, first int, packed binary").repartition("key")
     once = coded.groupBy("key").applyInPandas(_encode_once(tokenizer_file), "ids array<int>, places binary")
     decoded = (once.select("places", F.posexplode("ids").alias("pos", "id"))
                .join(pieces, "id").select("pos", "id", "piece", F.when(F.col("pos") == 0, F.col("places")).alias("places")))
-    found = decoded.mapInPandas(_to_blocks, "block bigint, packed binary")
+    found = decoded.mapInPandas(tidy(_to_blocks), "block bigint, packed binary")
     return (coded.groupBy("key").cogroup(found.groupBy("block"))
             .applyInPandas(_finish, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"))

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, pick, stored
+from .common import blocks, pick, stored, tidy
 from .components import components
 from .rolling import joined, mix, window_hashes, word_bounds, word_hashes
 
@@ -241,7 +241,7 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     none), n_links (texts with another set that are similar), n_copies (rows
     with the same set, itself included). Null ids count as the largest."""
     d = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("h"))
-    rows = stored(d.mapInPandas(_sketch, "doc_id bigint, h bigint, node binary, keys array<bigint>, sig binary"), "jaccard-sketch")
+    rows = stored(d.mapInPandas(tidy(_sketch), "doc_id bigint, h bigint, node binary, keys array<bigint>, sig binary"), "jaccard-sketch")
     known = rows.filter("node is not null")
     nodes = known.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"),
                                       F.min(F.struct("doc_id", "h")).alias("one"))
@@ -249,12 +249,12 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     keyed = once.select("node", F.posexplode("keys").alias("band", "g"))
     many = keyed.groupBy("g").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
     buckets = keyed.join(many, "g").join(once.select("node", "sig"), "node")
-    pruned = components(_tiled(buckets, "node").mapInPandas(_prune, "a binary, b binary"), "jaccard-candidates").withColumnRenamed("comp", "g")
+    pruned = components(_tiled(buckets, "node").mapInPandas(tidy(_prune), "a binary, b binary"), "jaccard-candidates").withColumnRenamed("comp", "g")
     groups = pruned.join(pruned.groupBy("g").agg(F.count(F.lit(1)).alias("m")), "g").join(nodes, "node").select("g", "m", "node", "one.*")
     # the text of one row of each node: they all have the same set
     texts = d.select(F.col("doc_id").alias("text_id"), F.col("h").alias("text_h"), "text")
     whole = groups.join(texts, (F.col("h") == F.col("text_h")) & F.col("doc_id").eqNullSafe(F.col("text_id"))).select("g", "m", "node", "text")
-    links = stored(_tiled(whole.dropDuplicates(["node"]), "node").mapInPandas(_verify, "node binary, links bigint, to binary"), "jaccard-links")
+    links = stored(_tiled(whole.dropDuplicates(["node"]), "node").mapInPandas(tidy(_verify), "node binary, links bigint, to binary"), "jaccard-links")
     counts = links.groupBy("node").agg(F.sum("links").alias("n_links"))
     classes = components(links.select(F.col("node").alias("a"), F.col("to").alias("b")), "jaccard-classes").join(nodes.select("node", "first_id"), "node")
     class_ids = classes.groupBy("comp").agg(F.min("first_id").alias("class_id"))

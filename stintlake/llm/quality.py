@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out, pick
+from .common import held_out, pick, release, tidy
 
 #: Bound of the labelled documents that the network is fitted on; longer ones aren't taken for fitting.
 FIT_DOCS, FIT_CHARS = 3000, 100_000
@@ -30,7 +30,7 @@ FIT_DOCS, FIT_CHARS = 3000, 100_000
 FILTERS, WIDTH, CHUNK, LAGS = 16, 6, 256, tuple(range(2, 18))
 EPOCHS, RATE, SEED = 6, 0.02, 7
 #: Filter places that are answered at once (a multiple of half a chunk): bounds the memory for a long text.
-STRETCH = CHUNK // 2 * 2048
+STRETCH = CHUNK // 2 * 512
 #: A document is called good from this score on.
 CUT = 0.3
 
@@ -179,7 +179,7 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         if len(got):
             yield pd.DataFrame({"net": [pickle.dumps(fit(got["text"].tolist(), got["label"].to_numpy(float)))]})
 
-    net = sample.select("text", "label").coalesce(1).mapInPandas(run, "net binary").collect()
+    net = sample.select("text", "label").coalesce(1).mapInPandas(tidy(run), "net binary").collect()
     return pickle.loads(net[0]["net"]) if net else None
 
 
@@ -190,8 +190,12 @@ def score(text: Column, net: dict | None) -> Column:
         return F.lit(0.5)
 
     @F.pandas_udf("double")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series(score_texts(texts, net))
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        try:
+            for texts in batches:
+                yield pd.Series(score_texts(texts, net))
+        finally:
+            release()
 
     return run(text)
 

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks
+from .common import blocks, release, tidy
 from .rolling import freeze, joined, planes, thaw, unplanes, window_hashes, word_bounds, word_hashes
 
 #: Words of a window and of an index block: a window holds a whole block wherever it starts.
@@ -155,6 +155,7 @@ def _send_windows(buckets: int):
             out.append((key, key, np.packbits(mask).tobytes()))
             _, _, _, h, low = _smallest(w, ids, place)
             out += [(-1 - b, key, freeze((h[a:z].tobytes(), planes(low[a:z])))) for b, a, z in _by_bucket(h, 64 - buckets.bit_length() + 1)]
+        release()
         return pd.DataFrame(out, columns=["key", "block", "packed"])
 
     return run
@@ -206,6 +207,7 @@ def _cut(buckets: int, full: bool, names: list[str]):
                 else:
                     result = hashlib.sha256(b" ".join(kept)).hexdigest()
                 out.append((doc_id, n, n - len(kept), result, *[c[i] for c in carried]))
+        release()
         return pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept", *names]).astype({"doc_id": "Int64"})
 
     return run
@@ -216,7 +218,7 @@ def _remove(docs: DataFrame, doc_id: str, text: str, full: bool, carry: list[str
     d = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"), *[docs[c].alias(f"carry_{c}") for c in carry])
     chars = d.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = 1 << (max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // BUCKET_CHARS) - 1).bit_length()
-    sent = d.mapInPandas(_send_runs(buckets), "key bigint, block bigint, packed binary").repartition("key")
+    sent = d.mapInPandas(tidy(_send_runs(buckets)), "key bigint, block bigint, packed binary").repartition("key")
     bits = "block bigint, bucket bigint, bits binary"
     runs = sent.groupBy("key").applyInPandas(_match_runs, bits)
     windows = (sent.groupBy("key").cogroup(runs.groupBy("block"))

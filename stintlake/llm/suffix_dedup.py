@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, pick
+from .common import blocks, pick, release, tidy
 from .rolling import _BYTE, _pows, freeze, mix, thaw
 
 #: Bytes of a window, places that share an anchor, bytes hashed from an anchor on (inside every window that holds it).
@@ -297,6 +297,7 @@ def _send_windows(shift: int):
                 by = np.argsort(prints)
                 out += _rows(key, prints[by], size[group[some]][by] > 1, shift)
             out.append((key, key, freeze((np.packbits(sent).tobytes(), np.packbits(known).tobytes()))))
+        release()
         return pd.DataFrame(out, columns=["key", "block", "packed"])
 
     return run
@@ -329,6 +330,7 @@ def _cut(shift: int, full: bool):
                 kept = s.b[a:a + n][keep[a:a + n]].tobytes()
                 out.append((doc_id, n, n - len(kept), spans[a + n] - spans[a],
                             kept.decode("utf-8", "replace") if full else hashlib.sha256(kept).hexdigest()))
+        release()
         return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"doc_id": "Int64"})
 
     return run
@@ -341,7 +343,7 @@ def _remove(docs: DataFrame, doc_id: str, text: str, full: bool) -> DataFrame:
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), chars // BUCKET_CHARS, 2)
     shift = 64 - (buckets - 1).bit_length()
     sent, bits = "key bigint, block bigint, packed binary", "block bigint, bucket bigint, bits binary"
-    marks = d.mapInPandas(_send_marks(shift), sent).repartition("key")
+    marks = d.mapInPandas(tidy(_send_marks(shift)), sent).repartition("key")
     windows = (marks.groupBy("key").cogroup(marks.groupBy("key").applyInPandas(_match_marks, bits).groupBy("block"))
                .applyInPandas(_send_windows(shift), sent))
     return (marks.groupBy("key").cogroup(windows.groupBy("key").applyInPandas(_match, bits).groupBy("block"))
