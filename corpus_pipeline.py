@@ -10,30 +10,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintlake.llm import bpe, decontaminate, jaccard_join, quality, substring_dedup
-from stintlake.llm.common import stored, table
+from stintlake.llm.common import small_batches, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the classifier's cut stay."""
+    small_batches(spark)
     net = quality.learn(docs, table(spark, sf_dir, "labels"))
     return docs.select(*COLUMNS, quality.score(docs["text"], net).alias("quality_score")).filter(F.col("quality_score") >= quality.CUT).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of similar texts stays, that with the smallest id."""
+    small_batches(spark)
     return jaccard_join.keep_one(docs).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words that 13 words of an earlier document cover go; documents of which no word is left go."""
+    small_batches(spark)
     kept = substring_dedup.dedup_texts(docs, carry=["lang", "source"]).filter("n_words = 0 or n_removed < n_words")
     return kept.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
 
 
 def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    small_batches(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
@@ -41,6 +45,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of what is left, as digests."""
     import public_tokenizers
 
+    small_batches(spark)
     return bpe.encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -17,7 +17,16 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Documents go to Python in batches of 1,000 rows, unless the session
+    asks for another size: both sides hold a whole batch beside the heap."""
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(size) == "10000":  # Spark's default
+        spark.conf.set(size, "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
