@@ -50,6 +50,16 @@ def test_reparameterised_questions(spark, tmpdir_path):
         assert decontaminate.contaminated(d, b).count() == 0
 
 
+def test_items_with_other_equal_slots_are_other_templates(spark, tmpdir_path):
+    numbers = "so Tom bought {} apples and {} pears at the market and carried them home in a large bag"
+    names = "today {} bought some apples at the market and later {} carried all of them home in a large bag"
+    items = [(1, numbers.format(2, 2)), (2, numbers.format(3, 4)), (3, names.format("Tom", "Tom")), (4, names.format("Tom", "Anna"))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = brute.stored(spark, [(i, "intro, " + t) for i, t in items], f"{tmpdir_path}/d")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert {(i, i) for i, _ in items} <= found and decontaminate.clean(docs, bench).count() == 0
+
+
 def test_shuffled_join_gives_the_same(spark, tmpdir_path, monkeypatch):
     docs = brute.stored(spark, [(1, "so, " + ITEM), (2, "clean")], f"{tmpdir_path}/d")
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
