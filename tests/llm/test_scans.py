@@ -60,6 +60,19 @@ def test_items_with_other_equal_slots_are_other_templates(spark, tmpdir_path):
     assert {(i, i) for i, _ in items} <= found and decontaminate.clean(docs, bench).count() == 0
 
 
+def test_items_with_few_windows_of_words(spark, tmpdir_path):
+    sums = "Add 12 34 56 78 90 and 11 22 33 44 55 then say what the total of all these is"  # some windows have enough words
+    digits = "7 1 8 2 8 1 8 2 8 4 5 9 0 4 5 2 3 5 3 6 0 2 8 7 4 7 1 3 5 2 6 6 2 4 9 7"  # no window has
+    start = "What is the name of the river that runs there"  # 10 tokens
+    items = [(1, sums), (2, digits), (3, start), (4, "Who wrote the old red book?"), (5, digits[:-1] + "8"), (6, "???")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "so, " + sums), (2, "see " + digits + " 7"), (3, "Question: " + start + "? No"), (4, "Asked: who wrote\nthe old red book"),
+            (5, digits[2:]), (6, "Who wrote the old blue book?"), (7, "x " + digits[:40] + " and " + digits[40:]), (8, digits + " " + digits[:-1] + "8")]
+    docs = brute.stored(spark, rows + brute.odd_rows()[:3], f"{tmpdir_path}/d")
+    assert {r["doc_id"] for r in decontaminate.contaminated(docs, bench).collect()} == {1, 2, 3, 4, 8}
+    assert sorted(r["doc_id"] for r in decontaminate.clean(docs, bench).collect() if r["doc_id"]) == [1, 5, 6, 7]
+
+
 def test_shuffled_join_gives_the_same(spark, tmpdir_path, monkeypatch):
     docs = brute.stored(spark, [(1, "so, " + ITEM), (2, "clean")], f"{tmpdir_path}/d")
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
