@@ -73,6 +73,19 @@ def test_items_with_few_windows_of_words(spark, tmpdir_path):
     assert sorted(r["doc_id"] for r in decontaminate.clean(docs, bench).collect() if r["doc_id"]) == [1, 5, 6, 7]
 
 
+def test_names_at_sentence_starts_and_repeated_numbers(spark, tmpdir_path):
+    short = "Tom has 12 apples. Anna has 5 pears. How many do they have?"
+    twice = "he bought 2 apples and 2 pears at the market and carried them home in a large bag"
+    start = "What is the total weight of 3 red apples and 4 green pears in the bag"
+    bench = spark.createDataFrame([(1, short), (2, twice), (3, start)], "item_id long, text string")
+    rows = [(1, "intro. Bob has 7 apples. Eve has 9 pears. How many do they have? bye"), (2, "so " + twice.replace("2 apples", "3 apples").replace("2 pears", "5 pears")),
+            (3, "Question: " + start.replace("3", "8")), (4, "Bob has 7 apples. How has 9 pears. How many do they have?"),  # one name for two
+            (5, "Bob had 7 apples. Eve had 9 pears. How many do they have?"), (6, "so, " + short.lower())]
+    docs = brute.stored(spark, rows, f"{tmpdir_path}/d")
+    found = {(r["doc_id"], r["item_id"], r["same_values"]) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert found == {(1, 1, False), (2, 2, False), (3, 3, False), (6, 1, True)}
+
+
 def test_shuffled_join_gives_the_same(spark, tmpdir_path, monkeypatch):
     docs = brute.stored(spark, [(1, "so, " + ITEM), (2, "clean")], f"{tmpdir_path}/d")
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
