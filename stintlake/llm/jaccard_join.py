@@ -240,6 +240,14 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     texts that links and equal sets connect it with; its own where there are
     none), n_links (texts with another set that are similar), n_copies (rows
     with the same set, itself included). Null ids count as the largest."""
+    return _classed(docs, doc_id, text).select(
+        "doc_id", F.coalesce("class_id", "first_id", "doc_id").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+
+
+def _classed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows with their text's hash (h), set (node), and class (comp, null
+    where a set is alone)."""
     d = pick(docs, doc_id=doc_id, text=text).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("h"))
     rows = stored(d.mapInPandas(tidy(_sketch), "doc_id bigint, h bigint, node binary, keys array<bigint>, sig binary"), "jaccard-sketch")
     known = rows.filter("node is not null")
@@ -259,16 +267,25 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     classes = components(links.select(F.col("node").alias("a"), F.col("to").alias("b")), "jaccard-classes").join(nodes.select("node", "first_id"), "node")
     class_ids = classes.groupBy("comp").agg(F.min("first_id").alias("class_id"))
     by_node = (nodes.select("node", "first_id", "n_copies").join(counts, "node", "left")
-               .join(classes.select("node", "comp").join(class_ids, "comp").select("node", "class_id"), "node", "left"))
-    return rows.select("doc_id", "node").join(by_node, "node", "left").select(
-        "doc_id", F.coalesce("class_id", "first_id", "doc_id").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"))
+               .join(classes.select("node", "comp").join(class_ids, "comp").select("node", "comp", "class_id"), "node", "left"))
+    return rows.select("doc_id", "h", "node").join(by_node, "node", "left")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs``, one of each class: that with the smallest id (of
-    rows that share it, any one). Rows without a word all stay."""
-    found = join(docs, doc_id, text)
-    out = found.filter(~F.col("doc_id").eqNullSafe(F.col("class_id")) | F.col("doc_id").isNull())
-    gone = stored(out.select(F.col("doc_id").alias("gone_id")).distinct(), "jaccard-gone")
-    return docs.join(gone, docs[doc_id].eqNullSafe(gone["gone_id"]), "left_anti")
+    texts that share it, that with the smallest hash; of rows that repeat both,
+    any one; null ids count as the largest). Rows without a word all stay."""
+    found = _classed(docs, doc_id, text).filter("node is not null")
+    pairs = stored(found.groupBy("doc_id", "h", F.coalesce("comp", "node").alias("class")).agg(F.count(F.lit(1)).alias("n")), "jaccard-members")
+    one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "h", "n")).alias("one")
+    chosen = stored(pairs.groupBy("class").agg(one).select(F.col("one.doc_id").alias("one_id"), F.col("one.h").alias("one_h"), "one.n"), "jaccard-chosen")
+    gone = pairs.join(chosen, (F.col("h") == F.col("one_h")) & F.col("doc_id").eqNullSafe(F.col("one_id")), "left_anti")
+    gone = stored(gone.select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h")), "jaccard-gone")
+    again = chosen.filter("n > 1").select(F.col("one_id").alias("gone_id"), F.col("one_h").alias("gone_h"))
+
+    def rows_of(keys: DataFrame, how: str) -> DataFrame:
+        return docs.join(keys, docs[doc_id].eqNullSafe(keys["gone_id"]) & (F.xxhash64(docs[text]) == keys["gone_h"]), how)
+
+    if again.isEmpty():
+        return rows_of(gone, "left_anti")
+    return rows_of(gone.unionByName(again), "left_anti").unionByName(rows_of(again, "left_semi").dropDuplicates([doc_id, text]))

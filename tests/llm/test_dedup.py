@@ -73,6 +73,19 @@ def test_jaccard_join(spark, tmpdir_path, monkeypatch):
     assert {r["doc_id"] for r in kept if r["doc_id"] is not None} == {i for i, c in by_class if i is not None and i == c}
 
 
+def test_keep_one_counts_rows(spark, tmpdir_path):
+    from collections import Counter
+
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(None, c), (None, None), (None, ""), (None, d), (None, d + " end"),  # null ids: a clean text, no words, a class
+            (5, a), (7, a + " end"), (7, "clean text with a shared id"),  # shared id, one a near copy
+            (8, b), (8, b), (9, b), (9, ""), (9, "")]
+    kept = Counter(map(tuple, jaccard_join.keep_one(brute.stored(spark, rows, f"{tmpdir_path}/d")).select("doc_id", "text").collect()))
+    alone = [(None, c), (None, None), (None, ""), (5, a), (7, "clean text with a shared id"), (8, b), (9, ""), (9, "")]
+    left = kept - Counter(alone)
+    assert kept - left == Counter(alone) and list(left.values()) == [1] and set(left) < {(None, d), (None, d + " end")}
+
+
 def test_pruning_bounds_hold():
     need = jaccard_join.least_matches()
     assert need == sorted(need) and need[-1] < 0.8 * jaccard_join.VALUES
