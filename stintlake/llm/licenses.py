@@ -82,6 +82,42 @@ TEXTS = {
                   "the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity "
                   "of all present and future rights to this software under copyright law.",
                   _WARRANTY.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS")],
+    "BSL-1.0": ["Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+                "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and "
+                "transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software "
+                "is furnished to do so, all subject to the following:",
+                "The copyright notices in the Software and this entire statement, including the above license grant, this restriction and "
+                "the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of "
+                "the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by "
+                "a source language processor.",
+                "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+                "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT "
+                "HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR "
+                "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."],
+}
+
+_APACHE = ("under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
+           "You may obtain a copy of the License at")
+_GNU = "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {} License"
+_FSF = " as published by the Free Software Foundation"
+
+# Standard headers of files, by the paragraph or line that names the licence.
+HEADERS = {
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0 (the \"License\");", "Licensed " + _APACHE,
+                   "Licensed " + _APACHE + " http://www.apache.org/licenses/LICENSE-2.0",
+                   "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file "
+                   "distributed with this work for additional information regarding copyright ownership. The ASF licenses this file to You " + _APACHE],
+    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+                "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+                "with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at "
+                "http://www.boost.org/LICENSE_1_0.txt)"],
+    **{f"{short}-{v}": [_GNU.format(what, long) + end for what in ("program", "library", "file", "software")
+                        for end in (f"{_FSF}, either version {v.removesuffix('.0')} of the License, or (at your option) any later version.",
+                                    f"{_FSF}, version {v.removesuffix('.0')} of the License.", f" version {v.removesuffix('.0')}{_FSF}.")]
+       for short, long, v in (("GPL", "General Public", "2.0"), ("GPL", "General Public", "3.0"), ("LGPL", "Library General Public", "2.0"),
+                              ("LGPL", "Lesser General Public", "2.1"), ("LGPL", "Lesser General Public", "3.0"),
+                              ("AGPL", "Affero General Public", "3.0"))},
 }
 
 # Names by which notices call licences.
@@ -105,6 +141,7 @@ def known_units() -> list[tuple[str, int, int, str]]:
     rows = [(k, i, len(parts), p) for k, parts in TEXTS.items() for i, p in enumerate(parts)]
     rows += [(k, -1, 1, notice.format(article + name)) for k, names in NAMES.items() for name in names for notice in NOTICES for article in ("", "the ")]
     rows += [(k, -2, 1, "\n\n".join(parts)) for k, parts in TEXTS.items()]
+    rows += [(k, -3, 1, header) for k, headers in HEADERS.items() for header in headers]
     return rows
 
 

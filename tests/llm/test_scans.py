@@ -27,6 +27,15 @@ def test_license_texts(spark, tmpdir_path):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_license_headers(spark, tmpdir_path):
+    rows = [(1, '# Copyright 2020 X\n#\n# Licensed under the Apache License, Version 2.0 (the "License");\n# you may not use this file except\ncode'),
+            (2, "/* This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as\n"
+                " * published by the Free Software Foundation, either version 3 of the\n * License, or (at your option) any later version.\n *\n * more */"),
+            (3, "\n\n".join(licenses.TEXTS["BSL-1.0"])), (4, "This program is free software: you can redistribute it")]
+    found = licenses.scan(brute.stored(spark, rows, f"{tmpdir_path}/d")).collect()
+    assert sorted((r["doc_id"], r["license_id"]) for r in found) == [(1, "Apache-2.0"), (2, "GPL-3.0"), (3, "BSL-1.0")]
+
+
 def test_decontaminate_finds_every_passage(spark):
     docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     found = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()}
