@@ -22,114 +22,119 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def _block(order: str, block: int) -> Column:
-    return F.floor(F.col(order) / F.lit(block)).cast("bigint")
+def scan_levels(span: int | None, block: int) -> int:
+    """Levels of block carries that leave at most ``block`` rows of a part in
+    any one window, if the order column spans ``span`` values."""
+    n, left = 0, span or 0
+    while left > block:
+        left, n = -(-left // block), n + 1
+    return n
 
 
-def running_sum(df: DataFrame, part, order, values: dict[str, Column | str],
-                block: int | None = None) -> DataFrame:
-    """Add ``ROWS UNBOUNDED PRECEDING .. CURRENT ROW`` sums of ``values`` per
-    ``part`` ordered by ``order`` (unique within a part).
+def _last(c):
+    return F.last(c, ignorenulls=True)
+
+
+def _total(kind: str, c: str, order: str) -> Column:
+    """What a block hands on to the blocks after it."""
+    if kind == "last":
+        return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order)))
+    return {"sum": F.sum, "xor": F.bit_xor}[kind](c)
 
-    With ``block`` (order must then be one integer column) the sums are
-    built as in-block running sums plus the total of all earlier blocks.
+
+def _fold(kind: str, before: Column, own: Column) -> Column:
+    if kind == "last":
+        return F.coalesce(own, before)
+    zero = F.lit(0)
+    before, own = F.coalesce(before, zero), F.coalesce(own, zero)
+    return before + own if kind == "sum" else before.bitwiseXOR(own)
+
+
+def prefix_scan(df: DataFrame, part, order, values: dict[str, Column | str], kind: str = "sum",
+                inclusive: bool = True, block: int | None = None, levels: int = 1) -> DataFrame:
+    """Add a running ``kind`` ("sum", "xor" of bits, or "last" non-null value)
+    of ``values`` per ``part`` in ``order``, up to each row or to the one before.
+
+    With ``block`` (order must then be one integer column) a window holds the
+    rows of one block of the order column only. The blocks' totals are scanned
+    in the same way, block by block of blocks, ``levels`` times; the last
+    level is one window a part. With ``scan_levels`` that window holds at most
+    ``block`` rows, so no task grows with a part. ``levels`` 0 is the plain
+    window.
     """
     part, order = _cols(part), _cols(order)
     vals = {k: (F.col(v) if isinstance(v, str) else v) for k, v in values.items()}
-    if block is None:
-        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(_UNB, 0)
-        return df.select("*", *[F.sum(v).over(w).alias(k) for k, v in vals.items()])
-    base = df.select("*", *[v.alias(f"__v_{k}") for k, v in vals.items()],
-                     _block(order[0], block).alias("__blk"))
-    w_in = Window.partitionBy(*part, "__blk").orderBy(*order).rowsBetween(_UNB, 0)
-    within = base.select("*", *[F.sum(f"__v_{k}").over(w_in).alias(f"__in_{k}") for k in vals])
-    # block totals from the windowed rows: already partitioned by
-    # (part, block), so this aggregate adds no shuffle of the big side
-    totals = within.groupBy(*part, "__blk").agg(*[F.max_by(f"__in_{k}", order[0]).alias(f"__bt_{k}")
-                                                  for k in vals])
-    w_blk = Window.partitionBy(*part).orderBy("__blk").rowsBetween(_UNB, -1)
-    offsets = totals.select(*part, "__blk", *[
-        F.coalesce(F.sum(f"__bt_{k}").over(w_blk), F.lit(0)).alias(f"__off_{k}") for k in vals])
-    out = within.join(offsets, [*part, "__blk"], "inner")
-    return out.select(*df.columns, *[(F.col(f"__in_{k}") + F.col(f"__off_{k}")).alias(k) for k in vals])
+    fn = {"sum": F.sum, "xor": F.bit_xor, "last": _last}[kind]
+    frame = 0 if inclusive else -1
+    if not block or levels < 1:
+        w = Window.partitionBy(*part).orderBy(*order).rowsBetween(_UNB, frame)
+        return df.select("*", *[fn(v).over(w).alias(k) for k, v in vals.items()])
+    o, blk = order[0], f"__blk{levels}"  # names by level: a level's input holds those of the one below
+    base = df.select("*", *[v.alias(f"__v_{k}") for k, v in vals.items()], _block(o, block).alias(blk))
+    w_in = Window.partitionBy(*part, blk).orderBy(*order).rowsBetween(_UNB, frame)
+    within = base.select("*", *[fn(f"__v_{k}").over(w_in).alias(f"__in_{k}") for k in vals])
+    # totals from the windowed rows: they are dealt by (part, block) already,
+    # so the aggregate adds no shuffle of the big side
+    totals = within.groupBy(*part, blk).agg(*[_total(kind, f"__v_{k}", o).alias(f"__t_{k}") for k in vals])
+    carried = prefix_scan(totals, part, blk, {f"__off_{k}": f"__t_{k}" for k in vals}, kind, False, block, levels - 1)
+    keys = [*part, blk]
+    carried = carried.select(*[F.col(c).alias(f"__key_{c}") for c in keys], *[f"__off_{k}" for k in vals])
+    out = within.join(carried, [F.col(c).eqNullSafe(F.col(f"__key_{c}")) for c in keys], "inner")
+    return out.select(*df.columns, *[_fold(kind, F.col(f"__off_{k}"), F.col(f"__in_{k}")).alias(k) for k in vals])
+
+
+def _block(order: str, block: int) -> Column:
+    return F.floor(F.col(order) / F.lit(block)).cast("bigint")
+
+
+def running_sum(df: DataFrame, part, order, values: dict[str, Column | str],
+                block: int | None = None, levels: int = 1) -> DataFrame:
+    """Add ``ROWS UNBOUNDED PRECEDING .. CURRENT ROW`` sums of ``values`` per
+    ``part`` ordered by ``order`` (unique within a part); see ``prefix_scan``
+    for ``block`` and ``levels``."""
+    return prefix_scan(df, part, order, values, "sum", True, block, levels)
 
 
 def with_lag(df: DataFrame, part, order, value: str, out: str = "prev",
-             block: int | None = None) -> DataFrame:
+             block: int | None = None, levels: int = 1) -> DataFrame:
     """``LAG(value) OVER (PARTITION BY part ORDER BY order)`` as column ``out``."""
-    part, order = _cols(part), _cols(order)
-    if block is None:
-        w = Window.partitionBy(*part).orderBy(*order)
+    if not block or levels < 1:
+        w = Window.partitionBy(*_cols(part)).orderBy(*_cols(order))
         return df.withColumn(out, F.lag(value).over(w))
-    o = order[0]
-    base = df.withColumn("__blk", _block(o, block))
-    w_in = Window.partitionBy(*part, "__blk").orderBy(*order)
-    within = base.select("*", F.lag(value).over(w_in).alias("__lag"),
-                         F.lag(o).over(w_in).isNull().alias("__first"))
-    lasts = within.groupBy(*part, "__blk").agg(F.max_by(value, o).alias("__last"))
-    w_blk = Window.partitionBy(*part).orderBy("__blk")
-    prev_last = lasts.select(*part, "__blk", F.lag("__last").over(w_blk).alias("__prev_blk"))
-    joined = within.join(prev_last, [*part, "__blk"], "inner")
-    return joined.select(*df.columns,
-                         F.when(F.col("__first"), F.col("__prev_blk")).otherwise(F.col("__lag")).alias(out))
+    # in a struct, a null of the row before counts as its value
+    held = prefix_scan(df, part, order, {"__prev": F.struct(F.col(value).alias("v"))}, "last", False, block, levels)
+    return held.select(*df.columns, F.col("__prev.v").alias(out))
 
 
 def with_lag_delta(df: DataFrame, part, order, value: str, prev: str = "prev_points",
                    delta: str = "points_gained", fallback: bool = True,
-                   block: int | None = None) -> DataFrame:
+                   block: int | None = None, levels: int = 1) -> DataFrame:
     """Previous value and the change to it. With ``fallback`` the first row
     of a part takes its own value as the change (COALESCE form)."""
-    out = with_lag(df, part, order, value, prev, block)
+    out = with_lag(df, part, order, value, prev, block, levels)
     d = F.col(value) - F.col(prev)
     if fallback:
         d = F.coalesce(d, F.col(value))
     return out.withColumn(delta, d)
 
 
-def ffill(df: DataFrame, part, order, cols: Sequence[str], block: int | None = None) -> DataFrame:
-    """Forward fill: last non-null value at or before each row.
+def ffill(df: DataFrame, part, order, cols: Sequence[str], block: int | None = None, levels: int = 1) -> DataFrame:
+    """Forward fill: last non-null value at or before each row; see
+    ``prefix_scan`` for ``block`` and ``levels``."""
+    filled = prefix_scan(df, part, order, {f"__f_{c}": c for c in cols}, "last", True, block, levels)
+    return filled.select(*[F.col(f"__f_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])
 
-    With ``block`` (one integer order column) each block fills within
-    itself and takes the carry-in from the last non-null value of the
-    nearest earlier block that has one (a window over the small per-block
-    table)."""
-    part, order = _cols(part), _cols(order)
-    if block is None:
-        w = (Window.partitionBy(*part) if part else Window.partitionBy()).orderBy(*order) \
-            .rowsBetween(_UNB, 0)
-        return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
-                           for c in df.columns])
-    o = order[0]
-    base = df.withColumn("__blk", _block(o, block))
-    w_in = Window.partitionBy(*part, "__blk").orderBy(*order).rowsBetween(_UNB, 0)
-    within = base.select("*", *[F.last(c, ignorenulls=True).over(w_in).alias(f"__in_{c}") for c in cols])
-    lasts = within.groupBy(*part, "__blk").agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(o))).alias(f"__last_{c}") for c in cols])
-    w_blk = (Window.partitionBy(*part) if part else Window.partitionBy()).orderBy("__blk").rowsBetween(_UNB, -1)
-    carry = lasts.select(*part, "__blk", *[F.last(f"__last_{c}", ignorenulls=True).over(w_blk).alias(f"__carry_{c}")
-                                          for c in cols])
-    out = within.join(carry, [*part, "__blk"], "inner")
-    return out.select(*[F.coalesce(F.col(f"__in_{c}"), F.col(f"__carry_{c}")).alias(c) if c in cols
-                        else F.col(c) for c in df.columns])
-
-
-def segments(df: DataFrame, part, order, value: str, out: str = "segment", block: int | None = None) -> DataFrame:
+
+def segments(df: DataFrame, part, order, value: str, out: str = "segment", block: int | None = None,
+             levels: int = 1) -> DataFrame:
     """Segment id that increases whenever the sign of ``value`` flips
     against the previous row (lead changes): a lag of the sign and a
-    running sum of the flips, both block-split when ``block`` is given."""
-    part, order = _cols(part), _cols(order)
+    running sum of the flips; see ``prefix_scan`` for ``block`` and ``levels``."""
     tmp = df.withColumn("__sign", F.signum(F.col(value)))
-    if part:
-        tmp = with_lag(tmp, part, order, "__sign", "__prev_sign", block)
-    else:
-        tmp = tmp.withColumn("__prev_sign", F.lag("__sign").over(Window.partitionBy().orderBy(*order)))
+    tmp = with_lag(tmp, part, order, "__sign", "__prev_sign", block, levels)
     changed = F.when(F.col("__prev_sign").isNull() | (F.col("__prev_sign") == F.col("__sign")), 0).otherwise(1)
     tmp = tmp.withColumn("__chg", changed)
-    if part:
-        res = running_sum(tmp, part, order, {out: "__chg"}, block)
-    else:
-        res = tmp.withColumn(out, F.sum("__chg").over(Window.partitionBy().orderBy(*order).rowsBetween(_UNB, 0)))
-    return res.drop("__sign", "__prev_sign", "__chg")
+    return running_sum(tmp, part, order, {out: "__chg"}, block, levels).drop("__sign", "__prev_sign", "__chg")
 
 
 def _with_part(df: DataFrame, part, *aggs: Column) -> DataFrame:
