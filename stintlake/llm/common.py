@@ -91,3 +91,13 @@ def blocks(frames: Iterator, limit: int, key: str = "text") -> Iterator:
             size += int(cum[-1] - base)
     if have:
         yield pd.concat(have, ignore_index=True)
+
+
+#: DuckDB has no CRC-32: ``crc_table`` (one row, list ``crcs``) and ``crc32_sql`` state it.
+CRC32_SQL = """crc_table AS (SELECT list(v ORDER BY i) AS crcs FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+               lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) AS r(i)))"""
+
+
+def crc32_sql(of: str) -> str:
+    """CRC-32 of a list of bytes (BIGINT), beside a join with ``crc_table``."""
+    return f"xor(list_reduce(list_prepend(4294967295, {of}), lambda a, b: xor(a >> 8, crcs[(xor(a, b) & 255) + 1])), 4294967295)"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard_join, langid, licenses, multiset_hash, quality, substring_dedup, suffix_dedup, token_files
+from . import bpe, decontaminate, jaccard_join, langid, licenses, multiset_hash, prefix_trie, quality, substring_dedup, suffix_dedup, token_files
 from .common import table
 
 
@@ -65,6 +65,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations, with totals over subtrees."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_licenses": op2_licenses,
@@ -76,7 +81,12 @@ QUERIES = {
     "op8_jaccard": op8_jaccard,
     "op9_fingerprints": op9_fingerprints,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 #: DuckDB twins; the other queries are tested against brute force in tests/llm.
-SQL: dict[str, str] = {"op2_licenses": licenses.oracle_sql(), "op10_substring_dedup": substring_dedup.oracle_sql()}
+SQL: dict[str, str] = {
+    "op2_licenses": licenses.oracle_sql(),
+    "op10_substring_dedup": substring_dedup.oracle_sql(),
+    "op11_prefix_trie": prefix_trie.oracle_sql(),
+}
