@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard_join, langid, licenses, multiset_hash, prefix_trie, quality, substring_dedup, suffix_dedup, token_files
+from . import bpe, decontaminate, jaccard_join, langid, licenses, multiset_hash, prefix_trie, quality, spelling, substring_dedup, suffix_dedup, token_files
 from .common import table
 
 
@@ -70,6 +70,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, the words one edit away, and the form they are variants of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_licenses": op2_licenses,
@@ -82,6 +87,7 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_prefix_trie": op11_prefix_trie,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 #: DuckDB twins; the other queries are tested against brute force in tests/llm.
@@ -89,4 +95,5 @@ SQL: dict[str, str] = {
     "op2_licenses": licenses.oracle_sql(),
     "op10_substring_dedup": substring_dedup.oracle_sql(),
     "op11_prefix_trie": prefix_trie.oracle_sql(),
+    "op13_spelling_variants": spelling.oracle_sql(),
 }
