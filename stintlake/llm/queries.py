@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard_join, langid, licenses, multiset_hash, prefix_trie, quality, spelling, substring_dedup, suffix_dedup, token_files
+from . import bpe, decontaminate, jaccard_join, langid, licenses, multiset_hash, prefix_trie, quality, spelling, substring_dedup, suffix_dedup, token_files, toxicity
 from .common import table
 
 
@@ -70,6 +70,11 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity probability of every document, learned from its labelled part."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents, the words one edit away, and the form they are variants of."""
     return spelling.variants(table(spark, sf_dir, "documents"))
@@ -87,6 +92,7 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_toxicity": op12_toxicity,
     "op13_spelling_variants": op13_spelling_variants,
 }
 

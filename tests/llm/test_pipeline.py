@@ -46,5 +46,5 @@ def test_run_and_registration(spark):
     import __spark_entry__ as E
 
     names = E.queries()
-    assert sum(n.startswith("op") and n[2:].split("_")[0].isdigit() for n in names) == 10 and names["pipeline"] is P.run
+    assert sum(n.startswith("op") and n[2:].split("_")[0].isdigit() for n in names) == 13 and names["pipeline"] is P.run
     assert P.run(spark, brute.SF).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
