@@ -36,7 +36,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that no repeated string of 400 bytes covers."""
-    return suffix_dedup.dedup_digests(table(spark, sf_dir, "documents"))
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

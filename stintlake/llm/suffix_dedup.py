@@ -303,7 +303,7 @@ def _send_windows(shift: int):
     return run
 
 
-def _cut(shift: int, full: bool):
+def _cut(shift: int):
     def run(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         out = []
         for key, packed in zip(docs["key"], docs["packed"], strict=True):
@@ -328,15 +328,18 @@ def _cut(shift: int, full: bool):
             spans = np.concatenate([[0], np.cumsum(begins)])
             for doc_id, a, n in zip(ids, s.starts, s.lens, strict=True):
                 kept = s.b[a:a + n][keep[a:a + n]].tobytes()
-                out.append((doc_id, n, n - len(kept), spans[a + n] - spans[a],
-                            kept.decode("utf-8", "replace") if full else hashlib.sha256(kept).hexdigest()))
+                out.append((doc_id, n, n - len(kept), spans[a + n] - spans[a], hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
         release()
-        return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).astype({"doc_id": "Int64"})
+        return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]).astype({"doc_id": "Int64"})
 
     return run
 
 
-def _remove(docs: DataFrame, doc_id: str, text: str, full: bool) -> DataFrame:
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs),
+    kept_sha256 (of the bytes left) and text, the bytes left as text (where a
+    cut parts a character, U+FFFD). ``docs`` must be a stored table, which
+    gives tasks the same rows each time they read it."""
     spark = docs.sparkSession
     d = pick(docs, doc_id=doc_id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
     chars = d.agg(F.sum(F.length("text"))).first()[0] or 0
@@ -347,17 +350,4 @@ def _remove(docs: DataFrame, doc_id: str, text: str, full: bool) -> DataFrame:
     windows = (marks.groupBy("key").cogroup(marks.groupBy("key").applyInPandas(_match_marks, bits).groupBy("block"))
                .applyInPandas(_send_windows(shift), sent))
     return (marks.groupBy("key").cogroup(windows.groupBy("key").applyInPandas(_match, bits).groupBy("block"))
-            .applyInPandas(_cut(shift, full), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept string"))
-
-
-def dedup_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs),
-    kept_sha256 (of the bytes left). ``docs`` must be a stored table, which
-    gives tasks the same rows each time they read it."""
-    return _remove(docs, doc_id, text, False).withColumnRenamed("kept", "kept_sha256")
-
-
-def dedup_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, n_spans and kept, the text of the
-    bytes left (where a cut parts a character, U+FFFD)."""
-    return _remove(docs, doc_id, text, True)
+            .applyInPandas(_cut(shift), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, text string"))
