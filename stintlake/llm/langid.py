@@ -12,7 +12,6 @@ rejected.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,15 +19,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.windows import top_k
 from .common import held_out, pick
 
-#: Buckets, clusters of a language, bound of the sample of a language, longest text taken for it.
+#: Buckets, clusters of a language, bound of the sample of a language, code points of a text that are fitted on:
+#: a stretch of a longer one, from a place that its hash gives.
 DIMS, CLUSTERS, FIT_DOCS, FIT_CHARS = 4096, 4, 400, 50_000
 #: Share of a language's own sample that its distance bound holds.
 REJECT, ROUNDS, SEED = 0.995, 8, 11
 #: Bytes of a text that are counted at once: bounds the memory for a long text.
 STRETCH = 1 << 22
-_LETTER = re.compile(r"[^\W\d_]")
+#: A letter, wherever the operator asks for one.
+_LETTER = r"\p{L}"
 #: Per byte: itself, or 0 (a word's end) for ASCII characters that aren't letters.
 _CLASS = np.array([b if b >= 128 or chr(b).isalpha() else 0 for b in range(256)], np.uint32)
 
@@ -91,16 +93,21 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     Per language, what is fitted on is bounded; the languages are fitted side
     by side."""
     known = pick(docs, doc_id=doc_id, text=text, lang=lang).filter(
-        F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out("doc_id"))
+        F.col("lang").isNotNull() & F.col("text").rlike(_LETTER) & ~held_out("doc_id"))
     df, n = document_frequencies(known.select("text"))
     if not n:
         return None
     idf = (np.log((1 + n) / (1 + df)) + 1).astype(np.float32)
-    # keep about FIT_DOCS rows a language by hash, without sorting texts; sizes has a row per language
-    sizes = known.filter(F.length("text") <= FIT_CHARS).groupBy("lang").agg(F.count(F.lit(1)).alias("n_lang"))
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 24)) / (1 << 24)
-    sample = (known.filter(F.length("text") <= FIT_CHARS).join(F.broadcast(sizes), "lang")
-              .filter(draw < FIT_DOCS / F.col("n_lang")).select("lang", "text"))
+    # about twice FIT_DOCS rows a language by hash, then exactly the first of these: rows that repeat are
+    # drawn together, and the group limit bounds them before they meet; sizes has a row per language
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n_lang"))
+    h = F.xxhash64("doc_id", "text")
+    length = F.length("text")
+    at = F.when(length > FIT_CHARS, F.pmod(h, length - FIT_CHARS + 1)).otherwise(0).cast("int")
+    drawn = (known.withColumn("h", h).join(F.broadcast(sizes), "lang")
+             .filter(F.pmod(F.xxhash64("h"), F.lit(1 << 24)) / (1 << 24) < 2 * FIT_DOCS / F.col("n_lang"))
+             .select("lang", "h", F.substring("text", at + 1, F.lit(FIT_CHARS)).alias("text")))
+    sample = top_k(drawn, "lang", [F.col("h"), F.col("text")], FIT_DOCS).select("lang", "text")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x = _vectors(pdf["text"].sort_values().tolist(), idf)
@@ -132,7 +139,7 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
         if model is not None:
             langs = np.array(model["langs"])
             kinds, of = np.unique(langs, return_inverse=True)
-            some = np.flatnonzero([t is not None and _LETTER.search(t) is not None for t in texts])
+            some = np.flatnonzero(texts.notna())
             for i in range(0, len(some), 256):
                 rows = some[i:i + 256]
                 cos = _vectors(texts.iloc[rows], model["idf"]) @ model["centroids"].T
@@ -146,4 +153,6 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
                 out.iloc[rows, 2] = top < bound[win]
         return out
 
-    return d.select("doc_id", "held_out", run("text").alias("found")).select("doc_id", "held_out", "found.*")
+    # a text without a letter goes in as null
+    asked = F.when(F.col("text").rlike(_LETTER), F.col("text"))
+    return d.select("doc_id", "held_out", run(asked).alias("found")).select("doc_id", "held_out", "found.*")

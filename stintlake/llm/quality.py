@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import held_out, pick, release, tidy
 
-#: Bound of the labelled documents that the network is fitted on; longer ones aren't taken for fitting.
+#: Bound of the labelled documents that the network is fitted on, and code points of one: of a longer
+#: text a stretch is fitted on, from a place that its hash gives.
 FIT_DOCS, FIT_CHARS = 3000, 100_000
 #: Filters, bytes that each sees, bytes of a chunk, lags of the equality channels.
 FILTERS, WIDTH, CHUNK, LAGS = 16, 6, 256, tuple(range(2, 18))
@@ -171,7 +172,10 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     known = (pick(labels, doc_id=doc_id, label=label).dropna().filter(~held_out("doc_id"))
              .groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS))
-    sample = (pick(docs, doc_id=doc_id, text=text).filter(F.length("text") <= FIT_CHARS).join(F.broadcast(known), "doc_id")
+    length = F.length("text")
+    at = F.when(length > FIT_CHARS, F.pmod(F.xxhash64("text"), length - FIT_CHARS + 1)).otherwise(0).cast("int")
+    sample = (pick(docs, doc_id=doc_id, text=text).filter("text IS NOT NULL").join(F.broadcast(known), "doc_id")
+              .withColumn("text", F.substring("text", at + 1, F.lit(FIT_CHARS)))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(FIT_DOCS))
 
     def run(frames: Iterator) -> Iterator:

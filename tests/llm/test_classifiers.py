@@ -60,3 +60,16 @@ def test_counts_do_not_depend_on_stretches(monkeypatch):
     before = langid.counts(text)
     monkeypatch.setattr(langid, "STRETCH", 37)
     assert (langid.counts(text) == before).all()
+
+
+def test_long_texts_are_learned_from(spark, tmpdir_path):
+    """Of texts over the fitted length a stretch is fitted on; marks without a letter are no language."""
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:12]
+    rows = [(i, ("le la les un une des " if k % 2 else "zyx wvu tsr qpo ") * 4000, "fr" if k % 2 else "xx") for k, i in enumerate(ids)]
+    rows += [(300, "zyx wvu tsr", None), (301, "½ ² ³", "fr"), (302, "Ⅷ Ⅸ", "fr"), (303, "les une", None)] + [rows[0]] * 500
+    docs = brute.stored(spark, rows, f"{tmpdir_path}/d", "doc_id long, text string, lang string")
+    by = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs).collect()}
+    assert (by[300], by[301], by[302], by[303]) == ("xx", "und", "und", "fr")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    long = brute.stored(spark, [(i, t * 3) for i, t, _ in rows[:12]], f"{tmpdir_path}/q")
+    assert quality.learn(long, labels) is not None
