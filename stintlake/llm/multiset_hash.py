@@ -9,7 +9,7 @@ difference) of two fingerprints, and equal multisets have equal fingerprints.
 A paragraph's vector has two parts:
 
 * ``EQUAL`` lanes modulo 2**32 hashed from the whole paragraph;
-* ``SIGNS`` lanes modulo 2**16, the sum of +1/-1 vectors hashed from its runs
+* ``SIGNS`` lanes modulo 2**40, the sum of +1/-1 vectors hashed from its runs
   of up to ``RUN`` words. The squared length of a difference of two such sums
   estimates how many runs the texts don't share, which gives ``likeness``.
 
@@ -26,7 +26,9 @@ from .common import pick, stored
 
 #: Lanes of either part, words of a run.
 EQUAL, SIGNS, RUN = 8, 128, 4
-_MOD = [1 << 32] * EQUAL + [1 << 16] * SIGNS
+#: Modulus of the signed lanes: no text has half as many runs.
+WIDE = 1 << 40
+_MOD = [1 << 32] * EQUAL + [WIDE] * SIGNS
 
 
 def _lanes() -> list[Column]:
@@ -53,7 +55,7 @@ def fingerprints(df: DataFrame, keys: list[str], text: str, name: str = "fingerp
     runs = runs.select(*keys, "para", (F.coalesce("at", F.lit(0)) == 0).alias("first"),
                        *[F.when(F.col("run").isNotNull(), F.xxhash64(F.lit(64 + i), F.rtrim("run"))).alias(f"run{i}") for i in range(SIGNS // 64)])
     sums = runs.groupBy(*keys).agg(*_lanes())
-    lanes = [F.pmod(f"e{i}", F.lit(1 << 32)) for i in range(EQUAL)] + [F.pmod(f"s{i}", F.lit(1 << 16)) for i in range(SIGNS)]
+    lanes = [F.pmod(f"e{i}", F.lit(1 << 32)) for i in range(EQUAL)] + [F.pmod(f"s{i}", F.lit(WIDE)) for i in range(SIGNS)]
     return sums.select(*keys, F.array(*lanes).alias(name))
 
 
@@ -74,15 +76,15 @@ def remove(a: Column, b: Column) -> Column:
 def to_text(a: Column) -> Column:
     """The lanes as hexadecimal digits."""
     digits = lambda part, n: F.array_join(F.transform(part, lambda x: F.lpad(F.hex(x), n, "0")), "")
-    return F.lower(F.concat(digits(F.slice(a, 1, EQUAL), 8), digits(F.slice(a, EQUAL + 1, SIGNS), 4)))
+    return F.lower(F.concat(digits(F.slice(a, 1, EQUAL), 8), digits(F.slice(a, EQUAL + 1, SIGNS), 10)))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """0 to 1: 1 for equal fingerprints, else an estimate of the share of
     runs in both, from the squared lengths of a, b and a - b."""
     def length(x: Column) -> Column:
-        signed = F.transform(F.slice(x, EQUAL + 1, SIGNS), lambda v: F.pmod(v + 32768, F.lit(1 << 16)) - 32768)
-        return F.aggregate(signed, F.lit(0).cast("double"), lambda s, v: s + v * v)
+        signed = F.transform(F.slice(x, EQUAL + 1, SIGNS), lambda v: F.pmod(v + WIDE // 2, F.lit(WIDE)) - WIDE // 2)
+        return F.aggregate(signed, F.lit(0).cast("double"), lambda s, v: s + v.cast("double") * v)
 
     both = length(a) + length(b)
     near = F.when(both > 0, 1 - length(F.zip_with(a, b, lambda x, y: x - y)) / both).otherwise(F.lit(0.0))

@@ -3,7 +3,7 @@
 import brute
 import duckdb
 
-from stintlake.llm import decontaminate, licenses
+from stintlake.llm import decontaminate, licenses, multiset_hash
 
 ITEM = "If Tom has 12 apples and gives Anna 5 of them each week, how many apples does Tom have after 3 weeks of giving?"
 
@@ -100,3 +100,11 @@ def test_shuffled_join_gives_the_same(spark, tmpdir_path, monkeypatch):
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     assert [r["doc_id"] for r in decontaminate.contaminated(docs, bench).collect()] == [1]
+
+
+def test_many_like_runs_do_not_wrap(spark):
+    """Lanes hold the sums of a text of 150,000 like runs; the likeness is that of the shared runs."""
+    rows = spark.createDataFrame([(2, "a " * 600_000), (1, "b " * 600_000)], "doc_id long, text string")
+    near = [r["near_edited"] for r in multiset_hash.with_edited(rows).collect()]
+    # of each text two thirds are left: |a - b|^2 / (|a|^2 + |b|^2) with a third exchanged
+    assert all(0.85 <= x <= 0.98 for x in near), near
