@@ -3,25 +3,36 @@
 Layout (any Hadoop-compatible file system, normally the shared folder the
 cluster names in ``spark.checkpoint.dir``)::
 
-    <root>/<table>/v<millis>-<id>/            one complete version (Parquet)
-    <root>/<table>/v<millis>-<id>.committed   marker written after the data
+    <root>/<table>/v<millis>-<id>/             one complete version (Parquet)
+    <root>/<table>/v<millis>-<id>.committed    marker written after the data
+
+    <root>/<table>/data/<col>=<value>/v=<id>/  of a table partitioned by <col>: the
+                                               files that one commit wrote
+    <root>/<table>/v<millis>-<id>.committed    marker: which of these are the version
 
 Readers take the newest committed version, so a failed or concurrent
 writer never exposes a partial table; the previous version stays on disk
-as the backup of a full refresh. Plain Parquet has no MERGE, so an upsert
-writes a new version ``(target anti-join updates) ∪ updates``; both sides
-are shuffled on the key once, which scales with the data and survives
-executor loss (the write is a normal Spark job with task retries).
+as the backup of a full refresh. A table has one writer at a time.
+
+Plain Parquet has no MERGE, so an upsert writes ``(target anti-join updates) ∪
+updates`` anew: of a partitioned table only the partitions that hold an
+updated row or get one, while the new version points to the other partitions'
+files as they are; of another table everything. A filter on the partition
+column prunes files.
 """
 
 from __future__ import annotations
 
+import json
 import time
+import urllib.parse
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from stintlake.session import cut_lineage
 
 
 class _FS:
@@ -40,6 +51,18 @@ class _FS:
         out = self._fs.create(self._Path(path), True)
         out.close()
 
+    def write_text(self, path: str, text: str) -> None:
+        out = self._fs.create(self._Path(path), True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def read_text(self, path: str) -> str:
+        stream = self._fs.open(self._Path(path))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
     def list_names(self, path: str) -> list[str]:
         p = self._Path(path)
         if not self._fs.exists(p):
@@ -74,39 +97,98 @@ class Store:
         return done
 
     def current_path(self, table: str) -> str | None:
+        """Folder of the current version (of a partitioned table: of all its versions)."""
         v = self.versions(table)
-        return f"{self.root}/{table}/{v[-1]}" if v else None
+        if not v:
+            return None
+        return f"{self.root}/{table}/data" if self._parts(table) else f"{self.root}/{table}/{v[-1]}"
 
     def exists(self, table: str) -> bool:
-        return self.current_path(table) is not None
-
-    def read(self, table: str, schema: StructType | None = None) -> DataFrame:
-        """Current version; an empty frame with ``schema`` when the table is
-        absent (a missing input is not an error)."""
-        p = self.current_path(table)
-        if p is None:
+        return bool(self.versions(table))
+
+    def _parts(self, table: str, version: str | None = None) -> dict | None:
+        """What a version of a partitioned table consists of: ``by`` (column),
+        ``schema`` and ``parts`` ({folder of a value: id of the commit that
+        wrote it}). None for a table that isn't partitioned or isn't there."""
+        vs = [version] if version else self.versions(table)[-1:]
+        text = self.fs.read_text(f"{self.root}/{table}/{vs[0]}.committed") if vs else ""
+        return json.loads(text) if text else None
+
+    def read(self, table: str, schema: StructType | None = None, version: str | None = None) -> DataFrame:
+        """Current (or the given) version; an empty frame with ``schema`` when
+        the table is absent (a missing input is not an error)."""
+        vs = self.versions(table)
+        if not vs:
             if schema is None:
                 raise FileNotFoundError(f"table {table!r} has no committed version under {self.root}")
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(p)
-
-    def _commit(self, table: str, df: DataFrame, partition_by=None) -> str:
+        held = self._parts(table, version)
+        if held is None:
+            return self.spark.read.parquet(f"{self.root}/{table}/{version or vs[-1]}")
+        return self._read_parts(table, held, list(held["parts"]))
+
+    def _read_parts(self, table: str, held: dict, folders: list[str]) -> DataFrame:
+        """The rows of some partitions. The schema comes from the marker, so no
+        file is opened to learn it, and the partition column from the folders."""
+        schema = StructType.fromJson(held["schema"])
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        base = f"{self.root}/{table}/data"
+        paths = [f"{base}/{d}/v={held['parts'][d]}" for d in folders]
+        found = self.spark.read.schema(StructType([*schema.fields, StructField("v", StringType())])).option("basePath", base).parquet(*paths)
+        return found.select(*schema.fieldNames())
+
+    def partition_files(self, table: str) -> dict[str, list[tuple[str, int, int]]]:
+        """Files (path, length, time) of each partition of the current version."""
+        held = self._parts(table) or {"parts": {}}
+        return {d: sorted(self.fs.files(f"{self.root}/{table}/data/{d}/v={v}")) for d, v in held["parts"].items()}
+
+    def _commit(self, table: str, df: DataFrame, partition_by: str | None = None, keep: dict | None = None) -> str:
+        """Write ``df`` as the next version; of a partitioned table, ``keep``
+        names the partitions ({folder: commit}) that stay as they are."""
         vid = f"v{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/{table}/{vid}"
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-        w.parquet(path)
-        self.fs.touch(f"{path}.committed")
-        return path
+        if partition_by is None:
+            df.write.mode("errorifexists").parquet(path)
+            self.fs.touch(f"{path}.committed")
+            return path
+        base = f"{self.root}/{table}/data"
+        # rows of a value meet in few tasks, a value with many rows is split (AQE)
+        (df.hint("rebalance", partition_by).withColumn("v", F.lit(vid))
+         .write.mode("append").partitionBy(partition_by, "v").parquet(base))
+        new = {d: vid for d in self.fs.list_names(base) if d.startswith(f"{partition_by}=") and self.fs.exists(f"{base}/{d}/v={vid}")}
+        fields = sorted(df.schema.fields, key=lambda f: f.name == partition_by)  # the partition column comes last
+        self.fs.write_text(f"{path}.committed", json.dumps({
+            "by": partition_by, "schema": json.loads(StructType(fields).json()), "parts": {**(keep or {}), **new}}))
+        return base
 
     # -- loads ------------------------------------------------------------
-    def write_full(self, table: str, df: DataFrame, partition_by=None) -> str:
+    def write_full(self, table: str, df: DataFrame, partition_by: str | None = None) -> str:
         """Full refresh: a new version replaces the current one; the old
         one is kept as the backup."""
         return self._commit(table, df, partition_by)
 
-    def merge_upsert(self, table: str, updates: DataFrame, keys, order_by, partition_by=None) -> str:
+    def _replace(self, table: str, rows: DataFrame, out: DataFrame, on: list[str]) -> str:
+        """The next version: target rows that match no row of ``out`` in the
+        columns ``on``, and ``rows``. Of a partitioned table, only partitions
+        that hold a matching row or get one are read whole and written."""
+        held = self._parts(table)
+        if held is None:
+            target = self.read(table)
+            return self._commit(table, target.join(out.select(*on).distinct(), on, "left_anti").unionByName(rows.select(*target.columns)))
+        by = held["by"]
+        rows, out = cut_lineage(rows, "replace"), cut_lineage(out.select(*on).distinct(), "replaced")
+        # the keys decide which partitions are touched; of the others no other column is read
+        met = self.read(table).select(by, *[c for c in on if c != by]).join(out, on, "left_semi").select(by)
+        touched = {r[0] for r in rows.select(by).union(met).distinct().collect()}  # a row per partition at most
+        value = lambda d: urllib.parse.unquote(d.split("=", 1)[1])
+        names = {"__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in touched}
+        ours = [d for d in held["parts"] if value(d) in names]
+        target = self._read_parts(table, held, ours)
+        merged = target.join(out, on, "left_anti").unionByName(rows.select(*target.columns))
+        return self._commit(table, merged, by, {d: v for d, v in held["parts"].items() if d not in ours})
+
+    def merge_upsert(self, table: str, updates: DataFrame, keys, order_by, partition_by: str | None = None) -> str:
         """Insert-or-replace by primary key. Rows of ``updates`` win; target
         rows whose key is not in ``updates`` are kept. Of several updates of
         one key the last by ``order_by`` wins (see ``last_by_key``). When the
@@ -115,10 +197,7 @@ class Store:
         updates = last_by_key(updates, keys, order_by)
         if not self.exists(table):
             return self._commit(table, updates, partition_by)
-        target = self.read(table)
-        upd = updates.select(*target.columns)
-        merged = target.join(upd.select(*keys), keys, "left_anti").unionByName(upd)
-        return self._commit(table, merged, partition_by)
+        return self._replace(table, updates, updates, keys)
 
     def insert_missing(self, table: str, rows: DataFrame, keys) -> str:
         """Seed rows, keeping existing ones when the key is already there."""
@@ -127,16 +206,14 @@ class Store:
             return self._commit(table, rows)
         target = self.read(table)
         new = rows.select(*target.columns).join(target.select(*keys), keys, "left_anti")
-        return self._commit(table, target.unionByName(new))
+        return self._replace(table, new, new, keys)
 
-    def replace_slice(self, table: str, df: DataFrame, slice_col: str, partition_by=None) -> str:
+    def replace_slice(self, table: str, df: DataFrame, slice_col: str, partition_by: str | None = None) -> str:
         """Delete every target row whose ``slice_col`` value occurs in ``df``
         and append ``df`` (the reload of a range of races / seasons)."""
         if not self.exists(table):
             return self._commit(table, df, partition_by)
-        target = self.read(table)
-        keep = target.join(df.select(slice_col).distinct(), slice_col, "left_anti")
-        return self._commit(table, keep.unionByName(df.select(*target.columns)), partition_by)
+        return self._replace(table, df, df, [slice_col])
 
     def append_rows(self, table: str, df: DataFrame) -> str:
         """Append (ledger tables): new files beside those of the current
@@ -145,6 +222,8 @@ class Store:
         path = self.current_path(table)
         if path is None:
             return self._commit(table, df)
+        if self._parts(table):
+            raise ValueError(f"table {table!r} is partitioned; ledgers aren't")
         have = set(df.columns)
         df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
                     for f in self.spark.read.parquet(path).schema.fields]).write.mode("append").parquet(path)
@@ -152,11 +231,17 @@ class Store:
 
     def vacuum(self, table: str, keep: int = 2) -> None:
         """Drop all but the newest ``keep`` committed versions (marker first,
-        so a reader never picks a half-deleted version)."""
+        so a reader never picks a half-deleted version); files that a kept
+        version points to stay."""
         vs = self.versions(table)
-        for v in (vs[:-keep] if keep > 0 else vs):
+        gone, left = (vs[:-keep], vs[-keep:]) if keep > 0 else (vs, [])
+        held = lambda many: {(d, v) for x in many for d, v in (self._parts(table, x) or {"parts": {}})["parts"].items()}
+        files = held(gone) - held(left)
+        for v in gone:
             self.fs.delete(f"{self.root}/{table}/{v}.committed")
             self.fs.delete(f"{self.root}/{table}/{v}")
+        for d, v in files:
+            self.fs.delete(f"{self.root}/{table}/data/{d}/v={v}")
 
     def input_signature(self, paths: list[str]) -> str:
         """Fingerprint of every data file under the input paths (name, length
