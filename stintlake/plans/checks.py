@@ -6,20 +6,23 @@ from pyspark.sql import DataFrame
 
 from stintlake.operators import quality as QC
 from stintlake.plans import marts as D
+from stintlake.sources.binding import season_span
 from stintlake.schemas import SCHEMAS
 
-# Season range the checks expect (a parameter of the gate).
-START_YEAR, END_YEAR = 1996, 2002
+def _range(t, start_year: int | None, end_year: int | None) -> tuple[int, int]:
+    """The seasons that are expected: those given, else from the first to the last of the races."""
+    first, last = season_span(t)
+    return first if start_year is None else start_year, last if end_year is None else end_year
 
 
-def quality_checks(t, start_year: int = START_YEAR, end_year: int = END_YEAR) -> DataFrame:
+def quality_checks(t, start_year: int | None = None, end_year: int | None = None) -> DataFrame:
     """Q1–Q9: every integrity check with its measured value and a failed flag."""
-    return QC.quality_checks(t, start_year, end_year)
+    return QC.quality_checks(t, *_range(t, start_year, end_year))
 
 
-def quality_report(t, start_year: int = START_YEAR, end_year: int = END_YEAR) -> DataFrame:
+def quality_report(t, start_year: int | None = None, end_year: int | None = None) -> DataFrame:
     """The quality gate: failing checks only (empty = pass)."""
-    return QC.run_checks(t, start_year, end_year)
+    return QC.run_checks(t, *_range(t, start_year, end_year))
 
 
 def contract_issues(t) -> DataFrame:

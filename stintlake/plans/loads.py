@@ -1,9 +1,10 @@
 """Registered load / ledger / streaming entries over the star tables.
 
-Inputs are split out of the bound tables (seasons up to 1998 as the first
-load, seasons from 1998 as updates with a changed status), then the real
-load path runs on them: store versions, keyed merge, slice replace, the
-resume ledger, completeness, run log, and the streaming upsert.
+Inputs are split out of the bound tables (seasons up to the middle one as the
+first load, seasons from the middle one as updates with a changed status), then
+the real load path runs on them: tables partitioned by year, keyed merge and
+slice replace of the touched years, the resume ledger, completeness, run log,
+and the streaming upsert.
 """
 
 from __future__ import annotations
@@ -12,14 +13,15 @@ import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from stintlake.operators import ledger as LG
 from stintlake.schemas import PRIMARY_KEYS, SCHEMAS
 from stintlake.session import shared_dir
+from stintlake.sources.binding import season_span
 from stintlake.sources.store import Store
 from stintlake.streaming.ingest import stream_upsert as _stream_upsert
 
-SPLIT_YEAR = 1998
 RESULT_KEYS = PRIMARY_KEYS["results"]
 
 
@@ -29,33 +31,27 @@ def _fresh_store(t, name: str) -> Store:
     return Store(spark, shared_dir(spark, f"loads/{name}-{uuid.uuid4().hex[:12]}"))
 
 
-def _span(t) -> tuple[int, int]:
-    """First and last season of the races (0, 0 without any)."""
-    first, last = t.races.agg(F.min("year"), F.max("year")).first()
-    return first or 0, last or 0
-
-
-def _years(t) -> DataFrame:
-    return t.results.join(t.races.select("race_id", "year"), "race_id", "inner")
+def _split_year(t) -> int:
+    first, last = season_span(t)
+    return (first + last) // 2
 
 
 def _first_load(t) -> DataFrame:
-    return _years(t).filter(F.col("year") <= SPLIT_YEAR).select(*t.results.columns)
+    return t.yearly("results").filter(F.col("year") <= _split_year(t))
 
 
 def _updates(t) -> DataFrame:
-    return (_years(t).filter(F.col("year") >= SPLIT_YEAR)
-            .withColumn("status", F.concat(F.col("status"), F.lit(" (rev)")))
-            .select(*t.results.columns))
+    return t.yearly("results").filter(F.col("year") >= _split_year(t)).withColumn("status", F.concat(F.col("status"), F.lit(" (rev)")))
 
 
 def upsert_results(t) -> DataFrame:
     """S20 + S22: full load of the early seasons, then a keyed upsert of the
-    later ones (overlapping season: updated rows replace old ones)."""
+    later ones (overlapping season: updated rows replace old ones). Files of
+    the seasons before stay as they are."""
     st = _fresh_store(t, "upsert")
-    st.write_full("results", _first_load(t))
+    st.write_full("results", _first_load(t), "year")
     st.merge_upsert("results", _updates(t), RESULT_KEYS, "status")
-    return st.read("results")
+    return st.read("results").select(*t.results.columns)
 
 
 def stream_upsert(t) -> DataFrame:
@@ -66,23 +62,23 @@ def stream_upsert(t) -> DataFrame:
     run = f"{st.root}/_run-{uuid.uuid4().hex[:10]}"
     src, ckpt = run + "/landing", run + "/checkpoint"
     _first_load(t).write.parquet(src + "/b1")
-    _stream_upsert(spark, src + "/*", SCHEMAS["results"], st, "results", RESULT_KEYS, ckpt, "status")
+    schema = StructType([*SCHEMAS["results"].fields, StructField("year", IntegerType())])
+    _stream_upsert(spark, src + "/*", schema, st, "results", RESULT_KEYS, ckpt, "status", partition_by="year")
     _updates(t).write.parquet(src + "/b2")
-    _stream_upsert(spark, src + "/*", SCHEMAS["results"], st, "results", RESULT_KEYS, ckpt, "status")
+    _stream_upsert(spark, src + "/*", schema, st, "results", RESULT_KEYS, ckpt, "status", partition_by="year")
     st.fs.delete(run)  # batches consumed; the merged table is committed in the store
-    return st.read("results")
+    return st.read("results").select(*t.results.columns)
 
 
 def slice_replace_laps(t) -> DataFrame:
     """Reload the laps of the latest season: every lap of those races
     is replaced by the reloaded rows (here with track status '2')."""
     st = _fresh_store(t, "slice")
-    st.write_full("laps", t.laps)
-    last = t.races.agg(F.max("year")).scalar()
-    reload = (t.laps.join(t.races.filter(F.col("year") == last).select("race_id"), "race_id", "left_semi")
-              .withColumn("track_status", F.lit("2")))
+    laps = t.yearly("laps")
+    st.write_full("laps", laps, "year")
+    reload = laps.filter(F.col("year") == t.races.agg(F.max("year")).scalar()).withColumn("track_status", F.lit("2"))
     st.replace_slice("laps", reload, "race_id")
-    return st.read("laps")
+    return st.read("laps").select(*t.laps.columns)
 
 
 def ledger_pending(t) -> DataFrame:
@@ -94,13 +90,13 @@ def ledger_pending(t) -> DataFrame:
         .select(F.lit("results").alias("dataset"), "year", "round", F.lit("done").alias("state"))
     skipped = t.races.join(t.results.select("race_id").distinct(), "race_id", "left_anti") \
         .select(F.lit("results").alias("dataset"), "year", "round", F.lit("skipped").alias("state"))
-    ledger = LG.normalise_ledger(done.unionByName(skipped), *_span(t))
+    ledger = LG.normalise_ledger(done.unionByName(skipped), *season_span(t))
     return LG.ledger_pending(work, ledger)
 
 
 def completeness_results(t, min_rows_per_race: int = 5) -> DataFrame:
     """Per season, races, result rows, short races, complete flag."""
-    return LG.completeness(t.results, t.races, min_rows_per_race, *_span(t))
+    return LG.completeness(t.results, t.races, min_rows_per_race, *season_span(t))
 
 
 def team_slice_sizes(t) -> DataFrame:

@@ -224,7 +224,8 @@ def stints(t, refs=None, cid=None, year: int | None = None) -> DataFrame:
     Plan: distinct (race, driver) keys of the laps (partially aggregated
     before the shuffle) find each team's latest race; that per-team table
     (bounded by the number of teams) is stored and broadcast to pick the laps of
-    those races, so the lap table itself is scanned once and not shuffled.
+    those races. So the laps are read twice, first their keys and then the
+    picked races' rows, and not shuffled whole.
     """
     res = _team_results(t, refs, cid).select("race_id", "driver_id", TEAM, "position_order")
     races = t.races.select("race_id", "year", "round", "race_name")

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from stintlake.functions.columns import (avg_finish, count_where, finished, is_dnf, pct,
                                          period_label, round_half_up)
 from stintlake.operators.joins import star, team_by_refs, team_filter, with_driver_name
-from stintlake.operators.windows import share_of_total, top_k, with_lag_delta
+from stintlake.operators.windows import scan_levels, share_of_total, top_k, with_lag_delta
 
 TEAM = "constructor_id"
 
-# Seasons per block when a team's standings history is split across tasks.
+# Rounds per block when a team's standings of a season are split across tasks.
 PROGRESSION_BLOCK = 64
 
 
@@ -184,7 +184,7 @@ def championship_progression(t, cid=None, fallback: bool = True, season_col: str
         F.col("wins").alias("wins_accumulated"))
     out = with_lag_delta(df, [TEAM, season_col], "round", "points_accumulated",
                          prev="prev_points", delta="points_gained", fallback=fallback,
-                         block=PROGRESSION_BLOCK)
+                         block=PROGRESSION_BLOCK, levels=scan_levels(t.last_round + 1, PROGRESSION_BLOCK))
     return out.orderBy(TEAM, F.col(season_col).desc(), "round")
 
 

@@ -2,8 +2,9 @@
 
 Only the data is built here (the drawing is out of scope). Every series is
 per team: ``cid`` selects teams, None keeps all with ``constructor_id`` as
-a key. Windows over a team's whole season (K5) are split by round blocks
-(see ``operators.windows``) so a long season of one team is not one task;
+a key. Windows over a team's whole season (K5) are nested scans over round
+blocks (see ``operators.windows``) so a long season of one team is not one
+task, and drivers are ranked within a team by ranges (``operators.ranges``);
 windows over one driver's season stay plain (bounded by its rounds).
 """
 
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from stintlake.functions.columns import (clip, position_label, round_half_up, round_label,
                                          significance_label, sign_bucket, surname_of)
 from stintlake.operators.joins import team_filter, with_driver_name
-from stintlake.operators.windows import delta_from_best, ffill, running_sum, segments
+from stintlake.operators.ranges import numbered
+from stintlake.operators.windows import delta_from_best, ffill, running_sum, scan_levels, segments
 from stintlake.plans import models as M
 from stintlake.session import cut_lineage
 
@@ -27,11 +29,14 @@ def round_by_round(t, cid=None, latest_only: bool = False) -> DataFrame:
     """K1: cumulative points (from results, not standings) and finishing
     order per team, driver, season and round. ``latest_only`` keeps each
     team's latest season, filtered *before* the running sums."""
-    res = team_filter(t.results, cid).select("race_id", "driver_id", TEAM, "points", "position_order")
-    df = res.join(t.races.select("race_id", "year", "round"), "race_id", "inner") \
-        .withColumn("pts", F.coalesce(F.col("points"), F.lit(0.0)))
+    cols = ["race_id", "driver_id", TEAM, "points", "position_order"]
     if latest_only:
-        df = _latest_season(df)
+        res, races = _latest_season(team_filter(t.yearly("results"), cid), t.races)
+        res = res.select(*cols)
+    else:
+        res, races = team_filter(t.results, cid).select(*cols), t.races
+    df = res.join(races.select("race_id", "year", "round"), "race_id", "inner") \
+        .withColumn("pts", F.coalesce(F.col("points"), F.lit(0.0)))
     # a driver's season is bounded by its rounds: a plain window suffices
     df = running_sum(df, [TEAM, "driver_id", "year"], "round", {"cum_points": "pts"})
     df = with_driver_name(df, t.drivers, "driver")
@@ -48,9 +53,15 @@ def grid_finish(t, cid=None) -> DataFrame:
     return g.select("*", gained.alias("gained"), sign_bucket(gained).alias("bucket"))
 
 
-def _latest_season(df: DataFrame) -> DataFrame:
-    last = df.groupBy(TEAM).agg(F.max("year").alias("year"))
-    return df.join(last, [TEAM, "year"], "left_semi")
+def _latest_season(facts: DataFrame, races: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of each team's latest season, and the races of those seasons.
+
+    The seasons come from (team, year) alone, of which the year is no column
+    of the files. As a scalar list they then filter the partition column, so
+    that files of other seasons aren't opened."""
+    last = facts.filter(F.col("year").isNotNull()).groupBy(TEAM).agg(F.max("year").alias("year"))
+    wanted = F.array_contains(last.agg(F.collect_set("year")).scalar(), F.col("year"))
+    return facts.filter(wanted).join(last, [TEAM, "year"], "left_semi"), races.filter(wanted)
 
 
 def season_trajectory(t, cid=None) -> DataFrame:
@@ -77,6 +88,7 @@ def points_gap(t, cid=None) -> DataFrame:
     The latest-season rows feed six branches, so they are stored once."""
     k1 = cut_lineage(round_by_round(t, cid, latest_only=True), "k1_latest")
     best = k1.groupBy(TEAM, "driver_id", "driver").agg(F.max("points").alias("season_max"))
+    # a filter on the row number is a group limit: two rows of a team and task meet
     w = Window.partitionBy(TEAM).orderBy(F.col("season_max").desc(), F.col("driver_id"))
     top2 = best.withColumn("slot", F.row_number().over(w)).filter(F.col("slot") <= 2)
     both = top2.groupBy(TEAM).agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") == 2)
@@ -89,9 +101,10 @@ def points_gap(t, cid=None) -> DataFrame:
         F.max(F.when(F.col("slot") == 1, F.col("points"))).alias("points_a"),
         F.max(F.when(F.col("slot") == 2, F.col("points"))).alias("points_b"))
     # a team's season can hold many rounds: both windows are block-split
-    wide = ffill(wide, TEAM, "round", ["points_a", "points_b"], block=ROUND_BLOCK)
+    deep = scan_levels(t.last_round + 1, ROUND_BLOCK)
+    wide = ffill(wide, TEAM, "round", ["points_a", "points_b"], ROUND_BLOCK, deep)
     wide = wide.withColumn("gap", F.col("points_a") - F.col("points_b"))
-    seg = segments(wide.filter(F.col("gap").isNotNull()), TEAM, "round", "gap", "segment", block=ROUND_BLOCK)
+    seg = segments(wide.filter(F.col("gap").isNotNull()), TEAM, "round", "gap", "segment", ROUND_BLOCK, deep)
     out = wide.join(seg.select(TEAM, "round", "segment"), [TEAM, "round"], "left").join(names, TEAM, "inner")
     leader = F.when(F.col("gap") >= 0, surname_of("driver_a")).when(F.col("gap") < 0, surname_of("driver_b"))
     return out.select(TEAM, "year", "round", "driver_a", "driver_b", "points_a", "points_b", "gap",
@@ -160,14 +173,19 @@ def sector_gap(t, cid=None, min_laps: int = 10) -> DataFrame:
         "best_s1", "best_s2", "best_s3")
 
 
+def _ranked(drivers: DataFrame, by) -> DataFrame:
+    """One row per team and driver with its place (``driver_rank``) in the team."""
+    return numbered(drivers, [TEAM], [by, F.col("driver_id")], "driver_rank").withColumn("driver_rank", F.col("driver_rank").cast("int"))
+
+
 def degradation_pivot(t, cid=None, min_laps: int = 5) -> DataFrame:
     """Degradation rate per driver with one column per dry compound,
     drivers ranked by their mean rate."""
     d = M.tyre_degradation(t, cid=cid, min_laps=min_laps)
     wide = d.groupBy(TEAM, "driver_id", "driver").pivot("compound", M.DRY_COMPOUNDS).agg(F.first("deg_rate_s"))
     mean = d.groupBy(TEAM, "driver_id").agg(F.avg("deg_rate_s").alias("mean_rate"))
-    w = Window.partitionBy(TEAM).orderBy("mean_rate", "driver_id")
-    out = wide.join(mean, [TEAM, "driver_id"], "inner").withColumn("rank", F.row_number().over(w))
+    rank = numbered(mean, [TEAM], [F.col("mean_rate"), F.col("driver_id")], "rank").withColumn("rank", F.col("rank").cast("int"))
+    out = wide.join(rank, [TEAM, "driver_id"], "inner")
     return out.select(TEAM, "driver_id", "driver", F.col("SOFT").alias("soft"), F.col("MEDIUM").alias("medium"),
                       F.col("HARD").alias("hard"), round_half_up("mean_rate", 6).alias("mean_rate"), "rank")
 
@@ -175,10 +193,8 @@ def degradation_pivot(t, cid=None, min_laps: int = 5) -> DataFrame:
 def stint_bars(t, cid=None) -> DataFrame:
     """Horizontal stint bars (base = start lap − 1, width in laps),
     drivers ordered by finishing position."""
-    s = M.stints(t, cid=cid)
-    w = Window.partitionBy(TEAM).orderBy("best_finish", "driver_id")
-    order = s.groupBy(TEAM, "driver_id").agg(F.min("finish_pos").alias("best_finish")) \
-        .withColumn("driver_rank", F.dense_rank().over(w))
+    s = cut_lineage(M.stints(t, cid=cid), "stints")  # ranked and returned: planned once
+    order = _ranked(s.groupBy(TEAM, "driver_id").agg(F.min("finish_pos").alias("best_finish")), F.col("best_finish"))
     return s.join(order.select(TEAM, "driver_id", "driver_rank"), [TEAM, "driver_id"], "inner").select(
         TEAM, "race_id", "driver_id", "driver", "stint", "compound",
         (F.col("start_lap") - 1).alias("base"),
@@ -255,8 +271,7 @@ def season_facets(t, cid=None) -> DataFrame:
         .join(t.races.select("race_id", "year", "round", "race_name"), "race_id", "inner")
     ds = with_driver_name(ds, t.drivers, "driver")
     best = ds.groupBy(TEAM, "driver_id").agg(F.max("points").alias("best"))
-    w = Window.partitionBy(TEAM).orderBy(F.col("best").desc(), "driver_id")
-    best = best.withColumn("driver_rank", F.row_number().over(w))
+    best = _ranked(best, F.col("best").desc())
     return ds.join(best.select(TEAM, "driver_id", "driver_rank"), [TEAM, "driver_id"], "inner") \
         .select(TEAM, "driver_id", "driver", "year", "round", "race_name", "points", "driver_rank")
 
@@ -266,8 +281,7 @@ def pit_stops_z(t, cid=None) -> DataFrame:
     drivers ranked by mean z (highest first)."""
     z = M.pit_stop_z(t, cid=cid)
     mean = z.groupBy(TEAM, "driver_id").agg(F.avg("z").alias("mz"))
-    w = Window.partitionBy(TEAM).orderBy(F.col("mz").desc(), "driver_id")
-    mean = mean.withColumn("driver_rank", F.row_number().over(w))
+    mean = _ranked(mean, F.col("mz").desc())
     return z.join(mean.select(TEAM, "driver_id", "driver_rank"), [TEAM, "driver_id"], "inner").select(
         TEAM, "race_id", "year", "race_name", "driver_id", "driver", "stop",
         round_half_up(F.col("milliseconds") / 1000.0, 2).alias("duration_s"),
@@ -277,12 +291,12 @@ def pit_stops_z(t, cid=None) -> DataFrame:
 def compound_map(t) -> DataFrame:
     """Lap-by-lap tyre compound of every driver in the latest season
     that has laps (missing compound shown as UNKNOWN)."""
-    laps = t.laps.select("race_id", "driver_id", "lap_number", "compound")
-    races = t.races.select("race_id", "year", "round", "race_name")
-    # the season is found from the race keys alone; its few races then pick the laps
-    with_laps = races.join(laps.select("race_id").distinct(), "race_id", "left_semi")
-    season = with_laps.join(with_laps.agg(F.max("year").alias("year")), "year", "left_semi")
-    sel = with_driver_name(laps.join(season, "race_id", "inner"), t.drivers, "driver")
+    laps = t.yearly("laps")
+    # laps are partitioned by year: the latest is found without opening a column, and prunes the files
+    latest = F.col("year") == laps.agg(F.max("year")).scalar()
+    races = t.races.filter(latest).select("race_id", "year", "round", "race_name")
+    laps = laps.filter(latest).select("race_id", "driver_id", "lap_number", "compound")
+    sel = with_driver_name(laps.join(races, "race_id", "inner"), t.drivers, "driver")
     return sel.select("year", "race_name", "round", "lap_number", "driver_id", "driver",
                       F.coalesce("compound", F.lit("UNKNOWN")).alias("compound"))
 

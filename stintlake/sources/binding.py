@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stintlake import DNF_POSITION_ORDER
-from stintlake.operators.windows import running_sum
+from stintlake.operators.ranges import numbered
+from stintlake.operators.windows import running_sum, scan_levels
 
 # Points for finishing positions 1..10 (current championship rules).
 POINTS_BY_POSITION = [25, 18, 15, 12, 10, 8, 6, 4, 2, 1]
@@ -43,6 +44,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Tables of rows about one race; stored, they are partitioned by its year.
+FACTS = ("results", "qualifying", "pit_stops", "driver_standings", "constructor_standings", "laps")
+
+
 class Star:
     """The star tables. Each attribute is a DataFrame; when built from a
     store, a table is opened on first use only (a query touching three
@@ -55,6 +60,7 @@ class Star:
         self._loader = loader
         self._key = key  # identity of stored tables (None: in-memory frames)
         self._tables = dict(tables)
+        self._by_year = {}  # stored facts, with the column they are partitioned by
 
     @property
     def key(self) -> str | None:
@@ -68,9 +74,26 @@ class Star:
             loader = self.__dict__["_loader"]
             if loader is None or name not in self._NAMES:
                 raise AttributeError(name)
-            tables[name] = loader(name)
+            df = loader(name)
+            if name in FACTS and "year" in df.columns:
+                self.__dict__["_by_year"][name], df = df, df.drop("year")
+            tables[name] = df
         return tables[name]
 
+    def yearly(self, name: str) -> DataFrame:
+        """A fact table with the ``year`` of its race. Stored facts are
+        partitioned by it, so that a filter on the year prunes files."""
+        df = getattr(self, name)
+        by_year = self.__dict__["_by_year"]
+        return by_year[name] if name in by_year else df.join(self.races.select("race_id", "year"), "race_id", "left")
+
+    @property
+    def last_round(self) -> int:
+        """Largest round of any season (0 without races); measured once."""
+        if "_last_round" not in self.__dict__:
+            self.__dict__["_last_round"] = self.races.agg(F.max("round")).first()[0] or 0
+        return self.__dict__["_last_round"]
+
     def as_dict(self) -> dict[str, DataFrame]:
         return {n: getattr(self, n) for n in self._NAMES}
 
@@ -135,23 +158,18 @@ def bind_dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.concat(F.lit("driver/"), F.col("s_suppkey").cast("string")).alias("url"),
     )
 
-    # races: round = rank of the race within its year by (date, key). The
-    # per-day counts are tiny; the row rank only runs within one day.
+    # races: round = rank of the race within its year by (date, key), by ranges
     o = (orders.select("o_orderkey", "o_custkey", "o_orderdate")
          .withColumn("race_date", F.to_date("o_orderdate"))
          .withColumn("year", F.year("race_date").cast("int")))
-    per_day = o.groupBy("year", "race_date").agg(F.count(F.lit(1)).alias("n"))
-    w_day = Window.partitionBy("year").orderBy("race_date").rowsBetween(Window.unboundedPreceding, -1)
-    per_day = per_day.select("year", "race_date",
-                             F.coalesce(F.sum("n").over(w_day), F.lit(0)).alias("day_offset"))
-    w_in_day = Window.partitionBy("race_date").orderBy("o_orderkey")
-    races = (o.join(customer.select("c_custkey", "c_nationkey"),
-                    o.o_custkey == customer.c_custkey, "inner")
-             .join(per_day, ["year", "race_date"], "inner")
+    o = o.join(customer.select("c_custkey", "c_nationkey"), o.o_custkey == customer.c_custkey, "left")
+    keep = {c: F.col(c) for c in ("o_orderkey", "race_date", "year", "c_custkey", "c_nationkey")}
+    races = (numbered(o, ["year"], [F.col("race_date"), F.col("o_orderkey")], "round", keep)
+             .filter(F.col("c_custkey").isNotNull())
              .select(
                  F.col("o_orderkey").alias("race_id"),
                  "year",
-                 (F.col("day_offset") + F.row_number().over(w_in_day)).cast("int").alias("round"),
+                 F.col("round").cast("int").alias("round"),
                  F.col("c_nationkey").alias("circuit_id"),
                  F.concat(F.lit("Grand Prix "), F.col("o_orderkey").cast("string")).alias("race_name"),
                  "race_date",
@@ -220,7 +238,11 @@ def bind_results_src(spark: SparkSession, sf_dir: str, ranked: DataFrame | None
 
 
 def bind_facts(spark: SparkSession, sf_dir: str, results_src: DataFrame,
-               races: DataFrame, ranked: DataFrame | None = None) -> dict[str, DataFrame]:
+               races: DataFrame, ranked: DataFrame | None = None, last_round: int | None = None) -> dict[str, DataFrame]:
+    """The fact tables. ``last_round`` (largest round of a season) sets how
+    deep the scan over a team's season is nested; measured if not given."""
+    if last_round is None:
+        last_round = races.agg(F.max("round")).first()[0] or 0
     ranked = ranked if ranked is not None else rank_lineitems(spark, sf_dir)
     results = results_src.drop("_partkey")
 
@@ -276,7 +298,7 @@ def bind_facts(spark: SparkSession, sf_dir: str, results_src: DataFrame,
         F.sum("points").alias("points"),
         F.count(F.when(F.col("position") == 1, 1)).alias("win"))
     cs = running_sum(per_team, ["constructor_id", "year"], "round",
-                     {"cum_points": "points", "cum_wins": "win"}, block=STANDINGS_BLOCK)
+                     {"cum_points": "points", "cum_wins": "win"}, STANDINGS_BLOCK, scan_levels(last_round + 1, STANDINGS_BLOCK))
     w_rank_c = Window.partitionBy("race_id").orderBy(F.col("cum_points").desc(), F.col("constructor_id"))
     constructor_standings = cs.select(
         "race_id", "constructor_id",
@@ -330,12 +352,24 @@ STAR_TABLES = ["circuits", "constructors", "drivers", "seasons", "races", "resul
                "qualifying", "pit_stops", "driver_standings", "constructor_standings", "laps"]
 
 
-def _write_all(st, tables: dict, workers: int = 4) -> None:
+def season_span(t) -> tuple[int, int]:
+    """First and last season of the races (0, 0 without any)."""
+    first, last = t.races.agg(F.min("year"), F.max("year")).first()
+    return first or 0, last or 0
+
+
+def with_year(facts: DataFrame, races: DataFrame) -> DataFrame:
+    """A fact table with its races' year, the column it is stored by; null for
+    rows of unknown races."""
+    return facts.join(races.select("race_id", "year").dropDuplicates(["race_id"]), "race_id", "left").select(*facts.columns, "year")
+
+
+def _write_all(st, tables: dict, workers: int = 4, by: str | None = None) -> None:
     """Write independent tables as concurrent jobs; any failure is raised."""
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=workers) as pool:
-        for f in [pool.submit(st.write_full, n, df) for n, df in tables.items()]:
+        for f in [pool.submit(st.write_full, n, df, by) for n, df in tables.items()]:
             f.result()
 
 
@@ -369,8 +403,10 @@ def load_star(spark: SparkSession, sf_dir: str, root: str | None = None,
         ranked = st.read("lineitem_ranked")
         _write_all(st, {"seasons": seasons_of(st.read("races")),
                         "results_src": bind_results_src(spark, sf_dir, ranked)})
-        facts = bind_facts(spark, sf_dir, st.read("results_src"), st.read("races"), ranked)
+        races = st.read("races")
+        facts = bind_facts(spark, sf_dir, st.read("results_src"), races, ranked)
+        facts = {n: with_year(df, races) for n, df in facts.items()}
         # laps last: its presence marks a complete load
-        _write_all(st, {n: df for n, df in facts.items() if n != "laps"})
-        st.write_full("laps", facts["laps"])
+        _write_all(st, {n: df for n, df in facts.items() if n != "laps"}, by="year")
+        st.write_full("laps", facts["laps"], "year")
     return Star(loader=st.read, key=sig)

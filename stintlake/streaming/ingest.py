@@ -21,13 +21,14 @@ def incremental_files(spark: SparkSession, path: str, schema: StructType, fmt: s
 
 
 def stream_upsert(spark: SparkSession, source: str, schema: StructType, store, table: str, keys,
-                  checkpoint: str, order_by, fmt: str = "parquet") -> None:
+                  checkpoint: str, order_by, fmt: str = "parquet", partition_by: str | None = None) -> None:
     """Run the stream until every available file is merged, then return. Of
-    several rows of one key in a batch the last by ``order_by`` wins."""
+    several rows of one key in a batch the last by ``order_by`` wins. A batch
+    writes the touched partitions of a table partitioned by ``partition_by``."""
     def merge(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        store.merge_upsert(table, batch, keys, order_by)
+        store.merge_upsert(table, batch, keys, order_by, partition_by)
 
     q = (incremental_files(spark, source, schema, fmt).writeStream
          .option("checkpointLocation", checkpoint)
