@@ -14,12 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
 from stintlake import DNF_POSITION_ORDER
-from stintlake.schemas import COMPOUNDS, contract, family
+from stintlake.schemas import COMPOUNDS, SCHEMAS, contract, is_family
 
 CHECK_SCHEMA = "check string, value string, expected string"
 
@@ -52,18 +52,23 @@ def _orphans(child: DataFrame, parent: DataFrame, key: str) -> Column:
         .agg(F.count(F.lit(1)).alias("n"))
 
 
-def _guard(spark, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _guard(spark, name: str, build: Callable[[], DataFrame], run: bool = False) -> DataFrame:
+    """The check's rows, or one row with its error. An unbuildable plan shows
+    at once; with ``run`` the check is also carried out here (a few rows), so
+    that a failure of its job is a row too and the other checks go on."""
     try:
         df = build()
         df.schema  # force analysis: missing tables / columns surface here
-        return df
+        return _rows(spark, [tuple(r) for r in df.select("check", "value", "expected").collect()]) if run else df
     except (PySparkException, AttributeError, KeyError) as exc:
         msg = str(exc).split("\n")[0][:200]
         return _rows(spark, [(name, f"error: {msg}", "query_success")])
 
 
-def quality_checks(t, start_year: int, end_year: int, skipped: DataFrame | None = None) -> DataFrame:
+def quality_checks(t, start_year: int, end_year: int, skipped: DataFrame | None = None, isolate: bool = False) -> DataFrame:
     """Every check with its measured value: ``check, value, expected, failed``.
+    ``isolate`` carries out each group of checks by itself (see ``_guard``), as
+    the gate of a load does; else all are one plan.
 
     ``skipped``: (dataset, year, round) rows known to be absent at the
     source; they do not count as races missing results / qualifying.
@@ -72,7 +77,7 @@ def quality_checks(t, start_year: int, end_year: int, skipped: DataFrame | None
     parts: list[DataFrame] = []
 
     def add(name: str, build: Callable[[], DataFrame]) -> None:
-        parts.append(_guard(spark, name, build))
+        parts.append(_guard(spark, name, build, isolate))
 
     # non-empty, year range, primary-key uniqueness (one pass per table)
     # results: emptiness, three foreign keys and the value rules in ONE pass
@@ -89,8 +94,9 @@ def quality_checks(t, start_year: int, end_year: int, skipped: DataFrame | None
         return _agg_checks(tagged, checks, {"results_non_empty": "> 0"})
 
     try:  # all of them in one pass; where one can't be built, each by itself, so that it alone is reported
-        parts.append(results_pass(list(parents), rules))
-        parts[-1].schema  # noqa: B018 - analysis
+        together = results_pass(list(parents), rules)
+        together.schema  # noqa: B018 - analysis
+        parts.append(_rows(spark, [tuple(r) for r in together.collect()]) if isolate else together)
     except (PySparkException, AttributeError, KeyError):
         del parts[:]
         for name, rule in rules.items():
@@ -160,75 +166,124 @@ def quality_checks(t, start_year: int, end_year: int, skipped: DataFrame | None
     return allc.withColumn("failed", failed)
 
 
-def run_checks(t, start_year: int, end_year: int, skipped: DataFrame | None = None) -> DataFrame:
+def run_checks(t, start_year: int, end_year: int, skipped: DataFrame | None = None, isolate: bool = False) -> DataFrame:
     """The gate: failing checks only (empty frame = pass)."""
-    return quality_checks(t, start_year, end_year, skipped).filter("failed").drop("failed")
+    return quality_checks(t, start_year, end_year, skipped, isolate).filter("failed").drop("failed")
 
 
 # --- contracts -----------------------------------------------------------
 
+def _static_issues(schema, table: str, c: dict) -> list[str]:
+    """Missing required columns and wrong type families."""
+    cols = {f.name: f.dataType for f in schema.fields}
+    missing = [n for n in c["required"] if n not in cols]
+    return ([f"Missing required columns: {', '.join(missing)}"] if missing else []) + \
+        [f"{n} is not {fam}" for n, fam in c["families"].items() if n in cols and not is_family(cols[n], fam)]
+
+
+def _below(name: str, bound) -> Column:
+    return F.coalesce(F.col(name).cast("string").try_cast("double") < bound, F.lit(False))
+
+
+def _unexpected(name: str, allowed) -> Column:
+    return F.col(name).isNotNull() & (F.col(name) != "") & ~F.col(name).isin(list(allowed))
+
+
+def enum_findings(df: DataFrame, table: str) -> DataFrame:
+    """Values outside the contract's lists, one row each: table, column, value,
+    rows. Each row's bad values are exploded in one pass and counted with
+    partial sums, so a column may have any number of them."""
+    c = contract(table) or {"enum": {}}
+    enums = {n: v for n, v in c["enum"].items() if n in df.columns}
+    if not enums:
+        return df.sparkSession.createDataFrame([], "table string, column string, value string, rows bigint")
+    bad = F.array(*[F.when(_unexpected(n, v), F.struct(F.lit(n).alias("column"), F.col(n).cast("string").alias("value"))) for n, v in enums.items()])
+    return (df.select(F.explode(F.filter(bad, lambda x: x.isNotNull())).alias("x")).groupBy("x.column", "x.value")
+            .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(table).alias("table"), "column", "value", "rows"))
+
+
 def validate(df: DataFrame, table: str) -> DataFrame:
     """Contract issues of ``df`` as rows ``(table, issue)``.
 
     Schema-level issues (missing required column, wrong type family) come
-    from the DataFrame schema without a job; value constraints (minimum,
-    allowed values; nulls skipped, '' allowed) are counted in one pass.
+    from the DataFrame schema without a job; values below a minimum are
+    counted in one pass, and values outside a list (nulls skipped, '' allowed)
+    give a row each with their count.
     """
     spark = df.sparkSession
     c = contract(table)
     if c is None:
         return spark.createDataFrame([(table, f"No schema contract defined for {table}")], "table string, issue string")
-    issues: list[str] = []
-    cols = {f.name: f.dataType for f in df.schema.fields}
-    missing = [n for n in c["required"] if n not in cols]
-    if missing:
-        issues.append(f"Missing required columns: {', '.join(missing)}")
-    for name, fam in c["families"].items():
-        if name in cols and family(cols[name]) != fam:
-            issues.append(f"{name} is not {fam}")
-    static = spark.createDataFrame([(table, i) for i in issues], "table string, issue string")
-    value_parts = []
-    for name, bound in c["min"].items():
-        if name in cols:
-            value_parts.append((f"min:{name}", F.count_if(F.col(name) < bound), bound))
-    enum_cols = [n for n in c["enum"] if n in cols]
-    if not value_parts and not enum_cols:
-        return static
-    out = static
-    if value_parts:
-        one = df.agg(*[e.alias(k) for k, e, _ in value_parts])
-        for k, _, bound in value_parts:
-            col = k.split(":", 1)[1]
-            out = out.unionByName(one.filter(F.col(k) > 0).select(
-                F.lit(table).alias("table"),
-                F.concat(F.lit(f"{col} has "), F.col(k).cast("string"),
-                         F.lit(f" values below minimum {bound}")).alias("issue")))
-    for name in enum_cols:
-        allowed = c["enum"][name]
-        bad = (df.filter(F.col(name).isNotNull() & (F.col(name) != "") & ~F.col(name).isin(allowed))
-               .select(name).distinct()
-               .agg(F.array_sort(F.collect_list(name)).alias("vals"))
-               .filter(F.size("vals") > 0))
-        out = out.unionByName(bad.select(
-            F.lit(table).alias("table"),
-            F.concat(F.lit(f"{name} has unexpected values: ["),
-                     F.array_join(F.transform("vals", lambda v: F.concat(F.lit("'"), v, F.lit("'"))), ", "),
-                     F.lit("]")).alias("issue")))
-    return out
+    out = spark.createDataFrame([(table, i) for i in _static_issues(df.schema, table, c)], "table string, issue string")
+    bounds = {n: b for n, b in c["min"].items() if n in df.columns}
+    if bounds:
+        long = df.agg(*[F.count_if(_below(n, b)).alias(n) for n, b in bounds.items()]).unpivot([], list(bounds), "column", "n")
+        bound = F.create_map(*[x for n, b in bounds.items() for x in (F.lit(n), F.lit(str(b)))])
+        out = out.unionByName(long.filter("n > 0").select(F.lit(table).alias("table"), F.concat(
+            "column", F.lit(" has "), F.col("n").cast("string"), F.lit(" values below minimum "), bound[F.col("column")]).alias("issue")))
+    found = enum_findings(df, table)
+    return out.unionByName(found.select("table", F.format_string("%s has unexpected value '%s' in %d rows", "column", "value", "rows").alias("issue")))
 
 
 class ContractError(ValueError):
     pass
 
 
+#: Issues that a raised or returned message names; more are counted only.
+MOST_NAMED = 20
+
+
 def enforce(df: DataFrame, table: str, strict: bool = True) -> list[str]:
-    """Strict: raise on any contract issue. Relaxed: return them as warnings."""
-    issues = [r["issue"] for r in validate(df, table).collect()]
+    """Strict: raise on any contract issue. Relaxed: return them as warnings,
+    the first ``MOST_NAMED`` of them."""
+    issues = [r["issue"] for r in validate(df, table).limit(MOST_NAMED).collect()]
     if issues and strict:
         raise ContractError(f"Schema validation issues for {table}: {issues}")
     return issues
 
 
+class LoadMetrics:
+    """Rows, lost values and contract counts of a table, measured while it is
+    written: ``df`` is to be written once, then ``warnings`` tells what the
+    write saw. (A retried shuffle task can be counted again.)"""
+
+    def __init__(self, raw: DataFrame, table: str):
+        self.table, c = table, contract(table) or {"required": [], "families": {}, "min": {}, "enum": {}}
+        df, lost = _coerced(raw, c, table)
+        self.schema_issues = _static_issues(df.schema, table, c) if contract(table) else [f"No schema contract defined for {table}"]
+        self._bounds = {n: b for n, b in c["min"].items() if n in df.columns}
+        enums = {n: v for n, v in c["enum"].items() if n in df.columns}
+        self._seen = Observation(f"load-{table}")
+        self._lost = list(lost)
+        # values lost are judged on the raw columns, which the coerced ones replace
+        tagged = df if not lost else raw.select(*[F.struct(*[e.alias(n) for n, e in lost.items()]).alias("__lost"), *_selected(raw, c, table)])
+        self.df = tagged.observe(
+            self._seen, F.count(F.lit(1)).alias("rows"),
+            *[F.sum(F.col(f"__lost.{n}").cast("int")).alias(f"lost_{n}") for n in lost],
+            *[F.count_if(_below(n, b)).alias(f"min_{n}") for n, b in self._bounds.items()],
+            *[F.count_if(_unexpected(n, v)).alias(f"enum_{n}") for n, v in enums.items()]).drop("__lost")
+        self._enums = list(enums)
+
+    @property
+    def rows(self) -> int:
+        return self._seen.get["rows"]
+
+    def lost(self) -> list[str]:
+        got = self._seen.get
+        return [f"Coerced {got[f'lost_{n}']} invalid values to null in {self.table}.{n}." for n in self._lost if got[f"lost_{n}"]]
+
+    def issues(self) -> list[str]:
+        got = self._seen.get
+        return (self.schema_issues
+                + [f"{n} has {got[f'min_{n}']} values below minimum {b}" for n, b in self._bounds.items() if got[f"min_{n}"]]
+                + [f"{n} has {got[f'enum_{n}']} unexpected values" for n in self._enums if got[f"enum_{n}"]])
+
+    def judge(self, strict: bool) -> None:
+        """To be called between the write and its commit."""
+        if strict and self.issues():
+            raise ContractError(f"Schema validation issues for {self.table}: {self.issues()}")
+
+
 def coerce(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     """Contract coercion before validation: strings null → '', numeric and
     date columns parsed with ``try_cast`` (bad → null). Returns the frame
@@ -236,27 +291,35 @@ def coerce(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     c = contract(table)
     if c is None:
         return df, df.sparkSession.createDataFrame([], "column string, lost bigint")
-    from stintlake.schemas import SCHEMAS
-
-    target = {f.name: f.dataType for f in SCHEMAS[table].fields}
-    sel, lost = [], []
-    for f in df.schema.fields:
-        fam = c["families"].get(f.name)
-        col = F.col(f.name)
-        if fam == "string":
-            sel.append(F.coalesce(col.cast("string"), F.lit("")).alias(f.name))
-        elif fam in ("numeric", "datetime") and family(f.dataType) != fam:
-            new = col.cast("string").try_cast(target[f.name])
-            sel.append(new.alias(f.name))
-            lost.append(F.count_if(col.isNotNull() & new.isNull()).alias(f.name))
-        else:
-            sel.append(col)
-    out = df.select(*sel)
+    out, lost = _coerced(df, c, table)
     if not lost:
         return out, df.sparkSession.createDataFrame([], "column string, lost bigint")
-    counts = df.agg(*lost)
-    long = counts.unpivot([], counts.columns, "column", "lost")
-    return out, long
+    counts = df.agg(*[F.count_if(e).alias(n) for n, e in lost.items()])
+    return out, counts.unpivot([], counts.columns, "column", "lost")
+
+
+def _parsed(f, c: dict, table: str) -> Column | None:
+    """How a column of another family than the contract's is parsed, if it is."""
+    fam = c["families"].get(f.name)
+    if fam not in ("numeric", "datetime") or is_family(f.dataType, fam):
+        return None
+    return F.col(f.name).cast("string").try_cast(SCHEMAS[table][f.name].dataType)
+
+
+def _selected(df: DataFrame, c: dict, table: str) -> list[Column]:
+    out = []
+    for f in df.schema.fields:
+        new = _parsed(f, c, table)
+        if c["families"].get(f.name) == "string":
+            new = F.coalesce(F.col(f.name).cast("string"), F.lit(""))
+        out.append((F.col(f.name) if new is None else new).alias(f.name))
+    return out
+
+
+def _coerced(df: DataFrame, c: dict, table: str) -> tuple[DataFrame, dict[str, Column]]:
+    """The coerced frame, and per parsed column whether a row loses its value."""
+    lost = {f.name: F.col(f.name).isNotNull() & new.isNull() for f in df.schema.fields if (new := _parsed(f, c, table)) is not None}
+    return df.select(*_selected(df, c, table)), lost
 
 
 # --- column tests (not_null / unique) -----------------------------------

@@ -4,8 +4,8 @@ column, value constraints)."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import (BooleanType, DateType, DoubleType, IntegerType, LongType,
-                               NumericType, StringType, StructField, StructType, TimestampType)
+from pyspark.sql.types import (BooleanType, DateType, DecimalType, DoubleType, FractionalType, IntegerType, IntegralType,
+                               LongType, NumericType, StringType, StructField, StructType, TimestampType)
 
 I, L, D, S, B, DT = IntegerType(), LongType(), DoubleType(), StringType(), BooleanType(), DateType()
 
@@ -78,6 +78,23 @@ def family(dt) -> str:
     return dt.simpleString()
 
 
+FAMILIES = {
+    "numeric": lambda dt: isinstance(dt, (NumericType, BooleanType)),
+    "integer": lambda dt: isinstance(dt, IntegralType),
+    "float": lambda dt: isinstance(dt, (FractionalType, DecimalType)),
+    "string": lambda dt: isinstance(dt, StringType),
+    "datetime": lambda dt: isinstance(dt, (DateType, TimestampType)),
+}
+
+
+def is_family(dt, name: str) -> bool:
+    """Whether a Spark type is of a family that a contract can name; an
+    unknown name is an error of the contract."""
+    if name not in FAMILIES:
+        raise KeyError(f"unknown type {name!r} in a contract; known: {', '.join(FAMILIES)}")
+    return FAMILIES[name](dt)
+
+
 def contract(table: str) -> dict | None:
     """Contract of a table, derived from its schema plus the fixed
     constraints: required columns, expected family per column, min / enum."""

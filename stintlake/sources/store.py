@@ -143,19 +143,24 @@ class Store:
         held = self._parts(table) or {"parts": {}}
         return {d: sorted(self.fs.files(f"{self.root}/{table}/data/{d}/v={v}")) for d, v in held["parts"].items()}
 
-    def _commit(self, table: str, df: DataFrame, partition_by: str | None = None, keep: dict | None = None) -> str:
+    def _commit(self, table: str, df: DataFrame, partition_by: str | None = None, keep: dict | None = None, check=None) -> str:
         """Write ``df`` as the next version; of a partitioned table, ``keep``
-        names the partitions ({folder: commit}) that stay as they are."""
+        names the partitions ({folder: commit}) that stay as they are. ``check``
+        is called once the data is written: if it raises, the version never
+        becomes visible."""
+        check = check or (lambda: None)
         vid = f"v{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/{table}/{vid}"
         if partition_by is None:
             df.write.mode("errorifexists").parquet(path)
+            check()
             self.fs.touch(f"{path}.committed")
             return path
         base = f"{self.root}/{table}/data"
         # rows of a value meet in few tasks, a value with many rows is split (AQE)
         (df.hint("rebalance", partition_by).withColumn("v", F.lit(vid))
          .write.mode("append").partitionBy(partition_by, "v").parquet(base))
+        check()
         new = {d: vid for d in self.fs.list_names(base) if d.startswith(f"{partition_by}=") and self.fs.exists(f"{base}/{d}/v={vid}")}
         fields = sorted(df.schema.fields, key=lambda f: f.name == partition_by)  # the partition column comes last
         self.fs.write_text(f"{path}.committed", json.dumps({
@@ -163,18 +168,22 @@ class Store:
         return base
 
     # -- loads ------------------------------------------------------------
-    def write_full(self, table: str, df: DataFrame, partition_by: str | None = None) -> str:
+    def write_full(self, table: str, df: DataFrame, partition_by: str | None = None, check=None) -> str:
         """Full refresh: a new version replaces the current one; the old
-        one is kept as the backup."""
-        return self._commit(table, df, partition_by)
+        one is kept as the backup. See ``_commit`` for ``check``."""
+        return self._commit(table, df, partition_by, check=check)
 
-    def _replace(self, table: str, rows: DataFrame, out: DataFrame, on: list[str]) -> str:
+    def _replace(self, table: str, rows: DataFrame, out: DataFrame, on: list[str], schema: StructType | None = None) -> str:
         """The next version: target rows that match no row of ``out`` in the
         columns ``on``, and ``rows``. Of a partitioned table, only partitions
-        that hold a matching row or get one are read whole and written."""
+        that hold a matching row or get one are read whole and written; if
+        ``schema`` differs from theirs, all are."""
         held = self._parts(table)
+        target = self.read(table)
+        if schema is not None and {(f.name, f.dataType) for f in schema.fields} != {(f.name, f.dataType) for f in target.schema.fields}:
+            kept = target.join(out.select(*on).distinct(), on, "left_anti")
+            return self._commit(table, as_schema(kept, schema).unionByName(as_schema(rows, schema)), held["by"] if held else None)
         if held is None:
-            target = self.read(table)
             return self._commit(table, target.join(out.select(*on).distinct(), on, "left_anti").unionByName(rows.select(*target.columns)))
         by = held["by"]
         rows, out = cut_lineage(rows, "replace"), cut_lineage(out.select(*on).distinct(), "replaced")
@@ -188,16 +197,21 @@ class Store:
         merged = target.join(out, on, "left_anti").unionByName(rows.select(*target.columns))
         return self._commit(table, merged, by, {d: v for d, v in held["parts"].items() if d not in ours})
 
-    def merge_upsert(self, table: str, updates: DataFrame, keys, order_by, partition_by: str | None = None) -> str:
+    def merge_upsert(self, table: str, updates: DataFrame, keys, order_by, partition_by: str | None = None, evolve: bool = False) -> str:
         """Insert-or-replace by primary key. Rows of ``updates`` win; target
         rows whose key is not in ``updates`` are kept. Of several updates of
         one key the last by ``order_by`` wins (see ``last_by_key``). When the
-        table does not exist yet the updates become its first version."""
+        table does not exist yet the updates become its first version. Order
+        columns that begin with an underscore are not stored. ``evolve`` lets
+        the updates add columns and widen types (see ``merged_schema``); else
+        columns that the target lacks are left out."""
         keys = [keys] if isinstance(keys, str) else list(keys)
         updates = last_by_key(updates, keys, order_by)
+        updates = updates.drop(*[c for c in updates.columns if c.startswith("_")])
         if not self.exists(table):
             return self._commit(table, updates, partition_by)
-        return self._replace(table, updates, updates, keys)
+        schema = merged_schema(self.read(table).schema, updates.schema) if evolve else None
+        return self._replace(table, updates, updates, keys, schema)
 
     def insert_missing(self, table: str, rows: DataFrame, keys) -> str:
         """Seed rows, keeping existing ones when the key is already there."""
@@ -255,6 +269,37 @@ class Store:
         return h.hexdigest()[:16]
 
 
+#: Types that hold every value of the types to their left.
+WIDER = ["int", "bigint", "double"]
+
+
+class SchemaConflict(ValueError):
+    """Rows that the stored table can't take without losing values."""
+
+
+def merged_schema(old: StructType, new: StructType) -> StructType:
+    """The columns of both, each with the wider type; a column whose types
+    can't be merged is refused."""
+    fields = {f.name: f for f in old.fields}
+    for f in new.fields:
+        have = fields.get(f.name)
+        if have is None or have.dataType == f.dataType:
+            fields.setdefault(f.name, f)
+            continue
+        kinds = [have.dataType.simpleString(), f.dataType.simpleString()]
+        if not set(kinds) <= set(WIDER):
+            raise SchemaConflict(f"column {f.name}: {kinds[1]} can't be merged into {kinds[0]}")
+        if WIDER.index(kinds[1]) > WIDER.index(kinds[0]):
+            fields[f.name] = f
+    return StructType(list(fields.values()))
+
+
+def as_schema(df: DataFrame, schema: StructType) -> DataFrame:
+    """Columns and types of ``schema``; a column that ``df`` lacks is null."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def last_by_key(df: DataFrame, keys, order_by) -> DataFrame:
     """One row per key: the last by ``order_by``; of rows alike in that, the
     largest by the other columns, so that the result doesn't depend on the

@@ -127,7 +127,7 @@ def test_contract_schema_and_values(spark):
     assert any("Missing required columns: status" in i for i in issues)
     assert any("points has 1 values below minimum 0" in i for i in issues)
     laps = _row(spark, "laps", LAP, compound="PURPLE")
-    assert [r.issue for r in QC.validate(laps, "laps").collect()] == ["compound has unexpected values: ['PURPLE']"]
+    assert [r.issue for r in QC.validate(laps, "laps").collect()] == ["compound has unexpected value 'PURPLE' in 1 rows"]
     assert [r.issue for r in QC.validate(bad, "nope").collect()] == ["No schema contract defined for nope"]
 
 
