@@ -106,6 +106,52 @@ def schema_drift(spark: SparkSession, stored: dict[str, DataFrame | None]) -> Da
     return spark.createDataFrame(rows, "table string, column string, issue string")
 
 
+def version_drift(store, table: str, old: str | None = None, new: str | None = None) -> DataFrame:
+    """What changed between two stored versions of a table (the last two
+    unless named): table, column, issue, old_rows, new_rows. The schemas are
+    those the versions' files were written with; the counts say how many rows
+    of either version a reader with the other schema would misread."""
+    vs = store.versions(table)
+    old, new = old or vs[-2:][0], new or vs[-1]
+    a, b = store.read(table, version=old), store.read(table, version=new)
+    was, now = ({f.name: f.dataType.simpleString() for f in x.schema.fields} for x in (a, b))
+    rows = ([(c, "column added") for c in now if c not in was] + [(c, "column removed") for c in was if c not in now]
+            + [(c, f"type {was[c]} -> {now[c]}") for c in was if c in now and was[c] != now[c]])
+    issues = store.spark.createDataFrame([(table, c, i) for c, i in rows], "table string, column string, issue string")
+    n = [x.agg(F.count(F.lit(1))).scalar() for x in (a, b)]  # scalar subqueries
+    return issues.select("*", n[0].alias("old_rows"), n[1].alias("new_rows"))
+
+
+def load_rounds(store, table: str, rounds: DataFrame, source: DataFrame, keys: list[str], by: str, stop_after: int | None = None) -> int:
+    """Load the pending rounds season by season and return how many seasons
+    were done; each season's ledger rows are written after its data is
+    committed. A run that stops anywhere is taken up where it was: a season
+    whose data is there without its ledger rows is replaced as a whole.
+
+    ``rounds``: dataset, year, round (the work); ``source``: the rows, with
+    ``year`` and ``round``; ``keys``: columns of a round in the table.
+    """
+    spark = store.spark
+    empty = spark.createDataFrame([], LEDGER_SCHEMA)
+    ledger = store.read("ledger") if store.exists("ledger") else empty
+    pending = ledger_pending(rounds, ledger)
+    years = sorted(r[0] for r in pending.select("year").distinct().collect())  # a row per season
+    for done, year in enumerate(years):
+        if done == stop_after:
+            return done
+        due = pending.filter(F.col("year") == year)
+        rows = source.filter(F.col("year") == year).join(due.select("year", "round"), ["year", "round"], "left_semi")
+        rows = rows.drop("round") if "round" not in keys else rows
+        if store.exists(table):
+            store.replace_slice(table, rows, keys[0])
+        else:
+            store.write_full(table, rows, by)
+        have = source.filter(F.col("year") == year).select("year", "round").distinct()
+        state = due.join(have.withColumn("state", F.lit("done")), ["year", "round"], "left")
+        store.append_rows("ledger", state.select("dataset", "year", "round", F.coalesce("state", F.lit("skipped")).alias("state")))
+    return len(years)
+
+
 class RunLog:
     """Pipeline run ledger in the store: one row per run (start, end,
     status, source, mode) and one per loaded table; the latest state of a

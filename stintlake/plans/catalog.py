@@ -121,6 +121,7 @@ def registry() -> dict[str, Entry]:
         "quality_checks": _on_star(C.quality_checks),
         "quality_report": _on_star(C.quality_report),
         "contract_issues": _on_star(C.contract_issues),
+        "enum_values": _on_star(C.enum_values),
         "column_tests": _on_star(C.column_tests),
         # ingest: landed nested documents -> flatten -> transform
         "flatten_results_json": _on_star(G.flatten_results_json),
@@ -128,10 +129,17 @@ def registry() -> dict[str, Entry]:
         "flatten_pit_stops_json": _on_star(G.flatten_pit_stops_json),
         "flatten_standings_json": _on_star(G.flatten_standings_json),
         "flatten_races_json": _on_star(G.flatten_races_json),
+        "flatten_constructor_standings_json": _on_star(G.flatten_constructor_standings_json),
+        "flatten_circuits_json": _on_star(G.flatten_circuits_json),
+        "flatten_seasons_json": _on_star(G.flatten_seasons_json),
+        "flatten_constructors_json": _on_star(G.flatten_constructors_json),
+        "flatten_drivers_json": _on_star(G.flatten_drivers_json),
+        "broken_documents": _on_star(G.broken_documents),
         "ref_dropout": _on_star(G.ref_dropout),
         "laps_from_sessions": _on_star(G.laps_from_sessions),
         "pipeline_quality": _on_star(G.pipeline_quality),
         "pipeline_summary": _on_star(G.pipeline_summary),
+        "pipeline_marts": _on_star(G.pipeline_marts),
         "rounds_by_year": _on_star(G.rounds_by_year),
         # loads, ledgers, streaming
         "upsert_results": _on_star(LD.upsert_results),
@@ -142,6 +150,7 @@ def registry() -> dict[str, Entry]:
         "team_slice_sizes": _on_star(LD.team_slice_sizes),
         "dry_run_preview": _on_star(LD.dry_run_preview),
         "run_log": _on_star(LD.run_log),
+        "resume_load": _on_star(LD.resume_load),
         "schema_drift": _on_star(LD.schema_drift),
         "duplicate_keys_lineitem": _raw(_duplicate_keys_lineitem),
     }

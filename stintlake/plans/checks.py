@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stintlake.operators import quality as QC
-from stintlake.plans import marts as D
+from stintlake.plans.mart_graph import GRAPH, tests
 from stintlake.sources.binding import season_span
 from stintlake.schemas import SCHEMAS
 
@@ -25,28 +26,37 @@ def quality_report(t, start_year: int | None = None, end_year: int | None = None
     return QC.run_checks(t, *_range(t, start_year, end_year))
 
 
+def _with_faults(t) -> dict[str, DataFrame]:
+    """The star tables, four of them with faults that a contract must find:
+    points below zero, compounds that aren't listed, a column that is missing
+    and one of another type."""
+    tables = {n: getattr(t, n) for n in t._NAMES if n in SCHEMAS}
+    tables["results"] = t.results.withColumn("points", F.when(F.col("driver_id") % 10 == 3, -1 - F.col("points")).otherwise(F.col("points")))
+    tables["laps"] = t.laps.withColumn("compound", F.when((F.col("race_id") + F.col("lap_number")) % 40 == 0, F.concat(
+        F.lit("slick_"), (F.col("driver_id") % 50).cast("string"))).otherwise(F.col("compound")))
+    tables["circuits"] = t.circuits.drop("url")
+    tables["drivers"] = t.drivers.withColumn("driver_number", F.col("driver_number").cast("string"))
+    return tables
+
+
 def contract_issues(t) -> DataFrame:
-    """Q10–Q15: contract issues of every star table (schema and value rules)."""
+    """Q10–Q15: contract issues of every star table (schema and value rules),
+    four tables with faults put in."""
     out = None
-    for name in t._NAMES:
-        if name in SCHEMAS:
-            v = QC.validate(getattr(t, name), name)
-            out = v if out is None else out.unionByName(v)
+    for name, df in _with_faults(t).items():
+        v = QC.validate(df, name)
+        out = v if out is None else out.unionByName(v)
     return out
 
 
+def enum_values(t) -> DataFrame:
+    """The compounds outside the contract's list, with their rows."""
+    return QC.enum_findings(_with_faults(t)["laps"], "laps")
+
+
 def column_tests(t) -> DataFrame:
     """The model tests of the staging and mart layer (not_null / unique)."""
-    parts = [
-        QC.column_tests(D.stg_results(t), "stg_results",
-                        not_null=["race_id", "driver_id", "constructor_id", "points"]),
-        QC.column_tests(D.stg_races(t), "stg_races", not_null=["race_id", "season"], unique=["race_id"]),
-        QC.column_tests(D.stg_drivers(t), "stg_drivers", not_null=["driver_id", "driver_name"],
-                        unique=["driver_id"]),
-        QC.column_tests(D.mart_driver_summary(t), "driver_summary", not_null=["driver_name", "points"],
-                        unique=["driver_name"]),
-        QC.column_tests(D.mart_pit_stop_efficiency(t), "pit_stop_efficiency", not_null=["avg_stop_ms"]),
-    ]
+    parts = [tests(node.build(t), name.removeprefix("mart_"), node) for name, node in GRAPH.items() if node.not_null or node.unique]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

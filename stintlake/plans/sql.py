@@ -32,17 +32,3 @@ def execute_query(spark: SparkSession, star, text: str, params: dict | None = No
     return spark.sql(text, args=params or {})
 
 
-def materialize_marts(star, store, cid=None) -> dict[str, str]:
-    """Staging stays as views; marts are written as store tables."""
-    from stintlake.plans import marts as D
-
-    out = {}
-    for name, fn in [("driver_summary", D.mart_driver_summary), ("pit_stop_efficiency", D.mart_pit_stop_efficiency),
-                     ("championship_progression", D.mart_championship_progression),
-                     ("qualifying_vs_race", D.mart_qualifying_vs_race)]:
-        out[name] = store.write_full(f"mart_{name}", fn(star, cid))
-    for name, fn in [("stg_results", D.stg_results), ("stg_races", D.stg_races), ("stg_drivers", D.stg_drivers),
-                     ("stg_pit_stops", D.stg_pit_stops), ("stg_qualifying", D.stg_qualifying),
-                     ("stg_constructor_standings", D.stg_constructor_standings)]:
-        fn(star).createOrReplaceTempView(name)
-    return out

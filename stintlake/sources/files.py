@@ -38,15 +38,20 @@ def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "c
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def read_csv_strings(spark: SparkSession, path: str, columns: list[str], notes: list | None = None) -> DataFrame:
+def read_csv_strings(spark: SparkSession, path: str, columns: list[str], notes: list | None = None,
+                     seq: str | None = None) -> DataFrame:
     """A raw CSV read by header name, every column as STRING (coercion
     happens in the transform jobs, where bad values become null and are
     counted). Expected columns absent from the file are added as null;
-    columns are matched by name, not position."""
+    columns are matched by name, not position. ``seq`` names a column to add
+    with each row's place in its files (file, split, row), which orders them."""
     from pyspark.sql import functions as F
     from pyspark.sql.types import StringType, StructField
 
+    place = F.struct(F.lit("").alias("file"), F.lit(0).cast("long").alias("split"), F.lit(0).cast("long").alias("row"))
     schema = StructType([StructField(c, StringType(), True) for c in columns])
+    if seq:
+        schema = schema.add(spark.range(0).select(place.alias(seq)).schema[0])
     size = input_size(spark, path)
     if not size:
         if notes is not None:
@@ -58,7 +63,11 @@ def read_csv_strings(spark: SparkSession, path: str, columns: list[str], notes:
         if notes is not None:
             notes.append(f"{path} has no expected columns.")
         return spark.createDataFrame([], schema)
-    return df.select(*[(F.col(c) if c in have else F.lit(None)).cast("string").alias(c) for c in columns])
+    out = [(F.col(c) if c in have else F.lit(None)).cast("string").alias(c) for c in columns]
+    if seq:
+        at = F.col("_metadata")
+        out.append(F.struct(at.file_path.alias("file"), at.file_block_start.alias("split"), F.monotonically_increasing_id().alias("row")).alias(seq))
+    return df.select(*out)
 
 
 def export_csv(df: DataFrame, path: str) -> str:

@@ -23,17 +23,20 @@ def _list_or_object(items: Column) -> Column:
     return F.when(F.size(items) == 1, F.to_json(F.element_at(items, 1))).otherwise(F.to_json(items))
 
 
+def _race() -> Column:
+    return F.struct(
+        _str("year").alias("season"), _str("round").alias("round"), F.col("race_name").alias("raceName"),
+        _str("race_date").alias("date"), F.concat(F.col("race_time"), F.lit("Z")).alias("time"),
+        F.col("url"), F.struct(F.col("circuit_ref").alias("circuitId")).alias("Circuit"))
+
+
 def race_documents(t, list_name: str, entries: DataFrame, entry: Column) -> DataFrame:
     """One document per race: ``RaceTable.Races[0]`` carries the race and
     its ``list_name`` entries (list, or bare object for one entry)."""
     races = t.races.join(t.circuits.select("circuit_id", "circuit_ref"), "circuit_id", "left")
     per_race = entries.groupBy("race_id").agg(F.collect_list(entry).alias("items"))
-    race = F.struct(
-        _str("year").alias("season"), _str("round").alias("round"), F.col("race_name").alias("raceName"),
-        _str("race_date").alias("date"), F.concat(F.col("race_time"), F.lit("Z")).alias("time"),
-        F.col("url"), F.struct(F.col("circuit_ref").alias("circuitId")).alias("Circuit"))
     docs = races.join(per_race, "race_id", "inner").select(
-        F.to_json(race).alias("race_json"), _list_or_object(F.col("items")).alias("items_json"))
+        F.to_json(_race()).alias("race_json"), _list_or_object(F.col("items")).alias("items_json"))
     # splice the entries into the race object: {...race..., "<list>": <items>}
     race_obj = F.concat(F.expr("substring(race_json, 1, length(race_json) - 1)"),
                         F.lit(',"' + list_name + '":'), F.col("items_json"), F.lit("}"))
@@ -41,6 +44,44 @@ def race_documents(t, list_name: str, entries: DataFrame, entry: Column) -> Data
                                 F.lit("]}}}")).alias("value"))
 
 
+def schedule_documents(t, keep: tuple = ()) -> DataFrame:
+    """One document per race of the calendar, whether it has entries or not;
+    ``keep`` names race columns to return beside it."""
+    races = t.races.join(t.circuits.select("circuit_id", "circuit_ref"), "circuit_id", "left")
+    return races.select(*keep, F.concat(F.lit('{"MRData":{"total":"1","RaceTable":{"Races":['), F.to_json(_race()), F.lit("]}}}")).alias("value"))
+
+
+#: Items of a page of documents.
+PAGE = 30
+
+
+def _pages(items: DataFrame, table: str, list_name: str, key: str, item: Column) -> DataFrame:
+    """Pages of a listing: at most PAGE items (rows with neighbouring keys) a document."""
+    pages = items.groupBy(F.floor(F.col(key) / PAGE).alias("page")).agg(F.collect_list(F.to_json(item)).alias("items"))
+    return pages.select(F.concat(F.lit('{"MRData":{"' + table + '":{"' + list_name + '":['), F.array_join("items", ","), F.lit("]}}}")).alias("value"))
+
+
+def circuit_documents(t) -> DataFrame:
+    place = F.struct(_str("lat").alias("lat"), _str("lng").alias("long"), F.col("location").alias("locality"), F.col("country"))
+    return _pages(t.circuits, "CircuitTable", "Circuits", "circuit_id", F.struct(
+        F.col("circuit_ref").alias("circuitId"), F.col("circuit_name").alias("circuitName"), F.col("url"), place.alias("Location")))
+
+
+def season_documents(t) -> DataFrame:
+    return _pages(t.seasons, "SeasonTable", "Seasons", "year", F.struct(_str("year").alias("season"), F.col("url")))
+
+
+def constructor_documents(t) -> DataFrame:
+    return _pages(t.constructors, "ConstructorTable", "Constructors", "constructor_id", F.struct(
+        F.col("constructor_ref").alias("constructorId"), F.col("constructor_name").alias("name"), "nationality", "url"))
+
+
+def driver_documents(t) -> DataFrame:
+    return _pages(t.drivers, "DriverTable", "Drivers", "driver_id", F.struct(
+        F.col("driver_ref").alias("driverId"), "code", F.col("forename").alias("givenName"), F.col("surname").alias("familyName"),
+        _str("dob").alias("dateOfBirth"), "nationality", "url"))
+
+
 def results_documents(t) -> DataFrame:
     res = t.results.join(t.drivers.select("driver_id", "driver_ref"), "driver_id") \
         .join(t.constructors.select("constructor_id", "constructor_ref"), "constructor_id")
@@ -127,7 +168,7 @@ def raw_csv_tables(t) -> dict[str, DataFrame]:
         "circuits": t.circuits.orderBy("circuit_id").drop("circuit_id"),
         "seasons": t.seasons.orderBy("year"),
         "constructors": t.constructors.orderBy("constructor_id"),
-        "drivers": t.drivers.orderBy("driver_id"),
+        "drivers": t.drivers,
         "races": t.races.join(c, "circuit_id", "left").select(
             "race_id", "year", "round", "circuit_ref", "race_name", "race_date", "race_time", "url"),
         "results": t.results.join(d, "driver_id").join(k, "constructor_id").drop("driver_id", "constructor_id"),
@@ -147,7 +188,8 @@ def land_csv(t, name: str = "raw") -> str:
     spark = t.results.sparkSession
     root = _landing_path(spark, name, getattr(t, "key", None))
     for table, df in raw_csv_tables(t).items():
-        w = df.coalesce(1) if table in ("circuits", "seasons", "constructors", "drivers") else df
+        # tables as long as the calendar or the list of teams: one file each, in order
+        w = df.coalesce(1) if table in ("circuits", "seasons", "constructors") else df
         write_once(spark, f"{root}/{table}.csv", lambda p, w=w: w.write.option("header", True).csv(p))
     return root
 

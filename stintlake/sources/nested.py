@@ -32,17 +32,39 @@ def read_documents(spark: SparkSession, path: str, whole_file: bool = False) ->
     return spark.read.text(path, wholetext=whole_file).select(F.input_file_name().alias("path"), "value")
 
 
+def checked_documents(docs: DataFrame, text_col: str = "value") -> DataFrame:
+    """``docs`` with ``broken``: null for a document that can be flattened,
+    else why not. One pass over the text; nothing is dropped here."""
+    doc = F.from_json(F.col(text_col), _TXT)
+    mr = F.from_json(doc["MRData"], _TXT)
+    table = F.get(F.filter(F.map_keys(mr), lambda k: k.endswith("Table")), F.lit(0))
+    why = (F.when(F.trim(F.coalesce(F.col(text_col), F.lit(""))) == "", "empty")
+           .when(doc.isNull() | (F.size(F.map_keys(doc)) == 0), "not JSON")
+           .when(mr.isNull(), "no envelope").when(table.isNull(), "no table")
+           .when(F.from_json(mr[table], _TXT).isNull(), "table not JSON"))
+    return docs.withColumn("broken", why)
+
+
+def land_checked(spark: SparkSession, docs: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Write ``docs`` once, by whether they are broken, and return the good
+    ones and the broken ones (with ``broken``, the reason). Both are read from
+    the same written files, so every document is in one of them."""
+    why = checked_documents(docs)
+    why.withColumn("state", F.when(F.col("broken").isNull(), "good").otherwise("broken")).write.partitionBy("state").parquet(path)
+    back = spark.read.schema(why.withColumn("state", F.lit("")).schema).parquet(path)
+    return back.filter("state = 'good'").drop("state", "broken"), back.filter("state = 'broken'").drop("state")
+
+
 def table_items(docs: DataFrame, table: str, item_schema: StructType, text_col: str = "value") -> DataFrame:
     """Unwrap ``MRData.<table>`` (else the first key ending in ``Table``),
     take the first list inside it and explode its items (parsed with
     ``item_schema``). A single object in place of the list counts as a
     one-item list; a document without the envelope yields no rows."""
     mr = F.from_json(F.from_json(F.col(text_col), _TXT)["MRData"], _TXT)
-    any_table = F.element_at(F.filter(F.map_keys(mr), lambda k: k.endswith("Table")), 1)
+    any_table = F.get(F.filter(F.map_keys(mr), lambda k: k.endswith("Table")), F.lit(0))
     table_txt = F.coalesce(mr[table], mr[any_table])
     tmap = F.from_json(table_txt, _TXT)
-    first_list = F.element_at(
-        F.filter(F.map_values(tmap), lambda v: F.ltrim(v).startswith("[")), 1)
+    first_list = F.get(F.filter(F.map_values(tmap), lambda v: F.ltrim(v).startswith("[")), F.lit(0))
     items = as_list(first_list, item_schema)
     return docs.select("*", F.explode(items).alias("item")).drop(text_col)
 
@@ -89,8 +111,7 @@ QUALI = _nested({"number": None, "position": None, "Q1": None, "Q2": None, "Q3":
 PIT = _s("driverId", "stop", "lap", "time", "duration")
 STANDINGS_LIST = _nested({"season": None, "round": None, "DriverStandings": None,
                           "ConstructorStandings": None})
-STANDING = _nested({"position": None, "positionText": None, "points": None, "wins": None,
-                    "Driver": {"driverId": None}, "Constructor": {"constructorId": None}})
+STANDING = {"position": None, "positionText": None, "points": None, "wins": None}
 
 
 def _int(c) -> Column:
@@ -227,21 +248,17 @@ def flatten_standings(docs: DataFrame, entries_key: str = "DriverStandings",
     rnd = F.coalesce(_int(sl["round"]), F.lit(0))
     per = it.filter(rnd > 0).select(
         _race_id(sl.season, sl["round"]),
-        F.explode(as_list(sl[entries_key], STANDING)).alias("e"))
+        F.explode(as_list(sl[entries_key], _nested(STANDING | {entity_key: {id_attr: None}}))).alias("e"))
     e = F.col("e")
     return per.select(
         "race_id",
-        F.coalesce(e[entity_key][_id_field(entity_key)], F.lit("")).alias(ref_field),
+        F.coalesce(e[entity_key][id_attr], F.lit("")).alias(ref_field),
         F.coalesce(F.trim(e.points).try_cast("double"), F.lit(0.0)).alias("points"),
         F.coalesce(_int(e.position), F.lit(0)).alias("position"),
         F.coalesce(e.positionText, F.lit("")).alias("position_text"),
         F.coalesce(_int(e.wins), F.lit(0)).alias("wins"))
 
 
-def _id_field(entity_key: str) -> str:
-    return "driverId" if entity_key == "Driver" else "constructorId"
-
-
 def rounds_by_year(races: DataFrame, start_year: int, end_year: int) -> DataFrame:
     """The distinct rounds of each season in range, in long form
     (year, round) sorted; a season's round list is never gathered into

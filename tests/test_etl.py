@@ -273,7 +273,7 @@ def test_absent_table_reads_empty_with_schema(spark, tmpdir_path):
 
 
 def test_parameterised_sql_and_marts(spark, tmpdir_path):
-    from stintlake.plans.sql import DRIVERS_OF_TEAMS, TEAM_SEASONS, execute_query, materialize_marts
+    from stintlake.plans.sql import DRIVERS_OF_TEAMS, TEAM_SEASONS, execute_query
     from tests.fixtures import model_star
 
     star = model_star(spark)
@@ -282,7 +282,9 @@ def test_parameterised_sql_and_marts(spark, tmpdir_path):
     got = execute_query(spark, star, DRIVERS_OF_TEAMS, {"refs": F.array(F.lit("red_bull"))}).collect()
     assert sorted(x.driver_id for x in got) == [1, 2]
     st = Store(spark, f"{tmpdir_path}/marts")
-    materialize_marts(star, st, 9)
+    from stintlake.plans.mart_graph import build_marts
+
+    assert {r.status for r in build_marts(star, st, 9).collect()} == {"ok"}
     assert st.read("mart_driver_summary").count() == 2
 
 

@@ -75,3 +75,35 @@ def test_empty_partitioned_table(spark, tmpdir_path):
     assert st.read("t").count() == 9
     st.merge_upsert("t", _rows(spark).limit(0), ["race_id"], "status")
     assert st.read("t").count() == 9
+
+
+def test_strict_check_keeps_a_version_invisible(spark, tmpdir_path):
+    st = Store(spark, tmpdir_path)
+    st.write_full("t", _rows(spark, 9), partition_by="year")
+
+    def refuse():
+        raise ValueError("no")
+
+    for by in ("year", None):
+        try:
+            st.write_full("t", _rows(spark, 20), by, check=refuse)
+        except ValueError:
+            pass
+    assert st.read("t").count() == 9 and len(st.versions("t")) == 1
+
+
+def test_evolving_upsert(spark, tmpdir_path):
+    import pytest
+
+    from stintlake.operators.ledger import version_drift
+    from stintlake.sources.store import SchemaConflict
+    st = Store(spark, tmpdir_path)
+    st.write_full("t", spark.createDataFrame([(1, 2000, 5), (2, 2001, 6)], "id long, year int, n int"), "year")
+    more = spark.createDataFrame([(2, 2001, 6.5, "x")], "id long, year int, n double, note string")
+    st.merge_upsert("t", more, ["id"], "n", evolve=True)
+    assert sorted((r.id, r.n, r.note) for r in st.read("t").collect()) == [(1, 5.0, None), (2, 6.5, "x")]
+    got = {tuple(r) for r in version_drift(st, "t").collect()}
+    assert got == {("t", "n", "type int -> double", 2, 2), ("t", "note", "column added", 2, 2)}
+    st.merge_upsert("t", more.drop("note"), ["id"], "n", evolve=True)  # without a column the row has null there
+    with pytest.raises(SchemaConflict):
+        st.merge_upsert("t", more.withColumn("n", F.lit("text")), ["id"], "note", evolve=True)
