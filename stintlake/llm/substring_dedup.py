@@ -23,6 +23,7 @@ results.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,6 +40,7 @@ WINDOW, ANCHOR = 13, 7
 BLOCK_CHARS, BUCKET_CHARS = 6 << 20, 24 << 20
 #: Bits of a run's hash that are sent, besides those that name its bucket.
 BITS = 30
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -203,7 +205,7 @@ def _cut(buckets: int, full: bool, names: list[str]):
                 own_keep = keep[first:first + n]
                 kept = words if own_keep.all() else [x for x, k in zip(words, own_keep.tolist(), strict=True) if k]
                 if full:
-                    result = (text if len(kept) == n else b" ".join(kept)).decode()
+                    result = (text if len(kept) == n else without(text, own_keep.tolist())).decode()
                 else:
                     result = hashlib.sha256(b" ".join(kept)).hexdigest()
                 out.append((doc_id, n, n - len(kept), result, *[c[i] for c in carried]))
@@ -213,6 +215,20 @@ def _cut(buckets: int, full: bool, names: list[str]):
     return run
 
 
+def without(text: bytes, keep: list[bool]) -> bytes:
+    """The text without its words that aren't to be kept, each with the white
+    space after it; what is between other words stays as it is."""
+    out, at = [], 0
+    for m, kept in zip(_WORD.finditer(text), keep, strict=True):
+        if at == -1:
+            at = m.start()
+        if not kept:
+            out.append(text[at:m.start()])
+            at = -1
+            end = m.end()
+    return b"".join([*out, text[end if at == -1 else at:]])
+
+
 def _remove(docs: DataFrame, doc_id: str, text: str, full: bool, carry: list[str]) -> DataFrame:
     spark = docs.sparkSession
     d = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text"), *[docs[c].alias(f"carry_{c}") for c in carry])
@@ -238,9 +254,9 @@ def dedup_digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 
 def dedup_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """Per row: doc_id, n_words, n_removed and kept: the text as it was if
-    nothing goes, else the kept words joined by one space. ``carry`` names
-    string columns to take along."""
+    """Per row: doc_id, n_words, n_removed and kept: the text without the
+    removed words and the white space after each, so that line and paragraph
+    breaks between others stay. ``carry`` names string columns to take along."""
     names = carry or []
     return _remove(docs, doc_id, text, True, names).select(
         "doc_id", "n_words", "n_removed", "kept", *[F.col(f"carry_{c}").alias(c) for c in names])

@@ -132,3 +132,11 @@ def test_empty_tables(spark, tmpdir_path):
     none = brute.stored(spark, [], f"{tmpdir_path}/d")
     for f in (substring_dedup.dedup_digests, suffix_dedup.dedup, jaccard_join.join, multiset_hash.with_edited):
         assert f(none).count() == 0
+
+
+def test_cut_texts_keep_their_breaks():
+    text = b"  a b\n\nc d\te\x0bf  g\n"
+    assert substring_dedup.without(text, [True] * 7) == text
+    assert substring_dedup.without(text, [True, True, False, False, True, True, True]) == b"  a b\n\ne\x0bf  g\n"
+    assert substring_dedup.without(text, [False, True, True, True, True, False, False]) == b"  b\n\nc d\te\x0b\n"
+    assert substring_dedup.without(text, [False] * 7) == b"  \n" and substring_dedup.without(b"", []) == b""

@@ -108,3 +108,15 @@ def test_many_like_runs_do_not_wrap(spark):
     near = [r["near_edited"] for r in multiset_hash.with_edited(rows).collect()]
     # of each text two thirds are left: |a - b|^2 / (|a|^2 + |b|^2) with a third exchanged
     assert all(0.85 <= x <= 0.98 for x in near), near
+
+
+def test_shared_stems_and_everyday_words(spark, tmpdir_path):
+    """A stem that a series of items shares tells nothing; an item of one word isn't looked for."""
+    stem = "a train leaves the station at noon and travels along the coast for several hours until it"
+    tails = [f"{a} {b}" for a in ("reaches", "passes", "leaves", "misses") for b in ("town", "port", "bridge", "tunnel", "forest")]
+    items = [(i, f"{stem} {t} where the {t.split()[1]} guard waits for all of them") for i, t in enumerate(tails)] + [(50, "the"), (51, "train station")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "I know that " + stem + " stops."), (2, "so " + items[7][1]), (3, "the train station is the place"), (4, "clean words only")]
+    docs = brute.stored(spark, rows, f"{tmpdir_path}/d")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, bench).collect()} == {(2, 7)}
+    assert sorted(tuple(r) for r in decontaminate.too_short(bench).collect()) == [(50, 1), (51, 2)]
