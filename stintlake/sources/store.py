@@ -180,9 +180,10 @@ class Store:
         ``schema`` differs from theirs, all are."""
         held = self._parts(table)
         target = self.read(table)
+        rows = rows if schema is None else as_schema(rows, schema)
         if schema is not None and {(f.name, f.dataType) for f in schema.fields} != {(f.name, f.dataType) for f in target.schema.fields}:
             kept = target.join(out.select(*on).distinct(), on, "left_anti")
-            return self._commit(table, as_schema(kept, schema).unionByName(as_schema(rows, schema)), held["by"] if held else None)
+            return self._commit(table, as_schema(kept, schema).unionByName(rows), held["by"] if held else None)
         if held is None:
             return self._commit(table, target.join(out.select(*on).distinct(), on, "left_anti").unionByName(rows.select(*target.columns)))
         by = held["by"]
