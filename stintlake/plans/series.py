@@ -202,22 +202,35 @@ def stint_bars(t, cid=None) -> DataFrame:
         "stint_laps", "finish_pos", "driver_rank")
 
 
+def _raced(t, cid=None) -> DataFrame:
+    """Team, driver, year, round, pts and position_order of every start of a known driver."""
+    res = team_filter(t.results, cid).select("race_id", "driver_id", TEAM, "points", "position_order")
+    return (res.join(t.races.select("race_id", "year", "round"), "race_id", "inner")
+            .join(t.drivers.select("driver_id"), "driver_id", "left_semi")
+            .withColumn("pts", F.coalesce(F.col("points"), F.lit(0.0))))
+
+
+def _driver_seasons(raced: DataFrame) -> DataFrame:
+    """Starts, retirements and points per team, driver and season. The points
+    are the season's total, which is the largest running total too, as a
+    result's points aren't negative (a rule of the contract)."""
+    return raced.groupBy(TEAM, "driver_id", "year").agg(
+        F.count(F.lit(1)).alias("starts"), F.count_if(F.col("position_order").cast("int") >= 999).alias("dnf_starts"), F.sum("pts").alias("points"))
+
+
 def kpi_block(t, cid=None, min_races: int = 10) -> DataFrame:
     """One row of headline figures per team: starts, races, drivers,
     seasons, wins, podiums, poles, front-row starts, average and best
     finish, points (sum over driver-seasons of the season maximum), win and
     podium rates, reliability (from the retirement model, else from the
     starts)."""
-    k1 = round_by_round(t, cid)
     gf = grid_finish(t, cid)
-    a = k1.groupBy(TEAM).agg(
-        F.count(F.lit(1)).alias("starts"),
-        F.count_distinct("year", "round").alias("races"),
-        F.count_distinct("driver_id").alias("drivers"),
-        F.count_distinct("year").alias("seasons"),
-        F.count_if(F.col("position") >= 999).alias("dnf_starts"))
-    pts = (k1.groupBy(TEAM, "driver_id", "year").agg(F.max("points").alias("m"))
-           .groupBy(TEAM).agg(F.sum("m").alias("total_points")))
+    raced = _raced(t, cid)
+    # distinct drivers and seasons are counted among the driver-seasons, races among the team's races
+    a = _driver_seasons(raced).groupBy(TEAM).agg(
+        F.sum("starts").alias("starts"), F.count_distinct("driver_id").alias("drivers"), F.count_distinct("year").alias("seasons"),
+        F.sum("dnf_starts").alias("dnf_starts"), F.sum("points").alias("total_points"))
+    met = raced.select(TEAM, "year", "round").distinct().groupBy(TEAM).agg(F.count(F.lit(1)).alias("races"))
     g = gf.groupBy(TEAM).agg(
         F.count_if(F.col("finish") == 1).alias("wins"),
         F.count_if(F.col("finish") <= 3).alias("podiums"),
@@ -227,7 +240,7 @@ def kpi_block(t, cid=None, min_races: int = 10) -> DataFrame:
         F.min("finish").alias("best_finish"))
     rel = M.dnf_counts(t, cid=cid, min_races=min_races).groupBy(TEAM).agg(
         F.sum("dnfs").alias("m_dnfs"), F.sum("races").alias("m_races"))
-    out = a.join(pts, TEAM, "left").join(g, TEAM, "left").join(rel, TEAM, "left")
+    out = a.join(met, TEAM).join(g, TEAM, "left").join(rel, TEAM, "left")
     z = F.lit(0).cast("bigint")
     wins, pods = F.coalesce("wins", z), F.coalesce("podiums", z)
     reliability = (F.when(F.coalesce("m_races", z) > 0, 100.0 * (1 - F.col("m_dnfs") / F.col("m_races")))
@@ -247,9 +260,8 @@ def kpi_block(t, cid=None, min_races: int = 10) -> DataFrame:
 def ticker(t, cid=None) -> DataFrame:
     """Per driver wins, podiums, poles, average finish and points
     (sum of season maxima), ordered by points."""
-    k1 = round_by_round(t, cid)
-    pts = (k1.groupBy(TEAM, "driver_id", "driver", "year").agg(F.max("points").alias("m"))
-           .groupBy(TEAM, "driver_id", "driver").agg(F.sum("m").alias("points")))
+    pts = _driver_seasons(_raced(t, cid)).groupBy(TEAM, "driver_id").agg(F.sum("points").alias("points"))
+    pts = with_driver_name(pts, t.drivers, "driver")
     gf = grid_finish(t, cid).groupBy(TEAM, "driver_id").agg(
         F.count_if(F.col("finish") == 1).alias("wins"),
         F.count_if(F.col("finish") <= 3).alias("podiums"),
