@@ -21,6 +21,7 @@ import functools
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ LAYOUTS = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10,
 
 #: Text characters that a block of the files covers; cached words, and pieces of words, of a Python worker.
 BLOCK_CHARS = 4 << 20
-CACHE_WORDS, CACHE_PIECES = 500_000, 300_000
+CACHE_WORDS, CACHE_PIECES = 800_000, 500_000
 
 
 def _bits(v: np.ndarray) -> np.ndarray:
@@ -107,6 +108,26 @@ _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\\[-`{|}~]*)")
 _OTHER_SPACE = re.compile("[\x1c-\x1f]")
 
 
+class _Cache(dict):
+    """A bounded cache of two generations: what the younger one lacks is taken
+    over from the older one, so that frequent entries stay when it is full."""
+
+    def __init__(self, make):
+        self.make, self.before = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.before.get(key)
+        if found is None:
+            found = self.make(key)
+        self[key] = found
+        return found
+
+    def trim(self, most: int) -> None:
+        if len(self) > most // 2:
+            self.before = dict(self)
+            self.clear()
+
+
 @functools.cache
 def word_encoder(tokenizer_file: str):
     """A function from texts to their ids, one per worker and tokenizer.
@@ -123,43 +144,30 @@ def word_encoder(tokenizer_file: str):
     tok.no_truncation()
     tok.no_padding()
     kind = np.uint16 if tok.get_vocab_size() <= 1 << 16 else np.uint32
+    code = "H" if kind is np.uint16 else "I"
     model = tok.model
     alphabet = byte_alphabet()
-    words: dict[str, bytes] = {}
-    pieces: dict[str, bytes] = {"": b""}
+    plain = _PLAIN.fullmatch
 
     def piece(p: str) -> bytes:
-        found = pieces.get(p)
-        if found is None:
-            got = [t.id for t in model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(alphabet))]
-            found = pieces[p] = np.array(got, kind).tobytes()
-        return found
+        return array(code, [t.id for t in model.tokenize(p if p.isascii() else p.encode().decode("latin-1").translate(alphabet))]).tobytes()
+
+    pieces = _Cache(piece)
+
+    def word(w: str) -> bytes:
+        m = plain(w)
+        if not m:
+            return array(code, tok.encode(w, add_special_tokens=False).ids).tobytes()
+        letters, marks = m.groups()
+        return pieces[letters.lower()] + pieces[marks] if marks else pieces[letters.lower()]
 
-    def learn(new: set[str]) -> None:
-        rest = []
-        for w in new:
-            m = _PLAIN.fullmatch(w)
-            if m:
-                words[w] = piece(m[1].lower()) + piece(m[2])
-            else:
-                rest.append(w)
-        for i in range(0, len(rest), 20_000):
-            part = rest[i:i + 20_000]
-            for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                words[w] = np.array(e.ids, kind).tobytes()
+    words = _Cache(word)
 
     def encode_all(texts: list[str]) -> list[np.ndarray]:
+        words.trim(CACHE_WORDS)
+        pieces.trim(CACHE_PIECES)
         # Python's white space also has four separators that the tokenizer takes for symbols
-        cut = [t.split(" ") if _OTHER_SPACE.search(t) else t.split() for t in texts]
-        every = {w for ws in cut for w in ws}
-        new = every - words.keys()
-        if len(words) + len(new) > CACHE_WORDS:
-            words.clear()
-            new = every
-        if len(pieces) > CACHE_PIECES:
-            pieces.clear()
-            pieces[""] = b""
-        learn(new)
+        cut = (t.split(" ") if _OTHER_SPACE.search(t) else t.split() for t in texts)
         return [np.frombuffer(b"".join(map(words.__getitem__, ws)), kind) for ws in cut]
 
     return encode_all
