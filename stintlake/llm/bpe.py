@@ -13,6 +13,7 @@ encoded and returned. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import os
 import pickle
@@ -47,7 +48,9 @@ def words_of(text: str) -> list[str]:
     return [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+@functools.cache
 def _tokenizer(path: str):
+    """The tokenizer, loaded once per worker."""
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
