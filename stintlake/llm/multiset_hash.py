@@ -55,7 +55,8 @@ def fingerprints(df: DataFrame, keys: list[str], text: str, name: str = "fingerp
     runs = runs.select(*keys, "para", (F.coalesce("at", F.lit(0)) == 0).alias("first"),
                        *[F.when(F.col("run").isNotNull(), F.xxhash64(F.lit(64 + i), F.rtrim("run"))).alias(f"run{i}") for i in range(SIGNS // 64)])
     sums = runs.groupBy(*keys).agg(*_lanes())
-    lanes = [F.pmod(f"e{i}", F.lit(1 << 32)) for i in range(EQUAL)] + [F.pmod(f"s{i}", F.lit(WIDE)) for i in range(SIGNS)]
+    # the low bits of a sum are it modulo a power of two, also below zero
+    lanes = [F.col(f"e{i}").bitwiseAND(F.lit((1 << 32) - 1)) for i in range(EQUAL)] + [F.col(f"s{i}").bitwiseAND(F.lit(WIDE - 1)) for i in range(SIGNS)]
     return sums.select(*keys, F.array(*lanes).alias(name))
 
 
