@@ -150,3 +150,16 @@ def test_coerce_counts_lost_values(spark):
     rows = out.collect()
     assert [r.driver_id for r in rows] == [1, None] and rows[1].dob is None and rows[0].code == ""
     assert {r.column: r.lost for r in lost.collect()} == {"driver_id": 1, "dob": 1}
+
+
+def test_registered_gate_measures_its_year_range(spark):
+    """Seasons aren't taken from the races, so that one can lie outside and one
+    can be missing; a race outside must have results too."""
+    from stintlake.plans.checks import END_YEAR, START_YEAR, quality_checks
+
+    tables = quality_base(spark)
+    tables["races"] = tables["races"].unionByName(_row(spark, "races", RACE, race_id=197601, year=1976))
+    got = {r.check: r for r in quality_checks(Star(**tables)).collect()}
+    assert got["races_outside_year_range"].value == str(tables["races"].count()) and got["races_outside_year_range"].failed
+    assert got["missing_race_years"].value == ", ".join(map(str, range(START_YEAR, END_YEAR + 1)))
+    assert got["races_missing_results"].value == "1" and got["races_missing_qualifying"].value == "1"
