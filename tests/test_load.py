@@ -58,3 +58,23 @@ def test_dealt_rows_are_written_by_themselves(spark, tmpdir_path):
 def test_laps_of_a_race_are_added_up_before_they_meet_the_results(spark, tmpdir_path):
     t = load_star(spark, SF, root=f"{tmpdir_path}/sums")
     assert "partial_sum(sector1_s" in _plan(M.sector_means(t))
+
+
+def test_stints_read_earlier_seasons_for_teams_without_laps_in_the_last(spark, tmpdir_path):
+    t = load_star(spark, SF, root=f"{tmpdir_path}/stints")
+    read = []
+    t._tables["laps"] = t.laps  # opens the table
+    last, lone = t.races.agg(F.max("year")).first()[0], 3
+    laps = t.yearly("laps").join(t.results.select("race_id", "driver_id", "constructor_id"), ["race_id", "driver_id"])
+    kept = laps.filter((F.col("constructor_id") != lone) | (F.col("year") < last - 1)).drop("constructor_id")
+    t._by_year["laps"], t._tables["laps"] = kept, kept.drop("year")
+    got = {r.constructor_id: (r.year, r.race_id) for r in M.stints(t).collect()}
+    order = F.struct("year", "round")
+    want = (kept.select("race_id", "driver_id").distinct().join(t.results, ["race_id", "driver_id"]).join(t.races, "race_id")
+            .groupBy("constructor_id").agg(F.max_by(F.struct("year", "race_id"), order).alias("x")).collect())
+    assert got == {r.constructor_id: tuple(r.x) for r in want} and got[lone][0] < last - 1
+
+    opened = t.yearly
+    t.__dict__["yearly"] = lambda name: read.append(name) or opened(name)
+    M.stints(t, cid=[c for c in got if c != lone])
+    assert read.count("laps") == 2  # the last season's keys, and the picked races
