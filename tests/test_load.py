@@ -78,3 +78,15 @@ def test_stints_read_earlier_seasons_for_teams_without_laps_in_the_last(spark, t
     t.__dict__["yearly"] = lambda name: read.append(name) or opened(name)
     M.stints(t, cid=[c for c in got if c != lone])
     assert read.count("laps") == 2  # the last season's keys, and the picked races
+
+
+def test_laps_get_their_year_with_the_driver(spark):
+    from stintlake.sources.landing import lap_sessions
+    from stintlake.sources.laps import laps_from_sessions, team_race_codes
+    from stintlake.sources.binding import with_year
+
+    t = bind(spark, SF)
+    codes = team_race_codes(t.results, t.drivers)
+    laps = laps_from_sessions(lap_sessions(t), with_year(codes, t.races))
+    want = with_year(laps_from_sessions(lap_sessions(t), codes), t.races).collect()
+    assert laps.columns[-1] == "year" and want and sorted(laps.collect(), key=repr) == sorted(want, key=repr)
