@@ -90,3 +90,15 @@ def test_laps_get_their_year_with_the_driver(spark):
     laps = laps_from_sessions(lap_sessions(t), with_year(codes, t.races))
     want = with_year(laps_from_sessions(lap_sessions(t), codes), t.races).collect()
     assert laps.columns[-1] == "year" and want and sorted(laps.collect(), key=repr) == sorted(want, key=repr)
+
+
+def test_rows_of_the_load_cross_the_network_once(spark, tmpdir_path, monkeypatch):
+    asked, hint = [], type(spark.range(1)).hint
+    monkeypatch.setattr(type(spark.range(1)), "hint", lambda df, name, *cols: asked.append(name) or hint(df, name, *cols))
+    t = load_star(spark, SF, root=f"{tmpdir_path}/once")
+    assert t.results.count() and t.driver_standings.count() and t.constructor_standings.count()
+    st = Store(spark, f"{tmpdir_path}/once-more")
+    rows = t.yearly("results")
+    st.merge_upsert("r", rows.filter("year < 1998"), ["race_id", "driver_id"], "status", "year")
+    st.merge_upsert("r", rows.filter("year >= 1997"), ["race_id", "driver_id"], "status")
+    assert "rebalance" not in asked and _same(st.read("r"), rows)

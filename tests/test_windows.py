@@ -108,3 +108,20 @@ def test_numbered_equals_row_number(spark):
         key = lambda d: sorted(map(str, d.select("p", "o", "v", "x", "rn").collect()))
         assert key(a) == key(b)
     assert numbered(df.limit(0), ["p"], [F.col("o")]).count() == 0
+
+
+def test_numbers_with_and_without_windows(spark, monkeypatch):
+    from pyspark.sql import Window
+
+    from stintlake.operators import ranges
+
+    df = _data(spark).withColumn("p", F.when(F.col("p") != 3, F.col("p")))
+    order = [F.col("v").desc(), F.col("o"), F.col("p")]
+    key = lambda d: sorted(map(str, d.select("p", "o", "v", "x", "rn").collect()))
+    for part in (["p"], []):
+        few = ranges.numbered(df, part, order)
+        assert "WindowExec" not in (plan := few._jdf.queryExecution().executedPlan().toString()) and "row_number" not in plan
+        monkeypatch.setattr(ranges, "FEW", 0)
+        assert key(few) == key(ranges.numbered(df, part, order)) == key(
+            df.withColumn("rn", F.row_number().over(Window.partitionBy(*part).orderBy(*order))))
+        monkeypatch.undo()
