@@ -102,3 +102,10 @@ def test_rows_of_the_load_cross_the_network_once(spark, tmpdir_path, monkeypatch
     st.merge_upsert("r", rows.filter("year < 1998"), ["race_id", "driver_id"], "status", "year")
     st.merge_upsert("r", rows.filter("year >= 1997"), ["race_id", "driver_id"], "status")
     assert "rebalance" not in asked and _same(st.read("r"), rows)
+
+
+def test_the_quickest_stops_are_stored_before_the_races_join(spark, tmpdir_path):
+    from stintlake.plans import queries as Q
+
+    plan = _plan(Q.fastest_pit_stops(load_star(spark, SF, root=f"{tmpdir_path}/quick")))
+    assert "l_extendedprice" not in plan and "BroadcastHashJoin" in plan
