@@ -47,6 +47,8 @@ def _bits(v: np.ndarray) -> np.ndarray:
 
 
 _BITS16 = _bits(np.arange(1 << 16, dtype=np.uint64))
+#: Layout to its number of ids, as bytes.
+_STEPS = bytes(c for c, _ in LAYOUTS).ljust(256, b"\0")
 
 
 def _runs(fits: np.ndarray, count: int) -> np.ndarray:
@@ -72,19 +74,21 @@ def pack(ids: np.ndarray) -> np.ndarray:
         count, width = LAYOUTS[s]
         if n >= count:
             np.putmask(layout[:n - count + 1], _runs(bits <= width, count), s)
-    step = np.array([c for c, _ in LAYOUTS], np.int64)[layout].tolist()
-    starts, i = [], 0
+    step = list(layout.tobytes().translate(_STEPS))
+    begins, i = bytearray(n), 0
     while i < n:
-        starts.append(i)
+        begins[i] = 1
         i += step[i]
-    starts = np.array(starts, np.int64)
+    starts = np.flatnonzero(np.frombuffer(begins, np.uint8))
     sel = layout[starts]
     words = sel.astype(np.uint64) << np.uint64(60)
     for s, (count, width) in enumerate(LAYOUTS):
         at = np.flatnonzero(sel == s)
         if width and len(at):
-            part = v[starts[at][:, None] + np.arange(count)]
-            words[at] |= np.bitwise_or.reduce(part << (np.arange(count, dtype=np.uint64) * np.uint64(width)), axis=1)
+            place, word = starts[at], words[at]
+            for j in range(count):
+                word |= v[place + j] << np.uint64(j * width)
+            words[at] = word
     return words
 
 
@@ -105,6 +109,7 @@ def unpack(words: np.ndarray, n: int) -> np.ndarray:
 
 #: Letters run and punctuation run of a plain word: Latin letters that normal form C leaves as they are.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\\[-`{|}~]*)")
+_MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"  # the same punctuation, for words of ASCII letters, which need no pattern
 _OTHER_SPACE = re.compile("[\x1c-\x1f]")
 
 
@@ -155,6 +160,10 @@ def word_encoder(tokenizer_file: str):
     pieces = _Cache(piece)
 
     def word(w: str) -> bytes:
+        letters = w.rstrip(_MARKS)
+        if letters.isascii() and letters.isalpha():
+            found = pieces[letters.lower()]
+            return found if len(letters) == len(w) else found + pieces[w[len(letters):]]
         m = plain(w)
         if not m:
             return array(code, tok.encode(w, add_special_tokens=False).ids).tobytes()

@@ -89,3 +89,15 @@ _CACHED: dict = {}
 @pytest.mark.parametrize("text", ODD)
 def test_words_of_joins_to_the_text(text):
     assert "".join(bpe.words_of(text)) == text
+
+
+def test_words_of_ascii_letters_need_no_pattern(monkeypatch):
+    class Never:
+        fullmatch = None
+
+    monkeypatch.setattr(token_files, "_PLAIN", Never)
+    name = "word_bpe_49k.json"
+    text = "Plain words, (not) [so] odd: they~end in_marks!? `and`."
+    text = " ".join(w for w in text.split() if w[0].isalpha() and "_" not in w and "~" not in w)
+    encode = token_files.word_encoder.__wrapped__(public_tokenizers.path(name))
+    assert encode([text])[0].tolist() == _tok(name).encode(text, add_special_tokens=False).ids
