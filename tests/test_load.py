@@ -109,3 +109,32 @@ def test_the_quickest_stops_are_stored_before_the_races_join(spark, tmpdir_path)
 
     plan = _plan(Q.fastest_pit_stops(load_star(spark, SF, root=f"{tmpdir_path}/quick")))
     assert "l_extendedprice" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_merged_rows_are_made_once(spark, tmpdir_path):
+    from pyspark.sql.types import LongType
+
+    made = spark.sparkContext.accumulator(0)
+    st = Store(spark, f"{tmpdir_path}/merge")
+    st.write_full("t", spark.range(40).selectExpr("id AS k", "id % 4 AS year"), "year")
+    new = spark.range(20, 60).select(F.udf(lambda k: made.add(1) or k, LongType())("id").alias("k"), F.lit(9).cast("bigint").alias("year"))
+    st.replace_slice("t", new, "k")
+    assert made.value == 40 and st.read("t").count() == 60 and st.read("t").filter("year = 9").count() == 40
+
+
+def test_a_resumed_season_meets_its_own_races(spark, tmpdir_path, monkeypatch):
+    from stintlake.plans import loads
+
+    class Seen(Exception):
+        pass
+
+    def look(store, table, rounds, source, *rest, **kw):
+        raise Seen(_plan(source.filter("year = 1997")))
+
+    monkeypatch.setattr(loads.LG, "load_rounds", look)
+    try:
+        loads.resume_load(load_star(spark, SF, root=f"{tmpdir_path}/resume"))
+    except Seen as e:
+        assert "EqualTo(year,1997)" in str(e)
+    else:
+        raise AssertionError("nothing was loaded")
