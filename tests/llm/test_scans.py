@@ -102,6 +102,23 @@ def test_shuffled_join_gives_the_same(spark, tmpdir_path, monkeypatch):
     assert [r["doc_id"] for r in decontaminate.contaminated(docs, bench).collect()] == [1]
 
 
+def test_long_texts_by_pieces_and_texts_of_hits_only(spark, tmpdir_path, monkeypatch):
+    """Windows and whole items that lie over the border of two pieces are
+    found once each; texts without a hit don't cross the network, unless the hits are many."""
+    whole = "Who wrote the old red book?"
+    bench = spark.createDataFrame([(1, ITEM), (2, whole)], "item_id long, text string")
+    rows = [(k, "word " * k + ITEM + " so it goes, and now. " + whole + " end" * k) for k in range(24)] + [(50, ITEM + " " + ITEM), (51, "clean " * 90), (52, "")]
+    docs = brute.stored(spark, rows, f"{tmpdir_path}/d")
+    want = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
+    assert {r[0] for r in want} == {*range(24), 50} and len(want) == 49
+    monkeypatch.setattr(decontaminate, "PIECE", 16)
+    found = decontaminate.contaminated(docs, bench)
+    assert sorted(map(tuple, found.collect())) == want and "LeftSemi" in found._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(decontaminate, "BROADCAST_TEXTS", 0)
+    found = decontaminate.contaminated(docs, bench)
+    assert sorted(map(tuple, found.collect())) == want and "LeftSemi" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_many_like_runs_do_not_wrap(spark):
     """Lanes hold the sums of a text of 150,000 like runs; the likeness is that of the shared runs."""
     rows = spark.createDataFrame([(2, "a " * 600_000), (1, "b " * 600_000)], "doc_id long, text string")
