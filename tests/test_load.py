@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from stintlake.plans import models as M
-from stintlake.sources.binding import STAR_TABLES, bind, load_star
+from stintlake.sources.binding import STAR_TABLES, bind, load_star, with_year
 from stintlake.sources.store import Store
 
 SF = "/root/testdata/sf0.001"
@@ -92,6 +92,39 @@ def test_laps_get_their_year_with_the_driver(spark):
     assert laps.columns[-1] == "year" and want and sorted(laps.collect(), key=repr) == sorted(want, key=repr)
 
 
+def test_laps_of_many_files_do_not_cross_the_network(spark, tmpdir_path, monkeypatch):
+    """A part of the sessions at a time, with its races' entries in memory; parts with more of them are shuffled."""
+    from stintlake.sources import laps as L
+    from stintlake.sources.landing import lap_sessions
+
+    t = bind(spark, SF)
+    codes = with_year(L.team_race_codes(t.results, t.drivers), t.races)
+    want = sorted(L.laps_from_sessions(lap_sessions(t), codes).collect(), key=repr)
+    folder = f"{tmpdir_path}/sessions"
+    lap_sessions(t).repartition(3).write.parquet(folder)
+    monkeypatch.setattr(L, "PART_BYTES", 1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for most, join in ((500_000, "BroadcastHashJoin"), (10, "SortMergeJoin")):
+            monkeypatch.setattr(L, "BROADCAST_ENTRIES", most)
+            got = []
+            for part in L.laps_by_parts(spark, folder, codes):
+                plan = part._jdf.queryExecution().executedPlan().toString()
+                assert join in plan and ("SortMergeJoin" in plan) == (most == 10)
+                got.append(part.collect())
+            assert len(got) == 3 and sorted((r for p in got for r in p), key=repr) == want
+        # the races of a part meet the results before any other join
+        some = spark.range(3).select(F.col("id").alias("race_id")).distinct()
+        top = L.team_race_codes(t.results, t.drivers).join(F.broadcast(some), "race_id", "left_semi")._jdf.queryExecution().optimizedPlan().toString()
+        lines = [x.split("Join ")[1].split(",")[0] for x in top.splitlines() if "Join " in x]
+        assert lines.index("Inner") < lines.index("LeftSemi")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    monkeypatch.setattr(L, "PARTS", 1)
+    assert len(list(L.laps_by_parts(spark, folder, codes))) == 1
+
+
 def test_rows_of_the_load_cross_the_network_once(spark, tmpdir_path, monkeypatch):
     asked, hint = [], type(spark.range(1)).hint
     monkeypatch.setattr(type(spark.range(1)), "hint", lambda df, name, *cols: asked.append(name) or hint(df, name, *cols))

@@ -1,5 +1,6 @@
 """Partitioned tables of the store: touched partitions only, pruning, versions."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from stintlake.sources.store import Store
@@ -107,3 +108,41 @@ def test_evolving_upsert(spark, tmpdir_path):
     st.merge_upsert("t", more.drop("note"), ["id"], "n", evolve=True)  # without a column the row has null there
     with pytest.raises(SchemaConflict):
         st.merge_upsert("t", more.withColumn("n", F.lit("text")), ["id"], "note", evolve=True)
+
+
+def test_shuffles_of_a_write_go_with_it(spark, tmpdir_path):
+    import time
+
+    from stintlake.session import SHUFFLES_GO
+
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    st, before = Store(spark, f"{tmpdir_path}/brief"), held()
+    rows = spark.range(1000).repartition(4, "id").withColumn("y", F.col("id") % 3)
+    st.write_full("a", rows)
+    st.write_full("b", rows, "y")
+    st.write_parts("c", [rows, rows.limit(10)], "y")
+    for _ in range(50):
+        if held() <= before:
+            break
+        time.sleep(0.2)
+    assert held() <= before and spark.conf.get(SHUFFLES_GO, "false") == "false"
+    assert [st.read(n).count() for n in "abc"] == [1000, 1000, 1010]
+
+
+def test_parts_are_one_version(spark, tmpdir_path):
+    st = Store(spark, f"{tmpdir_path}/parts")
+    rows = spark.range(10).withColumn("y", F.col("id") % 2)
+    for by in (None, "y"):
+        st.write_parts(f"t{by}", [rows.filter("id < 4"), rows.filter("id >= 4")], by)
+        assert len(st.versions(f"t{by}")) == 1 and sorted(r.id for r in st.read(f"t{by}").collect()) == list(range(10))
+
+        def broken():
+            yield rows
+            raise ValueError("no more")
+
+        with pytest.raises(ValueError):
+            st.write_parts(f"t{by}", broken(), by)
+        assert len(st.versions(f"t{by}")) == 1 and st.read(f"t{by}").count() == 10
