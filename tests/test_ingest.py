@@ -11,6 +11,7 @@ from stintlake.operators import quality as QC
 from stintlake.plans import mart_graph as MG
 from stintlake.plans.pipeline import PipelineConfig, run_pipeline
 from stintlake.sources import nested
+from stintlake.sources.binding import bind
 from stintlake.sources.store import Store
 from test_smoke import CSV
 
@@ -142,3 +143,64 @@ def test_ids_by_ranges_equal_the_plain_form(spark):
     known = refs.limit(0).withColumn("id", F.lit(7).cast("long"))
     plain = refs.withColumn("id", F.row_number().over(Window.orderBy("ref")).cast("bigint"))
     assert sorted(map(str, assign_ids(refs, "ref", "id", known).select("ref", "id").collect())) == sorted(map(str, plain.collect()))
+
+
+def test_raw_files_of_the_run_go_once_they_are_loaded(spark, tmpdir_path):
+    raw = _land(tmpdir_path)
+    kept = run_pipeline(spark, raw, f"{tmpdir_path}/kept", PipelineConfig(2024, 2024))
+    assert os.path.exists(f"{raw}/results.csv")
+    with pytest.raises(QC.ContractError):  # what isn't loaded stays
+        _land(tmpdir_path, **{"results.csv": _results((-3, "Zzz"))})
+        run_pipeline(spark, raw, f"{tmpdir_path}/broken", PipelineConfig(2024, 2024, strict=True, drop_raw=True))
+    assert os.path.exists(f"{raw}/results.csv") and os.path.exists(f"{raw}/drivers.csv")
+    raw = _land(tmpdir_path)
+    res = run_pipeline(spark, raw, f"{tmpdir_path}/gone", PipelineConfig(2024, 2024, drop_raw=True))
+    assert not os.path.exists(raw) and res.loaded == kept.loaded
+    assert sorted(map(tuple, res.marts.collect())) == sorted(map(tuple, kept.marts.collect()))
+    assert res.summary.collect() == kept.summary.collect() and res.quality.collect() == kept.quality.collect()
+
+
+def test_a_mart_in_parts_by_team_is_the_whole_mart(spark, tmpdir_path):
+    t = bind(spark, "/root/testdata/sf0.001")
+    st = Store(spark, f"{tmpdir_path}/marts")
+    graph = {n: MG.GRAPH[n] for n in ("stg_constructor_standings", "stg_races", "mart_championship_progression")}
+    rows = {r["model"]: r["rows"] for r in MG.build_marts(t, st, graph=graph).collect()}
+    assert graph["mart_championship_progression"].team_parts > 1 and len(st.versions("mart_championship_progression")) == 1
+    got, want = st.read("mart_championship_progression"), MG.D.mart_championship_progression(t)
+    assert got.columns == want.columns and sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert rows["mart_championship_progression"] == want.count() > 0
+
+
+def test_raw_tables_are_landed_when_they_are_read(spark, tmpdir_path):
+    raw, seen = f"{tmpdir_path}/raw", []
+
+    def land(table):
+        seen.append((table, sorted(os.listdir(raw)) if os.path.exists(raw) else []))
+        os.makedirs(raw, exist_ok=True)
+        with open(f"{raw}/{table}.csv", "w") as fh:
+            fh.write(CSV[f"{table}.csv"])
+
+    res = run_pipeline(spark, raw, f"{tmpdir_path}/store", PipelineConfig(2024, 2024, land=land, drop_raw=True, skip_marts=True))
+    assert len(seen) == len({x for x, _ in seen}) == len(CSV) and res.loaded["results"] == 1 and not os.path.exists(raw)
+    there = dict(seen)["driver_standings"]  # of the facts before it no raw file is left
+    assert "drivers.csv" in there and not {"results.csv", "qualifying.csv", "pit_stops.csv"} & set(there)
+
+
+def test_sessions_that_the_run_lands_go_once_they_are_loaded(spark, tmpdir_path):
+    iv, folder = F.make_dt_interval(secs=F.lit(90).cast("decimal(18,6)")), f"{tmpdir_path}/sessions"
+    rows = spark.range(3).select(
+        F.lit(202401).cast("long").alias("race_id"), F.lit("VER").alias("Driver"), F.lit(True).alias("IsAccurate"), (F.col("id") + 1.0).alias("LapNumber"),
+        *[iv.alias(c) for c in ("LapTime", "Sector1Time", "Sector2Time", "Sector3Time", "PitInTime", "PitOutTime")],
+        F.lit("soft").alias("Compound"), F.lit(1.0).alias("TyreLife"), F.lit(1.0).alias("Stint"), F.lit(False).alias("IsPersonalBest"), F.lit("1").alias("TrackStatus"))
+
+    def land():
+        rows.write.parquet(folder)
+        return folder
+
+    res = run_pipeline(spark, _land(tmpdir_path), f"{tmpdir_path}/own", PipelineConfig(2024, 2024, sessions=land, drop_raw=True, skip_marts=True))
+    assert res.loaded["laps"] == 3 and not os.path.exists(folder)
+    land()
+    res = run_pipeline(spark, _land(tmpdir_path), f"{tmpdir_path}/given", PipelineConfig(2024, 2024, sessions=folder, drop_raw=True, skip_marts=True))
+    assert res.loaded["laps"] == 3 and os.path.exists(folder)
+    back = Store(spark, f"{tmpdir_path}/given").read("laps")
+    assert {r["year"] for r in back.collect()} == {2024}
